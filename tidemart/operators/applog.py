@@ -54,56 +54,51 @@ def fan_out(
 ) -> DataFrame:
     """K3: (topic, value) rows for all five outputs from one pass over ``df``.
 
-    Each record builds the list of its messages and one generator emits them, so
-    nothing is cached or scanned again and a topic-aware sink writes them in one job.
+    One generator lists the messages of a record and one projection writes them
+    out, so nothing is cached or scanned again and a topic-aware sink sends them
+    in one job.
     """
     names = {**DEFAULT_TOPICS, **(topics or {})}
     is_start = F.col("start").isNotNull()
-    none = F.array().cast("array<struct<topic:string,value:string>>")
-
-    def message(kind: str, value: Column) -> Column:
-        return F.struct(F.lit(names[kind]).alias("topic"), value.alias("value"))
-
-    def per_item(kind: str, array: str, field: str, *extra: str) -> Column:
-        return F.when(
-            ~is_start & (F.size(array) > 0),
-            F.transform(
-                array,
-                lambda item: message(
-                    kind,
-                    F.to_json(F.struct("common", "page", item.alias(field), *extra)),
-                ),
-            ),
-        ).otherwise(none)
-
-    err = F.when(
-        F.col("err").isNotNull(), F.array(message("err", F.to_json("err")))
-    ).otherwise(none)
-    rest = F.when(
-        is_start,
-        F.array(
-            message(
-                "start",
-                F.to_json(F.struct("common", "page", "displays", "actions", "start", "ts")),
-            )
-        ),
-    ).otherwise(
-        F.array(
-            message(
-                "page",
-                F.to_json(
-                    F.struct(
-                        "common", "page",
-                        _unless_filled("displays"), _unless_filled("actions"), "ts",
-                    )
-                ),
-            )
+    display_type = df.schema["displays"].dataType.elementType.simpleString()
+    action_type = df.schema["actions"].dataType.elementType.simpleString()
+
+    def message(kind: str, display: Column | None = None, action: Column | None = None) -> Column:
+        return F.struct(
+            F.lit(kind).alias("_kind"),
+            (F.lit(None).cast(display_type) if display is None else display).alias("_display"),
+            (F.lit(None).cast(action_type) if action is None else action).alias("_action"),
         )
+
+    none = F.array().cast(
+        f"array<struct<_kind:string,_display:{display_type},_action:{action_type}>>"
     )
     messages = F.concat(
-        err,
-        per_item("display", "displays", "display", "ts"),
-        per_item("action", "actions", "action"),
-        rest,
+        F.when(F.col("err").isNotNull(), F.array(message("err"))).otherwise(none),
+        F.when(
+            ~is_start & (F.size("displays") > 0),
+            F.transform("displays", lambda d: message("display", display=d)),
+        ).otherwise(none),
+        F.when(
+            ~is_start & (F.size("actions") > 0),
+            F.transform("actions", lambda a: message("action", action=a)),
+        ).otherwise(none),
+        F.when(is_start, F.array(message("start"))).otherwise(F.array(message("page"))),
+    )
+    kind = F.col("_kind")
+
+    def array_left(name: str) -> Column:
+        stays = (kind == "start") | ((kind == "page") & (F.size(name) == 0))
+        return F.when(stays, F.col(name)).alias(name)
+
+    # Null fields are left out of the text, so one layout serves four kinds.
+    record = F.struct(
+        "common", "page", array_left("displays"), array_left("actions"), "start",
+        F.col("_display").alias("display"), F.col("_action").alias("action"),
+        F.when(kind != "action", F.col("ts")).alias("ts"),
+    )
+    value = F.when(kind == "err", F.to_json("err")).otherwise(F.to_json(record))
+    topic = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[kind]
+    return df.select("*", F.inline(messages)).select(
+        *keep, topic.alias("topic"), value.alias("value")
     )
-    return df.select(*keep, F.inline(messages))

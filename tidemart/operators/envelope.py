@@ -29,7 +29,7 @@ def no_deletes(df: DataFrame) -> DataFrame:
 
 def prune_payload(payload: Column, sink_columns: Column) -> Column:
     """Only the payload columns named in the comma list."""
-    wanted = F.transform(F.split(sink_columns, ","), F.trim)
+    wanted = F.transform(F.split(sink_columns, ","), lambda c: F.trim(c))
     return F.map_filter(payload, lambda k, v: F.array_contains(wanted, k))
 
 

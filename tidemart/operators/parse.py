@@ -40,8 +40,8 @@ def drop_bad(df: DataFrame, fields: dict[str, str], value: str = "value") -> Dat
 
 def is_bad(value: Column) -> Column:
     """True where ``value`` is not a JSON object."""
-    parsed = _parse(value, {})
-    return ~F.coalesce(_well_formed(parsed, value), F.lit(False))
+    good = F.filter(F.array(_parse(value, {})), lambda p: _well_formed(p, value))
+    return F.size(good) == 0
 
 
 def route_bad(
@@ -54,10 +54,13 @@ def route_bad(
 def fail_on_bad(
     df: DataFrame, fields: dict[str, str], value: str = "value", skip_null: bool = True
 ) -> DataFrame:
-    """Expand ``fields`` and raise on the first malformed row."""
+    """Expand ``fields`` and raise on the first malformed row.
+
+    The generator keeps later filters from copying the parse into themselves.
+    """
     rows = df.filter(F.col(value).isNotNull()) if skip_null else df
     parsed = F.from_json(F.col(value), ddl(fields), {"mode": "FAILFAST"})
-    return rows.withColumn("_p", parsed).select(*df.columns, "_p.*")
+    return rows.select("*", F.inline(F.array(parsed)))
 
 
 def app_log_rows(df: DataFrame, fields: dict[str, str], value: str = "value") -> DataFrame:

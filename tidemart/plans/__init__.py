@@ -1,0 +1,6 @@
+"""Feeds derived from the tables, and every query over them."""
+
+from tidemart.plans import change_queries, log_queries  # noqa: F401
+from tidemart.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

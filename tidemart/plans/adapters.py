@@ -25,82 +25,59 @@ DIM_KEYS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; one that has fewer splits than there are cores is spread over them.
+
+    Large inputs have splits enough and are read as they lie.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def event_ms(ts: Column) -> Column:
     return F.unix_millis(ts.cast("timestamp"))
 
 
-def event_k() -> Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
+def as_topic(df: DataFrame) -> DataFrame:
+    """``df(seq, value)`` as a source would give it.
+
+    The generator makes the text a real column; otherwise the optimizer builds it
+    again for each of its uses.
+    """
+    return df.select(F.inline(F.array(F.struct("seq", "value"))))
+
+
+APP_LOG_LINE = """
+to_json(named_struct(
+  'common', named_struct(
+    'ar', string(user_id % 34), 'ba', concat('brand_', k % 7), 'ch', concat('ch_', k % 4),
+    'is_new', if(k % 3 = 0, '0', '1'), 'md', concat('model_', k % 11),
+    'mid', concat('mid_', user_id), 'os', concat('os_', k % 2), 'sid', concat('sid_', event_id),
+    'uid', string(user_id), 'vc', concat('v2.', k % 10, '.0')),
+  'page', if(event_type <> 'signup', named_struct(
+    'during_time', k * 100, 'from_pos_id', k % 9, 'from_pos_seq', k % 5, 'item', string(k),
+    'item_type', 'sku_id', 'last_page_id', 'home', 'page_id', event_type), null),
+  'displays', if(event_type = 'view' and k % 5 > 0, transform(sequence(0L, k % 5 - 1), i -> named_struct(
+    'item', string(k + i), 'item_type', 'sku_id', 'pos_id', k % 6, 'pos_seq', i)), null),
+  'actions', if(event_type in ('click', 'purchase'), transform(sequence(0L, k % 2), i -> named_struct(
+    'action_id', event_type, 'item', string(k + i), 'item_type', 'sku_id', 'ts', ms + i)), null),
+  'start', if(event_type = 'signup', named_struct('entry', 'icon', 'loading_time', k), null),
+  'err', if(event_type = 'error', named_struct('error_code', k + 1000, 'msg', concat('msg_', k)), null),
+  'ts', ms))
+"""
 
 
 def app_log_lines(events: DataFrame) -> DataFrame:
     """(seq, value): one JSON log line per event; every 50th is cut short."""
-    e = events.select(
-        "event_id", "user_id", "event_type", event_ms(F.col("ts")).alias("ms"), event_k().alias("k")
-    )
-    k, kind = F.col("k"), F.col("event_type")
-
-    def text(x: Column) -> Column:
-        return x.cast("string")
-
-    def items(count: Column, make) -> Column:
-        made = F.transform(F.sequence(F.lit(0).cast("bigint"), F.greatest(count - 1, F.lit(0))), make)
-        return F.when(count > 0, made)
-
-    common = F.struct(
-        text(F.col("user_id") % 34).alias("ar"),
-        F.concat(F.lit("brand_"), k % 7).alias("ba"),
-        F.concat(F.lit("ch_"), k % 4).alias("ch"),
-        F.when(k % 3 == 0, "0").otherwise("1").alias("is_new"),
-        F.concat(F.lit("model_"), k % 11).alias("md"),
-        F.concat(F.lit("mid_"), "user_id").alias("mid"),
-        F.concat(F.lit("os_"), k % 2).alias("os"),
-        F.concat(F.lit("sid_"), "event_id").alias("sid"),
-        text(F.col("user_id")).alias("uid"),
-        F.concat(F.lit("v2."), k % 10, F.lit(".0")).alias("vc"),
+    rows = events.selectExpr(
+        "event_id", "user_id", "event_type",
+        "unix_millis(cast(ts AS timestamp)) AS ms",
+        "cast(get_json_object(props, '$.k') AS bigint) AS k",
     )
-    page = F.struct(
-        (k * 100).alias("during_time"),
-        (k % 9).alias("from_pos_id"),
-        (k % 5).alias("from_pos_seq"),
-        text(k).alias("item"),
-        F.lit("sku_id").alias("item_type"),
-        F.lit("home").alias("last_page_id"),
-        kind.alias("page_id"),
+    whole = as_topic(rows.selectExpr("event_id AS seq", f"{APP_LOG_LINE} AS value"))
+    return whole.selectExpr(
+        "seq", "if(seq % 50 = 7, left(value, length(value) - 1), value) AS value"
     )
-    displays = items(
-        F.when(kind == "view", k % 5).otherwise(0),
-        lambda i: F.struct(
-            text(k + i).alias("item"), F.lit("sku_id").alias("item_type"),
-            (k % 6).alias("pos_id"), i.alias("pos_seq"),
-        ),
-    )
-    actions = items(
-        F.when(kind.isin("click", "purchase"), k % 2 + 1).otherwise(0),
-        lambda i: F.struct(
-            kind.alias("action_id"), text(k + i).alias("item"),
-            F.lit("sku_id").alias("item_type"), (F.col("ms") + i).alias("ts"),
-        ),
-    )
-    line = F.to_json(
-        F.struct(
-            common.alias("common"),
-            F.when(kind != "signup", page).alias("page"),
-            displays.alias("displays"),
-            actions.alias("actions"),
-            F.when(kind == "signup", F.struct(F.lit("icon").alias("entry"), k.alias("loading_time"))).alias("start"),
-            F.when(
-                kind == "error",
-                F.struct((k + 1000).alias("error_code"), F.concat(F.lit("msg_"), k).alias("msg")),
-            ).alias("err"),
-            F.col("ms").alias("ts"),
-        )
-    )
-    cut = F.when(F.col("event_id") % 50 == 7, F.left(line, F.length(line) - 1)).otherwise(line)
-    return e.select(F.col("event_id").alias("seq"), cut.alias("value"))
 
 
 def cart_envelopes(lineitem: DataFrame) -> DataFrame:
@@ -129,9 +106,8 @@ def cart_envelopes(lineitem: DataFrame) -> DataFrame:
 
 def envelope_lines(df: DataFrame) -> DataFrame:
     """(seq, value): envelopes as JSON text, as they travel on a topic."""
-    return df.select(
-        "seq", F.to_json(F.struct("op", "db", "before", "after", "source", "ts_ms")).alias("value")
-    )
+    text = F.to_json(F.struct("op", "db", "before", "after", "source", "ts_ms"))
+    return as_topic(df.select("seq", text.alias("value")))
 
 
 def dim_changes(df: DataFrame, name: str, db: str = SHOP_DB, source_table: Column | None = None) -> DataFrame:
