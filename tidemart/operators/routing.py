@@ -8,14 +8,20 @@ from tidemart.operators.envelope import latest_per_key, no_deletes, prune_payloa
 from tidemart.operators.joins import join_small
 
 
-def live_config(changes: DataFrame, key: str = "source_table", order: tuple[str, ...] = ("ts_ms", "seq")) -> DataFrame:
+def live_config(
+    changes: DataFrame,
+    keys: tuple[str, ...] = ("source_table",),
+    order: tuple[str, ...] = ("ts_ms", "seq"),
+) -> DataFrame:
     """The configuration in force after a list of changes.
 
-    ``changes`` are envelopes of the configuration table. The last change of each
-    key counts; a key whose last change is a delete is gone.
+    ``changes`` are envelopes of the configuration table and ``keys`` the payload
+    columns that name one of its rows. The last change of each key counts; a key
+    whose last change is a delete is gone.
     """
     image = F.coalesce(F.col("after"), F.col("before"))
-    last = latest_per_key(changes.withColumn("_key", image[key]), ["_key"], list(order))
+    keyed = changes.withColumns({f"_key{i}": image[k] for i, k in enumerate(keys)})
+    last = latest_per_key(keyed, [f"_key{i}" for i in range(len(keys))], list(order))
     return last.filter(F.col("op") != "d").select("after")
 
 

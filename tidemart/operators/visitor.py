@@ -13,7 +13,7 @@ prefix of the order:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidemart.functions.dates import DAY_MS, local_date
 
@@ -48,29 +48,42 @@ def _before(*keys: str, by: str) -> WindowSpec:
     )
 
 
-def _carry_as_coded(rows: DataFrame) -> DataFrame:
+def _summary_as_coded(rows: DataFrame) -> DataFrame:
     one_rank = F.when(F.col("_one"), F.col("_rank"))
     zero_rank = F.when(~F.col("_one"), F.col("_rank"))
-    summary = rows.groupBy("mid", "_chunk").agg(
+    return rows.groupBy("mid", "_chunk").agg(
         F.min(one_rank).alias("first_one"),
         F.min_by("_day", one_rank).alias("first_day"),
         F.max(zero_rank).alias("last_zero"),
         F.max_by("_eve", zero_rank).alias("last_eve"),
     )
+
+
+def _chain_as_coded(summary: DataFrame) -> DataFrame:
     w = _before("mid", by="_chunk")
-    seeded = summary.withColumn("seed", F.first("first_day", ignorenulls=True).over(w))
+    before = F.coalesce("_init", F.first("first_day", ignorenulls=True).over(w))
+    seeded = summary.withColumn("seed", before)
     # A record with flag 0 counts only after the first record with flag 1.
     counts = F.col("seed").isNotNull() | (F.col("last_zero") > F.col("first_one"))
     marked = seeded.withColumn("mark", F.when(counts, F.col("last_eve")))
     last_mark = F.last("mark", ignorenulls=True).over(w)
-    return marked.withColumn("_carry", F.coalesce(last_mark, "seed"))
+    return marked.withColumns(
+        {
+            "_carry": F.coalesce(last_mark, "seed"),
+            "_after": F.coalesce("mark", last_mark, "seed", "first_day"),
+        }
+    )
 
 
-def _carry_as_documented(rows: DataFrame) -> DataFrame:
+def _summary_as_documented(rows: DataFrame) -> DataFrame:
     start = F.when(F.col("_one"), F.col("_day")).otherwise(F.col("_eve"))
-    summary = rows.groupBy("mid", "_chunk").agg(F.min_by(start, "_rank").alias("start"))
-    w = _before("mid", by="_chunk")
-    return summary.withColumn("_carry", F.first("start", ignorenulls=True).over(w))
+    return rows.groupBy("mid", "_chunk").agg(F.min_by(start, "_rank").alias("start"))
+
+
+def _chain_as_documented(summary: DataFrame) -> DataFrame:
+    first = F.first("start", ignorenulls=True).over(_before("mid", by="_chunk"))
+    carried = summary.withColumn("_carry", F.coalesce("_init", first))
+    return carried.withColumn("_after", F.coalesce("_carry", "start"))
 
 
 def _state_as_coded(rows: DataFrame) -> DataFrame:
@@ -90,11 +103,29 @@ def _state_as_documented(rows: DataFrame) -> DataFrame:
 
 
 RULES = {
-    "as_coded": (_carry_as_coded, _state_as_coded),
-    "as_documented": (_carry_as_documented, _state_as_documented),
+    "as_coded": (_summary_as_coded, _chain_as_coded, _state_as_coded),
+    "as_documented": (_summary_as_documented, _chain_as_documented, _state_as_documented),
 }
 
 
+def _usable() -> Column:
+    return F.col("mid").isNotNull() & F.col("ts").isNotNull()
+
+
+def _chained(
+    df: DataFrame, rule: str, order: str, tz: str, chunk_size: int | None, initial: DataFrame | None
+) -> DataFrame:
+    """Per (device, chunk): the state it starts with and the one it leaves behind."""
+    summarise, chain, _ = RULES[rule]
+    rows = df.select("mid", "is_new", "ts", "seq").filter(_usable())
+    summary = summarise(_prepared(rows, order, tz, chunk_size))
+    if initial is None:
+        known = summary.withColumn("_init", F.lit(None).cast("date"))
+    else:
+        known = summary.join(initial.select("mid", F.col("d").alias("_init")), "mid", "left")
+    return chain(known)
+
+
 def repair_visitors(
     df: DataFrame,
     rule: str = "as_coded",
@@ -102,27 +133,41 @@ def repair_visitors(
     tz: str = "UTC",
     chunk_size: int | None = None,
     narrow: DataFrame | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Rewrite ``is_new`` of ``df(mid, is_new, ts, seq, ...)``.
 
     ``seq`` is a unique number in arrival order. ``narrow`` may be a cheaper frame
     with the same four columns of the same rows; the summaries are taken from it.
-    Rows without a device or a time pass through unchanged.
+    ``initial(mid, d)`` gives states to start from. Rows without a device or a time
+    pass through unchanged.
     """
-    carry_of, state_of = RULES[rule]
-    usable = F.col("mid").isNotNull() & F.col("ts").isNotNull()
-    source = (df if narrow is None else narrow).select("mid", "is_new", "ts", "seq")
-    carry = carry_of(_prepared(source.filter(usable), order, tz, chunk_size))
+    source = df if narrow is None else narrow
+    carry = _chained(source, rule, order, tz, chunk_size, initial)
     carry = carry.filter(F.col("_carry").isNotNull()).select("mid", "_chunk", "_carry")
 
     rows = _prepared(df, order, tz, chunk_size).join(carry, ["mid", "_chunk"], "left")
-    rows = state_of(rows)
-    stale = usable & F.col("_one") & (F.col("_state") != F.col("_day"))
+    rows = RULES[rule][2](rows)
+    stale = _usable() & F.col("_one") & (F.col("_state") != F.col("_day"))
     return rows.withColumn(
         "is_new", F.when(stale, F.lit("0")).otherwise(F.col("is_new"))
     ).select(*df.columns)
 
 
+def visitor_states(
+    df: DataFrame,
+    rule: str = "as_coded",
+    order: str = "seq",
+    tz: str = "UTC",
+    chunk_size: int | None = None,
+    initial: DataFrame | None = None,
+) -> DataFrame:
+    """(mid, d): the state of every device in ``df`` after its last record."""
+    chained = _chained(df, rule, order, tz, chunk_size, initial)
+    last = chained.groupBy("mid").agg(F.max_by("_after", "_chunk").alias("d"))
+    return last.filter(F.col("d").isNotNull())
+
+
 def repair_log(df: DataFrame, narrow: DataFrame | None = None, **options) -> DataFrame:
     """``repair_visitors`` on parsed log rows, rewriting ``common.is_new``."""
 

@@ -32,10 +32,22 @@ def upsert_batches(path: str, keys: list[str], order: list[str], transform=None)
 
 
 def read_upsert(
-    spark: SparkSession, path: str, keys: list[str], deleted: str | None = None
+    spark: SparkSession,
+    path: str,
+    keys: list[str],
+    deleted: str | None = None,
+    schema: str | None = None,
+    before: int | None = None,
 ) -> DataFrame:
-    """The current rows; those for which the ``deleted`` condition holds are gone."""
-    rows = latest_per_key(spark.read.parquet(path), keys, ["batch_id"])
+    """The current rows; those for which the ``deleted`` condition holds are gone.
+
+    ``before`` reads the table as it was before a batch.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    rows = reader.parquet(path)
+    if before is not None:
+        rows = rows.filter(F.col("batch_id") < before)
+    rows = latest_per_key(rows, keys, ["batch_id"])
     if deleted:
         rows = rows.filter(~F.coalesce(F.expr(deleted), F.lit(False)))
     return rows.drop("batch_id")

@@ -67,7 +67,8 @@ def fact_batches(path: str, config_changes, format: str = "json", **route):
     """A ``foreachBatch`` function that sends fact rows to the topic of their table."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        config = config_columns(live_config(config_changes()), CONFIG_DWD_COLUMNS)
+        live = live_config(config_changes(), keys=("source_table", "source_type"))
+        config = config_columns(live, CONFIG_DWD_COLUMNS)
         routed = fact_route(batch, config, **route)
         messages = routed.select("topic", F.to_json("after").alias("value"))
         send_batch(messages, format=format, path=f"{path}/batch_id={batch_id}", mode="overwrite")

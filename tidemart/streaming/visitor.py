@@ -1,4 +1,10 @@
-"""Repair of the new-visitor flag on a stream, with keyed state."""
+"""Repair of the new-visitor flag on a stream, with keyed state.
+
+Two forms. ``repair_visitor_stream`` keeps the date of each device in the state
+store and suits steady feeds. ``visitor_batches`` keeps the dates in a table and
+repairs each micro-batch with the chunked batch form, so a device that fills a
+large part of a batch (a backlog, a bot) is spread over many tasks.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +16,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemart.functions.dates import DAY_MS, ts_to_date
+from tidemart.operators.visitor import repair_visitors, visitor_states
+from tidemart.sinks.upsert import read_upsert
 
 COLUMNS = ["mid", "seq", "ts", "is_new", "value"]
 OUTPUT = T.StructType(
@@ -103,3 +111,27 @@ def repair_visitor_stream(
         outputMode="Append",
         timeMode="ProcessingTime" if ttl_ms else "None",
     )
+
+
+def visitor_batches(out_path: str, state_path: str, **options):
+    """A ``foreachBatch`` function for ``(mid, is_new, ts, seq, ...)`` rows.
+
+    A batch reads the states left by the batches before it and writes its rows,
+    then its states, into folders named by its id; a replay does the same again.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        initial = None
+        if batch_id > 0:
+            initial = read_upsert(
+                batch.sparkSession, state_path, ["mid"],
+                schema="mid string, d date, batch_id int", before=batch_id,
+            )
+        rows = batch.persist()
+        fixed = repair_visitors(rows, initial=initial, **options)
+        fixed.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        states = visitor_states(rows, initial=initial, **options)
+        states.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+        rows.unpersist()
+
+    return write
