@@ -68,7 +68,7 @@ def event_timestamp(ms: Column) -> Column:
 
 def normalise_epoch(x: Column) -> Column:
     """epoch seconds become milliseconds, milliseconds stay; missing is 0."""
-    x = F.coalesce(x, F.lit(0))
+    x = F.coalesce(x.cast("bigint"), F.lit(0))
     return F.when(x < SECONDS_LIMIT, x * 1000).otherwise(x)
 
 
