@@ -7,6 +7,8 @@ from decimal import ROUND_HALF_UP, Decimal
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
+from tidemart.functions.binding import let
+
 # Digits, and units from the ones position upwards.
 DIGITS = "零壹贰叁肆伍陆柒捌玖"
 UNITS = ["", "拾", "佰", "仟", "万", "拾", "佰", "仟", "亿", "拾", "佰", "仟", "万", "拾", "佰", "仟", "元"]
@@ -26,10 +28,31 @@ def _exact_cents(x: pd.Series) -> pd.Series:
     return x.map(one)
 
 
-def _digit(text: Column, position: Column | int) -> Column:
-    return F.lit(DIGITS).substr(
-        (F.substring(text, position, 1).cast("int") + 1), F.lit(1)
-    )
+def _digit(d: Column) -> Column:
+    return F.lit(DIGITS).substr(d.cast("int") + 1, F.lit(1))
+
+
+def _whole_text(whole: Column) -> Column:
+    """The digits of an integer text with their units."""
+    units = F.array(*[F.lit(u) for u in UNITS])
+
+    def place(i: Column) -> Column:
+        digit = F.substr(whole, i, F.lit(1))
+        unit = F.get(units, (F.length(whole) - i).cast("int"))
+        gap = F.when(F.substr(whole, i + 1, F.lit(1)) == "0", F.lit(DIGITS[0])).otherwise(F.lit(""))
+        return F.when(digit == "0", F.lit("")).otherwise(F.concat(_digit(digit), unit, gap))
+
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(whole)), lambda i: place(i)), "")
+
+
+def _cents_text(cents: Column) -> Column:
+    """What follows ``元``."""
+
+    def part(place: int, unit: str) -> Column:
+        d = F.substring(cents, place, 1)
+        return F.when(d == "0", F.lit("")).otherwise(F.concat(_digit(d), F.lit(unit)))
+
+    return F.when(cents == "00", F.lit(WHOLE)).otherwise(F.concat(part(1, JIAO), part(2, FEN)))
 
 
 def chinese_amount(x: Column, rounding: str = "decimal") -> Column:
@@ -50,25 +73,7 @@ def chinese_amount(x: Column, rounding: str = "decimal") -> Column:
     else:
         raise ValueError(f"unknown rounding {rounding!r}")
     positive = F.greatest(amount, F.lit(0).cast("decimal(36,2)"))
-    whole = F.lpad(F.floor(positive).cast("string"), 17, "0")
-    cents = F.lpad(F.pmod(positive * 100, F.lit(100)).cast("int").cast("string"), 2, "0")
-
-    parts = []
-    for power in range(len(UNITS) - 1, -1, -1):
-        place = len(UNITS) - power
-        shown = F.concat(_digit(whole, place), F.lit(UNITS[power]))
-        if power:
-            gap = F.substring(whole, place + 1, 1) == "0"
-            shown = F.concat(shown, F.when(gap, F.lit(DIGITS[0])).otherwise(F.lit("")))
-        parts.append(F.when(F.substring(whole, place, 1) != "0", shown).otherwise(F.lit("")))
-
-    def fraction(place: int, unit: str) -> Column:
-        return F.when(
-            F.substring(cents, place, 1) != "0", F.concat(_digit(cents, place), F.lit(unit))
-        ).otherwise(F.lit(""))
-
-    tail = F.when(cents == "00", F.lit(WHOLE)).otherwise(
-        F.concat(fraction(1, JIAO), fraction(2, FEN))
-    )
-    text = F.concat(*parts, F.lit(YUAN), tail)
-    return F.when(amount.isNotNull() & (F.floor(positive) < F.lit(10**17)), text)
+    whole = F.floor(positive).cast("string")
+    cents = F.right(positive.cast("string"), F.lit(2))
+    text = F.concat(let(whole, _whole_text), F.lit(YUAN), let(cents, _cents_text))
+    return F.when(amount.isNotNull() & (amount < F.lit(10**17)), text)

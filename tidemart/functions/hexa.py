@@ -7,30 +7,33 @@ from decimal import Context, Decimal, InvalidOperation
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
+from tidemart.functions.binding import let
+
 WORD = 64  # Fixed value: hex digits of one payload word.
 UNIT_DIGITS = 18  # Fixed value: one unit is 10**18 of the smallest part.
 NATIVE_HEX_DIGITS = 31  # 124 bits, the most a decimal(38,0) is sure to hold.
-LIMB = 8
+LIMB = 16
 
 
 def _hex_to_decimal(digits: Column) -> Column:
-    """Up to 31 hex digits as decimal text, folded from limbs of 8 digits."""
-    padded = F.lpad(digits, 4 * LIMB, "0")
-    total = F.lit(0).cast("decimal(38,0)")
-    for i in range(4):
-        limb = F.conv(F.substring(padded, i * LIMB + 1, LIMB), 16, 10)
-        total = (total * F.lit(2**32).cast("decimal(10,0)")).cast("decimal(38,0)")
-        total = (total + limb.cast("decimal(10,0)")).cast("decimal(38,0)")
-    return total.cast("string")
+    """Up to 31 hex digits as decimal text, put together from two 64-bit halves."""
+    padded = F.lpad(digits, 2 * LIMB, "0")
+    high, low = (
+        F.conv(F.substring(padded, start, LIMB), 16, 10).cast("decimal(20,0)")
+        for start in (1, LIMB + 1)
+    )
+    return (high * F.lit(str(2**64)).cast("decimal(20,0)") + low).cast("decimal(38,0)").cast("string")
 
 
 def _shift(digits: Column) -> Column:
     """An unsigned decimal integer divided by 10**18, without trailing zeros."""
-    padded = F.lpad(digits, F.greatest(F.length(digits), F.lit(UNIT_DIGITS + 1)), F.lit("0"))
-    whole = F.left(padded, F.length(padded) - UNIT_DIGITS)
-    return F.regexp_replace(
-        F.concat(whole, F.lit("."), F.right(padded, F.lit(UNIT_DIGITS))), r"\.?0+\z", ""
-    )
+    wide = F.lpad(digits, F.greatest(F.length(digits), F.lit(UNIT_DIGITS + 1)), F.lit("0"))
+
+    def point(d: Column) -> Column:
+        whole = F.left(d, F.length(d) - UNIT_DIGITS)
+        return F.concat(whole, F.lit("."), F.right(d, F.lit(UNIT_DIGITS)))
+
+    return F.rtrim(F.rtrim(let(wide, point), F.lit("0")), F.lit("."))
 
 
 @F.pandas_udf(T.StringType())
@@ -71,15 +74,19 @@ def to_decimal_text(x: Column, divide: bool = False, wide: bool = False) -> Colu
     """
     if wide:
         return (_wide_divided if divide else _wide_plain)(x)
-    hex_digits = F.regexp_replace(F.substr(x, F.lit(3)), r"\A0+(?=.)", "")
+    hex_digits = F.ltrim(F.substr(x, F.lit(3)), F.lit("0"))
     is_hex = x.rlike(r"\A0x[0-9a-fA-F]+\z") & (F.length(hex_digits) <= NATIVE_HEX_DIGITS)
     is_integer = x.rlike(r"\A[+-]?[0-9]+\z")
+    plain = F.ltrim(x, F.lit("+-0"))
     digits = F.when(is_hex, _hex_to_decimal(hex_digits)).when(
-        is_integer, F.regexp_replace(x, r"\A[+-]?0*(?=[0-9])", "")
+        is_integer, F.when(plain == "", F.lit("0")).otherwise(plain)
     )
-    sign = F.when(x.startswith("-") & (digits != "0"), F.lit("-")).otherwise(F.lit(""))
-    number = F.concat(sign, _shift(digits) if divide else digits)
-    return F.when(x.isNull(), F.lit("0")).otherwise(number)
+
+    def signed(d: Column) -> Column:
+        sign = F.when(x.startswith("-") & (d != "0"), F.lit("-")).otherwise(F.lit(""))
+        return F.concat(sign, _shift(d) if divide else d)
+
+    return F.when(x.isNull(), F.lit("0")).otherwise(let(digits, signed))
 
 
 def payload_words(x: Column) -> Column:
