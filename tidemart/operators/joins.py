@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 MAX_BROADCAST_ROWS = 100_000
-SALTS = 64
+SALTS = 32
 
 
 def join_small(
@@ -20,7 +20,9 @@ def join_small(
 
     ``small`` is counted up to the bound and broadcast only within it. Beyond it
     both sides are shuffled with a salt next to the keys, so a key that holds a
-    large part of ``big`` is spread over ``salts`` tasks.
+    large part of ``big`` is spread over ``salts`` tasks. The salt is a hash of the
+    row and not a random number: a task that runs again must place rows as before.
+    What stays uneven (many equal rows) is left to the adaptive skew join.
     """
     if small.limit(max_rows + 1).count() <= max_rows:
         return big.join(F.broadcast(small), keys, how)

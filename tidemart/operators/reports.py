@@ -10,7 +10,6 @@ from tidemart.functions.hashing import hot_hash_mod
 from tidemart.functions.hexa import payload_words
 from tidemart.functions.identity import validate_id_card
 from tidemart.functions.versions import latest_version
-from tidemart.operators.joins import join_small
 
 
 def id_quality(df: DataFrame, id_number: str, group: str) -> DataFrame:
@@ -51,7 +50,7 @@ def day_spine(df: DataFrame, day: Column) -> DataFrame:
     )
     ends = daily.agg(F.min("_d").alias("a"), F.max("_d").alias("b"))
     spine = ends.select(F.explode(day_range(F.col("a"), F.col("b"))).alias("day"))
-    return join_small(spine, counts, ["day"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return spine.join(counts, "day", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def daily_statement(df: DataFrame, day: Column, amount: Column) -> DataFrame:

@@ -441,7 +441,8 @@ def f21(spark, sf_dir):
 FROM (SELECT *, unnest(range(c_custkey % 4)) AS i FROM customer)""",
 )
 def r3(spark, sf_dir):
-    return reports.word_table(payloads(spark, sf_dir), "data", "c_custkey")
+    words = reports.word_table(payloads(spark, sf_dir), "data", "c_custkey")
+    return words.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 _VERSIONS_SQL = """

@@ -170,7 +170,7 @@ def new_visitor_event_time(spark, sf_dir):
         ", r AS (SELECT seq, mid, CASE WHEN one AND coalesce(mark, seed)",
     )
     + """)
-SELECT r.is_new, count(*) AS n, sum(al.nd) AS n_displays
+SELECT r.is_new, count(*) AS n, CAST(sum(al.nd) AS BIGINT) AS n_displays
 FROM r JOIN al ON r.seq = al.seq WHERE al.event_type <> 'signup' GROUP BY r.is_new""",
 )
 def log_split(spark, sf_dir):

@@ -155,7 +155,7 @@ def stream_upsert(spark, sf_dir):
 @query(
     "J2_stream_fact_load",
     sql.CART + sql.FACT_CONFIG + """
-SELECT sink_table AS topic, count(*) AS n, sum(num) AS total FROM cart JOIN cfg ON tbl = source_table
+SELECT sink_table AS topic, count(*) AS n, CAST(sum(num) AS BIGINT) AS total FROM cart JOIN cfg ON tbl = source_table
 AND source_type = CASE op WHEN 'u' THEN 'update' ELSE 'insert' END GROUP BY 1""",
 )
 def stream_fact_load(spark, sf_dir):

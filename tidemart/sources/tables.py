@@ -6,8 +6,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.operators.joins import join_small
-
 
 def camel(name: str) -> str:
     """``source_table`` -> ``sourceTable``."""
@@ -61,6 +59,9 @@ def wide_row(df: DataFrame, columns: list[str], info: str = "info") -> DataFrame
 
 
 def without_keys(df: DataFrame, keys: DataFrame, key: str = "row_key") -> DataFrame:
-    """The table without the listed keys."""
-    gone = keys.select(key).distinct().withColumn("_gone", F.lit(True))
-    return join_small(df, gone, [key], "left").filter(F.col("_gone").isNull()).drop("_gone")
+    """The table without the listed keys.
+
+    A key is in the table once, so nothing is skewed; Spark broadcasts the list if
+    its measured size allows and shuffles both sides otherwise.
+    """
+    return df.join(keys.select(key), key, "left_anti")
