@@ -38,7 +38,7 @@ def test_columns_are_pruned(spark):
 def test_large_inputs_are_not_spread(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
     try:
-        df = ad.table(prepare(spark), SF_DIR, "lineitem")
+        df = ad.spread(ad.table(prepare(spark), SF_DIR, "lineitem"), "l_orderkey")
         assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")

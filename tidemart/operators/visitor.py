@@ -23,20 +23,18 @@ CHUNK_MS = 600_000
 
 def _prepared(df: DataFrame, order: str, tz: str, chunk_size: int | None) -> DataFrame:
     if order == "seq":
-        rank, chunk = F.col("seq"), F.floor(F.col("seq") / (chunk_size or CHUNK_ROWS))
+        rank, chunk = "seq", f"seq div {chunk_size or CHUNK_ROWS}"
     elif order == "event_time":
-        rank = F.struct("ts", "seq")
-        chunk = F.floor(F.col("ts") / (chunk_size or CHUNK_MS))
+        rank, chunk = "struct(ts, seq)", f"ts div {chunk_size or CHUNK_MS}"
     else:
         raise ValueError(f"unknown order {order!r}")
-    return df.withColumns(
-        {
-            "_rank": rank,
-            "_chunk": chunk,
-            "_one": F.coalesce(F.col("is_new") == "1", F.lit(False)),
-            "_day": local_date(F.col("ts"), tz),
-            "_eve": local_date(F.col("ts") - F.lit(DAY_MS), tz),
-        }
+    return df.select(
+        "*",
+        F.expr(rank).alias("_rank"),
+        F.expr(chunk).alias("_chunk"),
+        F.expr("coalesce(is_new = '1', false)").alias("_one"),
+        local_date(F.col("ts"), tz).alias("_day"),
+        local_date(F.col("ts") - F.lit(DAY_MS), tz).alias("_eve"),
     )
 
 
@@ -49,13 +47,11 @@ def _before(*keys: str, by: str) -> WindowSpec:
 
 
 def _summary_as_coded(rows: DataFrame) -> DataFrame:
-    one_rank = F.when(F.col("_one"), F.col("_rank"))
-    zero_rank = F.when(~F.col("_one"), F.col("_rank"))
     return rows.groupBy("mid", "_chunk").agg(
-        F.min(one_rank).alias("first_one"),
-        F.min_by("_day", one_rank).alias("first_day"),
-        F.max(zero_rank).alias("last_zero"),
-        F.max_by("_eve", zero_rank).alias("last_eve"),
+        F.expr("min(if(_one, _rank, null))").alias("first_one"),
+        F.expr("min_by(_day, if(_one, _rank, null))").alias("first_day"),
+        F.expr("max(if(_one, null, _rank))").alias("last_zero"),
+        F.expr("max_by(_eve, if(_one, null, _rank))").alias("last_eve"),
     )
 
 

@@ -8,14 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemart.sources.changefeed import NO_IMAGE, payload_of, source_of
-
 SHOP_DB = "shop"
 CONFIG_DB = "shop_config"
 NAMESPACE = "retail_dim"
 
 BASE_MS = 1_704_067_200_000
-FACTS = {"events", "orders", "lineitem", "documents"}
 DIM_KEYS = {
     "nation": "n_nationkey",
     "region": "r_regionkey",
@@ -26,15 +23,19 @@ DIM_KEYS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table; a fact table with fewer splits than there are cores is spread over them.
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores by a unique ``key``, if there are fewer splits than cores.
 
-    Large inputs have splits enough and are read as they lie.
+    Worth it ahead of heavy work per row, such as JSON. Large inputs have splits
+    enough and are read as they lie; streams are left alone.
     """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if name not in FACTS:
+    if df.isStreaming:
         return df
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 def event_ms(ts: Column) -> Column:
@@ -85,25 +86,17 @@ def app_log_lines(events: DataFrame) -> DataFrame:
 
 def cart_envelopes(lineitem: DataFrame) -> DataFrame:
     """Cart changes, one per line item, as envelope columns next to ``seq``."""
-    num = F.col("l_quantity").cast("bigint")
-    old = F.when(F.col("l_linenumber") != 7, num + F.col("l_linenumber") - 3)
-    op = F.when(F.col("l_returnflag") == "R", "r").when(F.col("l_returnflag") == "N", "u").otherwise("c")
-    after = F.create_map(
-        F.lit("id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"),
-        F.lit("user_id"), F.col("l_suppkey").cast("string"),
-        F.lit("sku_id"), F.col("l_partkey").cast("string"),
-        F.lit("cart_price"), F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),
-        F.lit("sku_num"), num.cast("string"),
-    )
-    place = F.when(F.col("l_linenumber") == 6, "other").otherwise("cart_info")
-    return lineitem.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
-        op.alias("op"),
-        F.lit(SHOP_DB).alias("db"),
-        F.when(op == "u", F.create_map(F.lit("sku_num"), old.cast("string"))).alias("before"),
-        after.alias("after"),
-        source_of(SHOP_DB, place).alias("source"),
-        event_ms(F.col("l_shipdate")).alias("ts_ms"),
+    return lineitem.selectExpr(
+        "l_orderkey * 10 + l_linenumber AS seq",
+        "CASE l_returnflag WHEN 'R' THEN 'r' WHEN 'N' THEN 'u' ELSE 'c' END AS op",
+        f"'{SHOP_DB}' AS db",
+        "if(l_returnflag = 'N', map('sku_num', "
+        "if(l_linenumber <> 7, string(bigint(l_quantity) + l_linenumber - 3), null)), null) AS before",
+        "map('id', string(l_orderkey * 10 + l_linenumber), 'user_id', string(l_suppkey), "
+        "'sku_id', string(l_partkey), 'cart_price', string(cast(l_extendedprice AS decimal(18,2))), "
+        "'sku_num', string(bigint(l_quantity))) AS after",
+        f"map('db', '{SHOP_DB}', 'table', if(l_linenumber = 6, 'other', 'cart_info')) AS source",
+        "unix_millis(cast(l_shipdate AS timestamp)) AS ts_ms",
     )
 
 
@@ -113,42 +106,38 @@ def envelope_lines(df: DataFrame) -> DataFrame:
     return as_topic(df.select("seq", text.alias("value")))
 
 
-def dim_changes(df: DataFrame, name: str, db: str = SHOP_DB, source_table: Column | None = None) -> DataFrame:
-    """Snapshot, update and delete envelopes of a dimension table.
+def _map_sql(cells: dict[str, str]) -> str:
+    return "map(" + ", ".join(f"'{name}', {value}" for name, value in cells.items()) + ")"
 
-    Every row has a snapshot; keys divisible by 3 are then updated, those by 7
-    deleted. The text column of the row changes with the update.
-    """
-    key, label = DIM_KEYS[name], f"{name[0]}_name"
-    old = payload_of(df.columns)
-    new = payload_of(df.columns, **{label: F.concat(F.col(label), F.lit("_v2"))})
-    current = F.when(F.col(key) % 3 == 0, new).otherwise(old)
-    none = F.lit(None).cast(NO_IMAGE)
-
-    def change(step: int, op: str, before: Column, after: Column) -> Column:
-        return F.struct(
-            F.lit(step).alias("step"), F.lit(op).alias("op"), before.alias("before"), after.alias("after")
-        )
 
-    changes = F.array_compact(
-        F.array(
-            change(0, "r", none, old),
-            F.when(F.col(key) % 3 == 0, change(1, "u", old, new)),
-            F.when(F.col(key) % 7 == 0, change(2, "d", current, none)),
-        )
+def _change_rows(df: DataFrame, key: str, old: str, new: str, first: str, db: str, table: str) -> DataFrame:
+    """Up to three changes per row: it appears, keys divisible by 3 change, those by 7 go."""
+    none = "cast(null AS map<string,string>)"
+
+    def change(step: int, op: str, before: str, after: str) -> str:
+        return f"named_struct('step', {step}, 'op', '{op}', 'before', {before}, 'after', {after})"
+
+    changes = ", ".join(
+        [
+            change(0, first, none, old),
+            f"if({key} % 3 = 0, {change(1, 'u', old, new)}, null)",
+            f"if({key} % 7 = 0, {change(2, 'd', f'if({key} % 3 = 0, {new}, {old})', none)}, null)",
+        ]
     )
-    where = F.lit(name) if source_table is None else source_table
-    return df.select(F.col(key).alias("_key"), where.alias("_where"), F.inline(changes)).select(
-        (F.col("_key").cast("bigint") * 10 + F.col("step")).alias("seq"),
-        "op",
-        F.lit(db).alias("db"),
-        "before",
-        "after",
-        source_of(db, F.col("_where")).alias("source"),
-        (F.lit(BASE_MS) + F.col("step") * 1000).cast("bigint").alias("ts_ms"),
+    return df.selectExpr(f"bigint({key}) AS _key", f"inline(array_compact(array({changes})))").selectExpr(
+        "_key * 10 + step AS seq", "op", f"'{db}' AS db", "before", "after",
+        f"map('db', '{db}', 'table', '{table}') AS source", f"{BASE_MS} + step * 1000L AS ts_ms",
     )
 
 
+def dim_changes(df: DataFrame, name: str, db: str = SHOP_DB) -> DataFrame:
+    """Snapshot, update and delete envelopes of a dimension table; updates change its name."""
+    label = f"{name[0]}_name"
+    cells = {column: f"string({column})" for column in df.columns}
+    old, new = _map_sql(cells), _map_sql({**cells, label: f"concat({label}, '_v2')"})
+    return _change_rows(df, DIM_KEYS[name], old, new, "r", db, name)
+
+
 def all_dim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     feeds = [dim_changes(table(spark, sf_dir, name), name) for name in DIM_KEYS]
     merged = feeds[0]
@@ -187,52 +176,28 @@ def shard_config_changes(suppliers: DataFrame) -> DataFrame:
 
     Keys divisible by 3 get another destination later, those by 7 lose theirs.
     """
-    key = F.col("s_suppkey").cast("string")
-
-    def row(sink: Column) -> Column:
-        return F.create_map(
-            F.lit("source_table"), F.concat(F.lit("shard_"), key),
-            F.lit("sink_table"), sink,
-            F.lit("sink_columns"), F.lit("l_orderkey,l_partkey"),
-            F.lit("sink_family"), F.lit("info"),
-            F.lit("sink_row_key"), F.lit("row_id"),
-        )
-
-    old, new = row(F.concat(F.lit("sup_"), key)), row(F.concat(F.lit("sup_"), key, F.lit("_v2")))
-    current = F.when(F.col("s_suppkey") % 3 == 0, new).otherwise(old)
-    none = F.lit(None).cast(NO_IMAGE)
 
-    def change(step: int, op: str, before: Column, after: Column) -> Column:
-        return F.struct(
-            F.lit(step).alias("step"), F.lit(op).alias("op"), before.alias("before"), after.alias("after")
+    def row(suffix: str) -> str:
+        return _map_sql(
+            {
+                "source_table": "concat('shard_', s_suppkey)",
+                "sink_table": f"concat('sup_', s_suppkey, '{suffix}')",
+                "sink_columns": "'l_orderkey,l_partkey'",
+                "sink_family": "'info'",
+                "sink_row_key": "'row_id'",
+            }
         )
 
-    changes = F.array_compact(
-        F.array(
-            change(0, "c", none, old),
-            F.when(F.col("s_suppkey") % 3 == 0, change(1, "u", old, new)),
-            F.when(F.col("s_suppkey") % 7 == 0, change(2, "d", current, none)),
-        )
-    )
-    return suppliers.select("s_suppkey", F.inline(changes)).select(
-        (F.col("s_suppkey") * 10 + F.col("step")).alias("seq"),
-        "op", F.lit(CONFIG_DB).alias("db"), "before", "after",
-        source_of(CONFIG_DB, F.lit("table_process_dim")).alias("source"),
-        (F.lit(BASE_MS) + F.col("step") * 1000).cast("bigint").alias("ts_ms"),
-    )
+    return _change_rows(suppliers, "s_suppkey", row(""), row("_v2"), "c", CONFIG_DB, "table_process_dim")
 
 
 def shard_envelopes(lineitem: DataFrame) -> DataFrame:
     """Line items as snapshot rows of a table per supplier."""
-    after = F.create_map(
-        F.lit("row_id"), F.concat_ws("-", "l_orderkey", "l_linenumber"),
-        F.lit("l_orderkey"), F.col("l_orderkey").cast("string"),
-        F.lit("l_partkey"), F.col("l_partkey").cast("string"),
-    )
-    return lineitem.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
-        F.lit("r").alias("op"), F.lit(SHOP_DB).alias("db"),
-        F.lit(None).cast(NO_IMAGE).alias("before"), after.alias("after"),
-        source_of(SHOP_DB, F.concat(F.lit("shard_"), "l_suppkey")).alias("source"),
-        event_ms(F.col("l_shipdate")).alias("ts_ms"),
+    return lineitem.selectExpr(
+        "l_orderkey * 10 + l_linenumber AS seq", "'r' AS op", f"'{SHOP_DB}' AS db",
+        "cast(null AS map<string,string>) AS before",
+        "map('row_id', concat_ws('-', l_orderkey, l_linenumber), 'l_orderkey', string(l_orderkey), "
+        "'l_partkey', string(l_partkey)) AS after",
+        f"map('db', '{SHOP_DB}', 'table', concat('shard_', l_suppkey)) AS source",
+        "unix_millis(cast(l_shipdate AS timestamp)) AS ts_ms",
     )

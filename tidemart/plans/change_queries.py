@@ -15,7 +15,7 @@ from tidemart.sources.topics import change_table
 
 
 def cart_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ad.envelope_lines(ad.cart_envelopes(ad.table(spark, sf_dir, "lineitem")))
+    return ad.envelope_lines(ad.cart_envelopes(ad.spread(ad.table(spark, sf_dir, "lineitem"), "l_orderkey")))
 
 
 def cart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

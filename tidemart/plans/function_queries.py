@@ -111,14 +111,14 @@ _AMOUNT = (
 
 @query("F2_chinese_amount", _AMOUNT)
 def f2(spark, sf_dir):
-    return ad.table(spark, sf_dir, "orders").select(
+    return ad.spread(ad.table(spark, sf_dir, "orders"), "o_orderkey").select(
         "o_orderkey", amount.chinese_amount(F.col("o_totalprice")).alias("amount_text")
     )
 
 
 @query("F2_chinese_amount_exact", _AMOUNT)
 def f2_exact(spark, sf_dir):
-    return ad.table(spark, sf_dir, "orders").select(
+    return ad.spread(ad.table(spark, sf_dir, "orders"), "o_orderkey").select(
         "o_orderkey", amount.chinese_amount(F.col("o_totalprice"), "exact").alias("amount_text")
     )
 
@@ -128,7 +128,7 @@ def u2(spark, sf_dir):
     registry.register(spark)
     return spark.sql(
         "SELECT o_orderkey, convert_number_chinese_amount(o_totalprice) AS amount_text FROM {o}",
-        o=ad.table(spark, sf_dir, "orders"),
+        o=ad.spread(ad.table(spark, sf_dir, "orders"), "o_orderkey"),
     )
 
 
@@ -392,7 +392,7 @@ FROM p"""
 
 
 def hex_amounts(spark: SparkSession, sf_dir: str, wide: bool) -> DataFrame:
-    rows = ad.table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{_HEX} AS x")
+    rows = ad.spread(ad.table(spark, sf_dir, "orders"), "o_orderkey").selectExpr("o_orderkey", f"{_HEX} AS x")
     return rows.select(
         "o_orderkey", hexa.to_decimal_text(F.col("x"), wide=wide).alias("plain"),
         hexa.to_decimal_text(F.col("x"), divide=True, wide=wide).alias("units"),

@@ -8,14 +8,14 @@ from tidemart.operators import applog
 from tidemart.operators.parse import app_log_rows, route_bad
 from tidemart.operators.visitor import repair_log, repair_visitors
 from tidemart.plans import oracle_parts as sql
-from tidemart.plans.adapters import app_log_lines, table
+from tidemart.plans.adapters import app_log_lines, spread, table
 from tidemart.plans.registry import query
 from tidemart.schemas import app_log
 from tidemart.streaming.jobs import KEY_FIELDS
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return app_log_lines(table(spark, sf_dir, "events"))
+    return app_log_lines(spread(table(spark, sf_dir, "events"), "event_id"))
 
 
 def parsed(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
