@@ -19,6 +19,8 @@ from tidemart.functions.dates import DAY_MS, ts_to_date
 from tidemart.operators.visitor import repair_visitors, visitor_states
 from tidemart.sinks.upsert import read_upsert
 
+KEYED = -1  # lane of records that meet the state
+LANES = 1024
 COLUMNS = ["mid", "seq", "ts", "is_new", "value"]
 OUTPUT = T.StructType(
     [
@@ -67,25 +69,22 @@ class VisitorProcessor(StatefulProcessor):
         self.state = handle.getValueState("visit", schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-        if key[0] is None:
-            yield batch[COLUMNS]
+        if key[1] != KEYED:
+            for part in rows:
+                yield part[COLUMNS]
             return
-        known = self.state.get() if self.state.exists() else None
+        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
+        known = self.state.get()
         old = known[0] if known else None
-        usable = batch["ts"].notna().to_numpy()
-        flags = batch["is_new"].to_numpy(dtype=object, copy=True)
-        if usable.any():
-            fixed, new = step(
-                flags[usable],
-                batch["day"].to_numpy(dtype=object)[usable],
-                batch["eve"].to_numpy(dtype=object)[usable],
-                old,
-                self.rule,
-            )
-            flags[usable] = fixed
-            if new and new != old:
-                self.state.update((new,))
+        flags, new = step(
+            batch["is_new"].to_numpy(dtype=object),
+            batch["day"].to_numpy(dtype=object),
+            batch["eve"].to_numpy(dtype=object),
+            old,
+            self.rule,
+        )
+        if new and new != old:
+            self.state.update((new,))
         yield batch.assign(is_new=flags)[COLUMNS]
 
     def close(self) -> None:
@@ -98,14 +97,18 @@ def repair_visitor_stream(
     """``df(mid, seq, ts, is_new, value)`` with ``is_new`` rewritten.
 
     Records of a device are ordered by ``seq`` inside a micro-batch; the source's
-    per-trigger limit bounds how many there can be.
+    per-trigger limit bounds how many there can be. Records without a device or a
+    time pass through unchanged, over many lanes so that they do not pile up.
     """
+    usable = F.col("mid").isNotNull() & F.col("ts").isNotNull()
+    lane = F.when(usable, KEYED).otherwise(F.pmod("seq", F.lit(LANES))).cast("int")
     dated = df.select(
         *COLUMNS,
+        lane.alias("lane"),
         ts_to_date(F.col("ts"), tz).alias("day"),
         ts_to_date(F.col("ts") - F.lit(DAY_MS), tz).alias("eve"),
     )
-    return dated.groupBy("mid").transformWithStateInPandas(
+    return dated.groupBy("mid", "lane").transformWithStateInPandas(
         statefulProcessor=VisitorProcessor(rule, ttl_ms),
         outputStructType=OUTPUT,
         outputMode="Append",
