@@ -15,8 +15,11 @@ from tidemart.operators.lifecycle import final_actions, lifecycle_actions
 from tidemart.operators.routing import dim_route, fact_route, live_config
 from tidemart.sinks.daybucket import day_bucket_stream, write_day_buckets
 from tidemart.sinks.upsert import compact_to, read_upsert, upsert_batch
+from tidemart.sinks.topics import topic_sink
+from tidemart.sources.files import new_files_stream
 from tidemart.sources.tables import camel
 from tidemart.sources.topics import change_table
+from tidemart.streaming.runs import run_continuously
 
 ENVELOPE = (
     "seq bigint, op string, before map<string,string>, after map<string,string>, "
@@ -152,6 +155,34 @@ def test_day_buckets(spark, tmp_path):
         assert {r.value: r.day for r in back.collect()} == BUCKETS
 
 
+def test_lines_without_buckets(spark, tmp_path):
+    df = spark.createDataFrame([(v,) for v in BUCKETS], "value string")
+    write_day_buckets(df, str(tmp_path / "flat"), None)
+    assert {r.value for r in spark.read.text(str(tmp_path / "flat")).collect()} == set(BUCKETS)
+
+
+def test_one_table_of_an_upsert_folder(spark, tmp_path):
+    """Reading one sink table prunes the folders of the others."""
+    path = str(tmp_path / "dims")
+    df = spark.range(30).selectExpr("concat('ns:t', id % 3) AS sink_table", "id % 10 AS row_key", "id AS seq")
+    upsert_batch(df, path, 0, ["sink_table", "row_key"], ["seq"], ("sink_table",))
+    one = read_upsert(spark, path, ["sink_table", "row_key"]).filter("sink_table = 'ns:t1'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(sink_table" in plan
+    assert one.count() == 10
+
+
+def test_continuous_run(spark, tmp_path):
+    spark.range(5).selectExpr("string(id) AS value").write.text(str(tmp_path / "in"))
+    writer = topic_sink(
+        new_files_stream(spark, str(tmp_path / "in")), str(tmp_path / "cp"), format="text", path=str(tmp_path / "out")
+    )
+    running = run_continuously(writer, "lines", "1 second")
+    running.processAllAvailable()
+    running.stop()
+    assert spark.read.text(str(tmp_path / "out")).count() == 5
+
+
 def test_median_of_skewed_groups(spark):
     rng = random.Random(1)
     groups = {

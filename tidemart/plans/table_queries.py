@@ -140,7 +140,7 @@ def upsert(spark, sf_dir):
     changes = ad.all_dim_changes(spark, sf_dir)
     for batch_id, part in enumerate([changes.filter("op = 'r'"), changes.filter("op <> 'r'")]):
         routed = routing.dim_route(part, config, ad.NAMESPACE, keep=("ts_ms", "seq"))
-        upsert_batch(routed, path, batch_id, keys, order)
+        upsert_batch(routed, path, batch_id, keys, order, ("sink_table",))
     return flat_table(read_upsert(spark, path, keys))
 
 

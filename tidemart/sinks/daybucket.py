@@ -25,9 +25,16 @@ def day_rows(df: DataFrame, field: str, tz: str = "UTC", value: str = "value") -
 
 
 def write_day_buckets(
-    df: DataFrame, path: str, field: str, tz: str = "UTC", max_rows_per_file: int = 1_000_000
+    df: DataFrame, path: str, field: str | None, tz: str = "UTC", max_rows_per_file: int = 1_000_000
 ) -> None:
-    """Rebalancing by day keeps files few, and splits a day that holds too much."""
+    """Rebalancing by day keeps files few, and splits a day that holds too much.
+
+    Without a ``field`` all lines go to one folder.
+    """
+    if field is None:
+        lines = df.select("value").write.mode("overwrite")
+        lines.option("maxRecordsPerFile", max_rows_per_file).text(path)
+        return
     (
         day_rows(df, field, tz)
         .hint("rebalance", F.col("day"))

@@ -15,20 +15,16 @@ from tidemart.operators.envelope import latest_per_key
 
 
 def upsert_batch(
-    df: DataFrame, path: str, batch_id: int, keys: list[str], order: list[str]
+    df: DataFrame,
+    path: str,
+    batch_id: int,
+    keys: list[str],
+    order: list[str],
+    partition_by: tuple[str, ...] = (),
 ) -> None:
-    latest = latest_per_key(df, keys, order)
-    latest.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
-def upsert_batches(path: str, keys: list[str], order: list[str], transform=None):
-    """``upsert_batch`` as a ``foreachBatch`` function."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch) if transform else batch
-        upsert_batch(rows, path, batch_id, keys, order)
-
-    return write
+    """Write one batch. Reading some values of a ``partition_by`` key skips the other folders."""
+    writer = latest_per_key(df, keys, order).write.mode("overwrite").partitionBy(*partition_by)
+    writer.parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_upsert(
@@ -54,7 +50,13 @@ def read_upsert(
 
 
 def compact_to(
-    spark: SparkSession, path: str, new_path: str, keys: list[str], deleted: str | None = None
+    spark: SparkSession,
+    path: str,
+    new_path: str,
+    keys: list[str],
+    deleted: str | None = None,
+    partition_by: tuple[str, ...] = (),
 ) -> None:
     """Write the current rows as batch -1 of ``new_path``; new batches go there."""
-    read_upsert(spark, path, keys, deleted).write.parquet(f"{new_path}/batch_id=-1")
+    rows = read_upsert(spark, path, keys, deleted)
+    rows.write.partitionBy(*partition_by).parquet(f"{new_path}/batch_id=-1")

@@ -58,7 +58,9 @@ def dim_batches(path: str, namespace: str, config_changes, create_tables: bool =
             apply_lifecycle(batch.sparkSession, actions, namespace)
         config = config_columns(live_config(changes), CONFIG_DIM_COLUMNS)
         routed = dim_route(batch, config, namespace, keep=("ts_ms", "seq"))
-        upsert_batch(routed, path, batch_id, ["sink_table", "row_key"], ["ts_ms", "seq"])
+        upsert_batch(
+            routed, path, batch_id, ["sink_table", "row_key"], ["ts_ms", "seq"], ("sink_table",)
+        )
 
     return write
 
