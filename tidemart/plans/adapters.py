@@ -30,10 +30,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Rows over all cores by a unique ``key``, if there are fewer splits than cores.
 
     Worth it ahead of heavy work per row, such as JSON. Large inputs have splits
-    enough and are read as they lie; streams are left alone.
+    enough and are read as they lie.
     """
-    if df.isStreaming:
-        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 

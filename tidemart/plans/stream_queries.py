@@ -30,7 +30,7 @@ def stream_to_table(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
 
 
 def streamed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ad.app_log_lines(table_stream(spark, sf_dir, "events"))
+    return ad.app_log_lines(table_stream(spark, sf_dir, "events", "event_id"))
 
 
 def config_feed(config: DataFrame, names: list[str], table: str):
@@ -161,7 +161,7 @@ AND source_type = CASE op WHEN 'u' THEN 'update' ELSE 'insert' END GROUP BY 1"""
 def stream_fact_load(spark, sf_dir):
     path = work_path(spark, "j2s")
     config = fact_config_feed(spark)
-    changes = ad.cart_envelopes(table_stream(spark, sf_dir, "lineitem"))
+    changes = ad.cart_envelopes(table_stream(spark, sf_dir, "lineitem", "l_orderkey"))
     write = fact_batches(path, config, format="text", match_source_type=True)
     run_available(sink_all(changes, work_path(spark, "j2s-checkpoint"), write))
     num = F.get_json_object("value", "$.sku_num").cast("bigint")
@@ -198,7 +198,7 @@ def stream_audit(spark, sf_dir):
 
 @query("T3_watermark", sql.CART + "SELECT seq, op, ts_ms AS row_ms FROM cart")
 def cart_watermark(spark, sf_dir):
-    changes = ad.envelope_lines(ad.cart_envelopes(table_stream(spark, sf_dir, "lineitem")))
+    changes = ad.envelope_lines(ad.cart_envelopes(table_stream(spark, sf_dir, "lineitem", "l_orderkey")))
     rows = change_table(changes).select("seq", "op", F.unix_millis("row_time").alias("row_ms"))
     return stream_to_table(rows, "t3")
 

@@ -30,12 +30,19 @@ def file_run(df: DataFrame, path: str, checkpoint: str, *partition_by: str) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def table_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table of a folder as a stream; the schema is that of its files."""
-    schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
-    return (
-        spark.readStream.schema(schema)
+def table_stream(spark: SparkSession, sf_dir: str, table: str, spread_on: str = "") -> DataFrame:
+    """A table of a folder as a stream; the schema is that of its files.
+
+    With a ``spread_on`` key, a table of fewer splits than cores is spread over them.
+    """
+    files = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    stream = (
+        spark.readStream.schema(files.schema)
         .option("maxFilesPerTrigger", 1000)
         .option("pathGlobFilter", f"{table}.parquet")
         .parquet(sf_dir)
     )
+    cores = spark.sparkContext.defaultParallelism
+    if spread_on and files.rdd.getNumPartitions() < cores:
+        return stream.repartition(cores, spread_on)
+    return stream
