@@ -51,5 +51,7 @@ def work_path(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         app = spark.sparkContext.applicationId
-        root = _local_roots.setdefault(app, tempfile.mkdtemp(prefix="tidemart-"))
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="tidemart-")
+        root = _local_roots[app]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
