@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.session import prepare
+from tidemart.session import prepare, work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,7 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+import public_tokenizers  # noqa: E402
+
+from tidemart.llm.fingerprints import fingerprint_edits  # noqa: E402
 from tidemart.llm.licenses import scan_licenses  # noqa: E402
+from tidemart.llm.pieces import encode_pieces  # noqa: E402
+from tidemart.llm.token_files import read_token_files, write_token_files  # noqa: E402
 from tidemart.llm.url_rules import Rule, judge_urls  # noqa: E402
 
 URL_RULES = (
@@ -37,6 +42,28 @@ URL_RULES = (
 )
 
 
+@query("op1_pieces")
+def op1(spark, sf_dir):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return encode_pieces(table(spark, sf_dir, "documents"), path, keep_ids=False)
+
+
+@query("op3_fingerprint")
+def op3(spark, sf_dir):
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op6_token_files")
+def op6(spark, sf_dir):
+    parts = write_token_files(
+        table(spark, sf_dir, "documents"),
+        work_path(spark, "tokens"),
+        public_tokenizers.path("word_bpe_49k.json"),
+        end_id=1,
+    )
+    return read_token_files(parts)
+
+
 @query("op5_license_scan")
 def op5(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents"))

@@ -22,7 +22,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.ranges import bucket_of, cut_points, default_ranges, order_key
+from tidemart.llm.ranges import bucket_of, cut_points, default_ranges, order_key, whole_key
 from tidemart.llm.texts import pieces_of
 
 CACHE_ENTRIES = 300_000
@@ -120,7 +120,7 @@ def write_token_files(
     partitions) by approximate quantiles of the key alone. One exchange brings a
     range together, sorted by key and text; its task encodes and appends row by
     row, so that memory holds one slice of texts. Rows of a null key come first,
-    with the smallest long as key. A null or empty text has no ids but the end
+    and the smallest long stands for it in the files. A null or empty text has no ids but the end
     id. Repeated rows are written as often as they come. An empty table writes no
     part. Other columns are not read.
     """
@@ -199,7 +199,7 @@ def read_token_files(parts: DataFrame, key: str = "doc_id") -> DataFrame:
                     ]
                     yield pa.RecordBatch.from_pydict(
                         {
-                            key: np.array(part.keys[low : low + 4096]),
+                            key: whole_key(pa.array(np.array(part.keys[low : low + 4096]))),
                             "start": at[:-1] + r["base"],
                             "n_tokens": np.diff(at),
                             "ids_crc32": pa.array(crc, pa.int64()),
