@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemart.session import prepare, work_path
 
@@ -29,8 +30,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 import public_tokenizers  # noqa: E402
 
 from tidemart.llm.fingerprints import fingerprint_edits  # noqa: E402
+from tidemart.llm.language import fit_centroids, is_held_out, predict_language  # noqa: E402
 from tidemart.llm.licenses import scan_licenses  # noqa: E402
 from tidemart.llm.pieces import encode_pieces  # noqa: E402
+from tidemart.llm.quality import judge_quality  # noqa: E402
 from tidemart.llm.token_files import read_token_files, write_token_files  # noqa: E402
 from tidemart.llm.url_rules import Rule, judge_urls  # noqa: E402
 
@@ -64,6 +67,22 @@ def op6(spark, sf_dir):
     return read_token_files(parts)
 
 
+@query("op7_quality")
+def op7(spark, sf_dir):
+    judged = judge_quality(
+        table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), table(spark, sf_dir, "labels")
+    )
+    return judged.select("doc_id", "lang", "perplexity", "threshold", "kept")
+
+
+@query("op8_language")
+def op8(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    model = fit_centroids(docs, ~is_held_out(F.col("doc_id")))
+    found = predict_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 @query("op5_license_scan")
 def op5(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents"))

@@ -45,3 +45,12 @@ def whole_key(keys):
     import pyarrow.compute as pc
 
     return pc.if_else(pc.equal(keys, NULL_KEY), pa.scalar(None, pa.int64()), keys)
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Write a table into the shared work folder and read it again: later steps do not repeat what made it."""
+    from tidemart.session import work_path
+
+    path = work_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
