@@ -30,6 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 import public_tokenizers  # noqa: E402
 
 from tidemart.llm.fingerprints import fingerprint_edits  # noqa: E402
+from tidemart.llm.jaccard import link_components  # noqa: E402
 from tidemart.llm.language import fit_centroids, is_held_out, predict_language  # noqa: E402
 from tidemart.llm.licenses import scan_licenses  # noqa: E402
 from tidemart.llm.pieces import encode_pieces  # noqa: E402
@@ -83,6 +84,11 @@ def op8(spark, sf_dir):
     return found.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
 
 
+@query("op10_jaccard")
+def op10(spark, sf_dir):
+    return link_components(table(spark, sf_dir, "documents"))
+
+
 @query("op5_license_scan")
 def op5(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents"))
