@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemart.llm.components import smallest_reachable
-from tidemart.llm.ranges import stored
+from tidemart.llm.ranges import MASK, low_bits_mask, stored
 from tidemart.llm.texts import SPACES, Words, mix, pieces_of, utf8, windows
 
 WORDS = 5
@@ -33,7 +33,6 @@ RANK_BITS = 4
 FREQUENT = 1 << 17
 BLOCK = 512
 ANCHORS = 8
-FILTER_BITS = 22
 
 
 def _prefix(n: np.ndarray | int):
@@ -210,7 +209,7 @@ def cross_links(left: list[np.ndarray], right: list[np.ndarray]) -> list[tuple[i
 
 
 def document_sets(docs: DataFrame, order, key: str, text: str) -> DataFrame:
-    """(k, n, sig, prefix) of every row: size and signature of its set, and the shingles to be indexed."""
+    """(k, t, n, sig, prefix) of every row: hash of its text, size and signature of its set, the shingles to be indexed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,38 +218,27 @@ def document_sets(docs: DataFrame, order, key: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column(0),
+                        piece.column(2),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([signature(s) for s in sets], pa.int64()),
                         pa.array([s[: _prefix(len(s))].view(np.int64) if len(s) else [] for s in sets], pa.list_(pa.int64())),
                     ],
-                    names=["k", "n", "sig", "prefix"],
+                    names=["k", "t", "n", "sig", "prefix"],
                 )
 
-    return docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("text")).mapInArrow(
-        run, "k long, n long, sig long, prefix array<long>"
-    )
-
-
-def key_filter(keys: DataFrame) -> np.ndarray:
-    """A mask over the low bits of the keys ``k``, of fixed size: it misses none, and lets some others pass."""
-    low = F.coalesce(F.col("k"), F.lit(0)).bitwiseAND((1 << FILTER_BITS) - 1) + 1
-    cells = keys.select(F.bitmap_bucket_number(low).alias("b"), F.bitmap_bit_position(low).alias("p"))
-    mask = np.zeros(1 << FILTER_BITS, bool)
-    for r in cells.groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect():
-        start = (r["b"] - 1) << 15
-        mask[start : start + (1 << 15)] = np.unpackbits(np.frombuffer(bytes(r["m"]), np.uint8), bitorder="little")
-    return mask
+    rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("text"), F.xxhash64(text).alias("t"))
+    return rows.mapInArrow(run, "k long, t long, n long, sig long, prefix array<long>")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, order, key: str, text: str) -> DataFrame:
     """(sig, keys) of the classes in ``wanted`` (sig, k): their sets, made again from the text of row ``k``."""
     spark = docs.sparkSession
-    mask = spark.sparkContext.broadcast(key_filter(wanted))
+    mask = spark.sparkContext.broadcast(low_bits_mask(wanted, "k"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k = np.array(batch.column(0).fill_null(0), np.int64)
-            some = batch.filter(pa.array(mask.value[k & ((1 << FILTER_BITS) - 1)]))
+            some = batch.filter(pa.array(mask.value[k & (MASK)]))
             for piece in pieces_of(some, 1):
                 sets = row_sets(*utf8(piece.column(1)), order.value)
                 full = pa.array([len(s) > 0 for s in sets])
@@ -361,7 +349,7 @@ def far_links(own: DataFrame, nodes: DataFrame, roots: DataFrame, n_tasks: int)
 
 
 def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: key, n_shingles and component_id, the smallest key reachable by links.
+    """One row per row of ``docs``: key, n_shingles, component_id (the smallest key reachable by links), text_hash.
 
     Words are runs without ASCII blanks, A-Z lower-cased. A set has the distinct
     five-word shingles; with one to four words the whole sequence is the only
@@ -381,5 +369,22 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     lowest = labelled.groupBy("root").agg(F.min("low").alias("component"))
     labelled = labelled.join(lowest, "root").select(F.col("sig").alias("s"), F.col("n").alias("m"), "component")
-    out = sets.select("k", "n", "sig").join(labelled, (F.col("sig") == F.col("s")) & (F.col("n") == F.col("m")), "left")
-    return out.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "k").alias("component_id"))
+    out = sets.select("k", "t", "n", "sig").join(labelled, (F.col("sig") == F.col("s")) & (F.col("n") == F.col("m")), "left")
+    return out.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "k").alias("component_id"), F.col("t").alias("text_hash"))
+
+
+def keep_one_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the rows that link, through others or not, to a row with a smaller key.
+
+    Of repeated rows (same key, equal sets) one stays. Rows with empty sets all stay.
+    """
+    found = link_components(docs, key, text)
+    stay = found.where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(F.col(key).alias("k"), F.col("text_hash").alias("t"))
+    stay = stored(stay.agg(F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("n")), "stay")
+    same = docs[key].eqNullSafe(stay["k"]) & (F.xxhash64(docs[text]) == stay["t"])
+    kept = docs.join(stay, same, "left_semi")
+    # keys are unique as a rule; only if some are not, repeated rows are looked for
+    if stay.where("n > 0").groupBy("k").agg(F.sum("rows").alias("rows")).where("rows > 1").limit(1).count():
+        first = W.partitionBy(key, F.when(F.coalesce(F.trim(text), F.lit("")) == "", F.rand()).otherwise(F.lit(0.0))).orderBy(text)
+        kept = kept.withColumn("__at", F.row_number().over(first)).where("__at = 1").drop("__at")
+    return kept

@@ -15,7 +15,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,26 @@ PAIR_ENTRIES = 1_000_000
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
+def cut_pattern(pieces: Iterable[str]) -> tuple[bool, re.Pattern]:
+    """Where a text may be cut because no piece reaches over: the segments are encoded, and remembered, one by one.
+
+    That is before a blank that follows another sign, between a letter and what
+    is no letter, and around line ends, each as far as the vocabulary bears it
+    out.
+    """
+    follows = {(a, b) for p in pieces for a, b in itertools.pairwise(p)}
+    if any(b == BLANK != a for a, b in follows):
+        return False, re.compile("(?s).+")
+    letters = {c for c in map(chr, [*range(48, 58), *range(65, 123), *range(0xC0, 0x250)]) if c.isalnum()}
+    while bad := {a for a, b in follows if a in letters and b not in letters}:
+        letters -= bad
+    lone = "" if any("\n" in pair for pair in follows) else "\n"
+    word, other = re.escape("".join(sorted(letters))), f"{BLANK}{lone}"
+    signs = f"[^{word}{other}]"
+    pattern = f"{BLANK}+{signs}*[{word}]*|{signs}+[{word}]*|[{word}]+" + (f"|{lone}" if lone else "")
+    return True, re.compile(pattern)
+
+
 class PieceModel:
     """Encoder and decoder of a merge-type model with byte fallback."""
 
@@ -56,7 +76,7 @@ class PieceModel:
         self.byte_of = {i: b for b, i in self.byte_id.items()}
         self.control = {i for i, p in enumerate(model.pieces) if p.type == CONTROL}
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == UNKNOWN)
-        self.cuts, self.segment = self._cuts()
+        self.cuts, self.segment = cut_pattern(self.id_of)
         self._derive()
         self.automaton = ahocorasick.Automaton()
         for p in self.id_of:
@@ -90,25 +110,6 @@ class PieceModel:
             signs = [*signs[:at], signs[at] + signs[at + 1], *signs[at + 2 :]]
             states.append(signs)
 
-    def _cuts(self) -> tuple[bool, re.Pattern]:
-        """Where a text may be cut because no piece reaches over: the segments are encoded, and remembered, one by one.
-
-        That is before a blank that follows another sign, between a letter and
-        what is no letter, and around line ends, each as far as the vocabulary
-        bears it out.
-        """
-        follows = {(a, b) for p in self.id_of for a, b in itertools.pairwise(p)}
-        if any(b == BLANK != a for a, b in follows):
-            return False, re.compile("(?s).+")
-        letters = {c for c in map(chr, [*range(48, 58), *range(65, 123), *range(0xC0, 0x250)]) if c.isalnum()}
-        while bad := {a for a, b in follows if a in letters and b not in letters}:
-            letters -= bad
-        lone = "" if any("\n" in pair for pair in follows) else "\n"
-        word, other = re.escape("".join(sorted(letters))), f"{BLANK}{lone}"
-        signs = f"[^{word}{other}]"
-        pattern = f"{BLANK}+{signs}*[{word}]*|{signs}+[{word}]*|[{word}]+" + (f"|{lone}" if lone else "")
-        return True, re.compile(pattern)
-
     def _derive(self) -> None:
         """The last merge of each piece, its rank, and which pieces need the plain rule.
 

@@ -29,12 +29,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 import public_tokenizers  # noqa: E402
 
+from tidemart.llm.decontaminate import find_leaks  # noqa: E402
 from tidemart.llm.fingerprints import fingerprint_edits  # noqa: E402
 from tidemart.llm.jaccard import link_components  # noqa: E402
 from tidemart.llm.language import fit_centroids, is_held_out, predict_language  # noqa: E402
 from tidemart.llm.licenses import scan_licenses  # noqa: E402
 from tidemart.llm.pieces import encode_pieces  # noqa: E402
 from tidemart.llm.quality import judge_quality  # noqa: E402
+from tidemart.llm.token_counts import count_tokens  # noqa: E402
 from tidemart.llm.token_files import read_token_files, write_token_files  # noqa: E402
 from tidemart.llm.url_rules import Rule, judge_urls  # noqa: E402
 
@@ -89,6 +91,17 @@ def op10(spark, sf_dir):
     return link_components(table(spark, sf_dir, "documents"))
 
 
+@query("op2_decontamination")
+def op2(spark, sf_dir):
+    leaks = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", "share")
+
+
+@query("op4_token_counts")
+def op4(spark, sf_dir):
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op5_license_scan")
 def op5(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NULL_KEY = -(1 << 63)
+MASK = (1 << 22) - 1
 
 
 def order_key(key: str) -> Column:
@@ -54,3 +55,16 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     path = work_path(rows.sparkSession, name)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def low_bits_mask(values: DataFrame, column: str):
+    """A mask over the low bits of a long column, of fixed size: it misses no value, and lets some others pass."""
+    import numpy as np
+
+    low = F.coalesce(F.col(column), F.lit(0)).bitwiseAND(MASK) + 1
+    cells = values.select(F.bitmap_bucket_number(low).alias("b"), F.bitmap_bit_position(low).alias("p"))
+    mask = np.zeros(MASK + 1, bool)
+    for r in cells.groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect():
+        start = (r["b"] - 1) << 15
+        mask[start : start + (1 << 15)] = np.unpackbits(np.frombuffer(bytes(r["m"]), np.uint8), bitorder="little")
+    return mask
