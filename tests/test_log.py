@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemart.operators import applog
-from tidemart.operators.parse import app_log_rows, drop_bad, fail_on_bad, route_bad
+from tidemart.operators.parse import app_log_rows, drop_bad, fail_on_bad, log_rows, route_bad
 from tidemart.schemas import app_log
 
 COMMON = {"mid": "m1", "is_new": "1"}
@@ -31,7 +31,7 @@ EXPECTED = [
 @pytest.fixture
 def rows(spark):
     lines = [(i, json.dumps(r)) for i, r in enumerate(RECORDS)]
-    return app_log_rows(spark.createDataFrame(lines, "seq int, value string"), app_log()).drop("value")
+    return log_rows(spark.createDataFrame(lines, "seq int, value string")).drop("value")
 
 
 def count_by(df):
@@ -40,7 +40,7 @@ def count_by(df):
 
 def test_split(rows):
     outputs = [
-        applog.err_rows(rows, "seq"), applog.start_rows(rows), applog.display_rows(rows, "seq"),
+        applog.err_rows(rows, "seq"), applog.start_rows(rows, "seq"), applog.display_rows(rows, "seq"),
         applog.action_rows(rows, "seq"), applog.page_rows(rows, "seq"),
     ]
     counts = [count_by(df) for df in outputs]
@@ -62,6 +62,24 @@ def test_fan_out_text(rows):
     assert sum(map(len, got.values())) == sum(map(sum, EXPECTED))
 
 
+def test_unknown_fields_pass_on(spark):
+    """Fields no schema names, and texts where a number is usual, reach the messages."""
+    record = {
+        "common": {"mid": "m", "is_new": "1", "net": "5g"}, "page": {"page_id": "p", "refer_id": "r", "during_time": "x1"},
+        "displays": [{"item": "1", "rank": 3}], "actions": [{"action_id": "a", "way": ["w"]}],
+        "err": {"error_code": "E7", "stack": {"at": [1, None]}}, "tag": {"deep": 1.25}, "ts": 9,
+    }
+    df = log_rows(spark.createDataFrame([(json.dumps(record),)], "value string")).drop("value")
+    got = {r.topic: json.loads(r.value) for r in applog.fan_out(df).collect()}
+    context = {"common": record["common"], "page": record["page"]}
+    assert got == {
+        "log_err": record["err"],
+        "log_display": {**context, "display": record["displays"][0], "ts": 9},
+        "log_action": {**context, "action": record["actions"][0]},
+        "log_page": {**context, "tag": record["tag"], "ts": 9},
+    }
+
+
 CASES = {
     '{"common":{"mid":"m"},"ts":5}': True,
     '  {"ts":5}  ': True,
@@ -73,6 +91,9 @@ CASES = {
     '[{"ts":5}]': False,
     "plain": False,
     '{"ts":5} x': False,
+    '{"ts":5}{"ts":6}': False,
+    '{"ts":5},{"ts":6}': False,
+    '{"ts":5}]': False,
     "null": False,
     "": False,
 }
@@ -93,6 +114,9 @@ def test_fail_on_bad(spark):
     broken = spark.createDataFrame([('{"ts":',)], "value string")
     with pytest.raises(Exception, match="MALFORMED|Malformed"):
         fail_on_bad(broken, {"ts": "string"}).collect()
+    for text in ('{"ts":1} x', '{"ts":1}{"ts":2}', '{"ts":1},{"ts":2}', "", "[1]", "null"):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            fail_on_bad(spark.createDataFrame([(text,)], "value string"), {"ts": "string"}).collect()
 
 
 def test_one_parse_per_record(spark):

@@ -21,7 +21,7 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     assert difference(df, con, entry.oracle_sql()[name]) is None

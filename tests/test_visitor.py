@@ -1,11 +1,13 @@
 """The visitor-flag repair in all its forms against a plain state machine."""
 
+import json
 import datetime as dt
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemart.operators.parse import log_rows
 from tidemart.operators.visitor import repair_log, repair_visitors, visitor_states
 from tidemart.sinks.upsert import read_upsert
 from tidemart.streaming.runs import run_available
@@ -95,12 +97,14 @@ def test_event_time(spark, chunk):
 
 
 def test_repair_log_keeps_the_record(spark):
-    df = spark.sql(
-        f"SELECT id AS seq, {BASE} + id * {DAY} AS ts, "
-        "if(id = 2, null, named_struct('mid', 'm', 'is_new', '1', 'os', 'x')) AS common FROM range(3)"
+    lines = spark.sql(
+        f"""SELECT id AS seq, to_json(named_struct('ts', {BASE} + id * {DAY}, 'tag', 'g', 'common',
+            if(id = 2, null, named_struct('mid', 'm', 'is_new', '1', 'os', 'x', 'net', '5g')))) AS value FROM range(3)"""
     )
-    got = {r.seq: r.common for r in repair_log(df).collect()}
-    assert got[0].is_new == "1" and got[1].is_new == "0" and got[1].os == "x" and got[2] is None
+    got = {r.seq: json.loads(r.v) for r in repair_log(log_rows(lines)).select("seq", F.to_json("record").alias("v")).collect()}
+    assert [got[i]["common"]["is_new"] for i in (0, 1)] == ["1", "0"]
+    assert got[1]["common"]["os"] == "x" and got[1]["common"]["net"] == "5g" and got[1]["tag"] == "g"
+    assert "common" not in got[2] and got[2]["tag"] == "g"
 
 
 def write_parts(spark, rows, path, parts):

@@ -14,39 +14,78 @@ DEFAULT_TOPICS = {
 }
 
 
+def field(item: Column, path: str, kind: str = "string") -> Column:
+    """A typed value inside a record's item; null where it is missing or does not fit."""
+    return F.try_variant_get(item, path, kind)
+
+
+def items(record: Column, name: str) -> Column:
+    """The items of an array field; null if it is missing or no array."""
+    return F.try_variant_get(record[name], "$", "array<variant>")
+
+
+def has(record: Column, name: str) -> Column:
+    return record[name].isNotNull() & ~F.is_variant_null(record[name])
+
+
 def err_rows(df: DataFrame, *keep: str) -> DataFrame:
     """The ``err`` object alone; its record goes on to the other outputs."""
-    return df.filter(F.col("err").isNotNull()).select(*keep, "err.*")
+    record = F.col("record")
+    return df.filter(has(record, "err")).select(*keep, record["err"].alias("err"))
 
 
-def start_rows(df: DataFrame) -> DataFrame:
+def start_rows(df: DataFrame, *keep: str) -> DataFrame:
     """P10: records with ``start`` go here and nowhere else, without ``err``."""
-    return df.filter(F.col("start").isNotNull()).drop("err")
+    record = F.col("record")
+    return df.filter(has(record, "start")).select(*keep, without_err(record).alias("record"))
 
 
 def display_rows(df: DataFrame, *keep: str) -> DataFrame:
     """One row per display of a non-start record."""
-    return df.filter(F.col("start").isNull()).select(
-        *keep, "common", "page", F.explode("displays").alias("display"), "ts"
+    record = F.col("record")
+    return df.filter(~has(record, "start")).select(
+        *keep, record["common"].alias("common"), record["page"].alias("page"),
+        F.explode(items(record, "displays")).alias("display"), record["ts"].alias("ts"),
     )
 
 
 def action_rows(df: DataFrame, *keep: str) -> DataFrame:
     """One row per action of a non-start record; no record time."""
-    return df.filter(F.col("start").isNull()).select(
-        *keep, "common", "page", F.explode("actions").alias("action")
+    record = F.col("record")
+    return df.filter(~has(record, "start")).select(
+        *keep, record["common"].alias("common"), record["page"].alias("page"),
+        F.explode(items(record, "actions")).alias("action"),
     )
 
 
-def _unless_filled(name: str) -> Column:
-    return F.when(F.size(name) == 0, F.col(name)).alias(name)
-
-
 def page_rows(df: DataFrame, *keep: str) -> DataFrame:
     """Every non-start record without ``err`` and without filled arrays."""
-    return df.filter(F.col("start").isNull()).select(
-        *keep, "common", "page", _unless_filled("displays"), _unless_filled("actions"), "ts"
-    )
+    record = F.col("record")
+    return df.filter(~has(record, "start")).select(*keep, page_record(record).alias("record"))
+
+
+def without_err(record: Column) -> Column:
+    return F.map_filter(record, lambda name, _: name != "err")
+
+
+def page_record(record: Column) -> Column:
+    """A record without ``err`` and without the arrays whose items are messages of their own."""
+
+    def goes(name: Column) -> Column:
+        filled = [(name == n) & (F.coalesce(F.size(items(record, n)), F.lit(0)) > 0) for n in ("displays", "actions")]
+        return (name == "err") | filled[0] | filled[1]
+
+    return F.map_filter(record, lambda name, _: ~goes(name))
+
+
+def set_flag(record: Column, flag: Column) -> Column:
+    """The record with another ``common.is_new``; all else stays."""
+    common = F.try_variant_get(record["common"], "$", "map<string,variant>")
+    other = F.map_filter(common, lambda name, _: name != "is_new")
+    changed = F.to_variant_object(F.map_concat(other, F.create_map(F.lit("is_new"), flag.cast("variant"))))
+    rest = F.map_filter(record, lambda name, _: name != "common")
+    # a ``common`` that is no object, and a flag that is missing, stay as they are
+    return F.when(common.isNotNull() & flag.isNotNull(), F.map_concat(F.create_map(F.lit("common"), changed), rest)).otherwise(record)
 
 
 def fan_out(
@@ -54,51 +93,35 @@ def fan_out(
 ) -> DataFrame:
     """K3: (topic, value) rows for all five outputs from one pass over ``df``.
 
-    One generator lists the messages of a record and one projection writes them
-    out, so nothing is cached or scanned again and a topic-aware sink sends them
-    in one job.
+    One generator lists the messages of a record, so nothing is cached or scanned
+    again and a topic-aware sink sends them in one job. Messages hold whatever
+    fields the record had.
     """
     names = {**DEFAULT_TOPICS, **(topics or {})}
-    is_start = F.col("start").isNotNull()
-    display_type = df.schema["displays"].dataType.elementType.simpleString()
-    action_type = df.schema["actions"].dataType.elementType.simpleString()
-
-    def message(kind: str, display: Column | None = None, action: Column | None = None) -> Column:
-        return F.struct(
-            F.lit(kind).alias("_kind"),
-            (F.lit(None).cast(display_type) if display is None else display).alias("_display"),
-            (F.lit(None).cast(action_type) if action is None else action).alias("_action"),
-        )
-
-    none = F.array().cast(
-        f"array<struct<_kind:string,_display:{display_type},_action:{action_type}>>"
-    )
+    record = F.col("record")
+    is_start = has(record, "start")
+
+    def message(kind: str, value: Column) -> Column:
+        return F.struct(F.lit(names[kind]).alias("topic"), value.alias("value"))
+
+    def item_message(kind: str, item: Column, *last: Column) -> Column:
+        context = [record["common"].alias("common"), record["page"].alias("page")]
+        return message(kind, F.to_json(F.struct(*context, item.alias(kind), *last)))
+
+    none = F.array().cast("array<struct<topic:string,value:string>>")
     messages = F.concat(
-        F.when(F.col("err").isNotNull(), F.array(message("err"))).otherwise(none),
+        F.when(has(record, "err"), F.array(message("err", F.to_json(record["err"])))).otherwise(none),
         F.when(
-            ~is_start & (F.size("displays") > 0),
-            F.transform("displays", lambda d: message("display", display=d)),
+            ~is_start,
+            F.coalesce(
+                F.transform(items(record, "displays"), lambda d: item_message("display", d, record["ts"].alias("ts"))), none
+            ),
         ).otherwise(none),
         F.when(
-            ~is_start & (F.size("actions") > 0),
-            F.transform("actions", lambda a: message("action", action=a)),
+            ~is_start, F.coalesce(F.transform(items(record, "actions"), lambda a: item_message("action", a)), none)
         ).otherwise(none),
-        F.when(is_start, F.array(message("start"))).otherwise(F.array(message("page"))),
-    )
-    kind = F.col("_kind")
-
-    def array_left(name: str) -> Column:
-        stays = (kind == "start") | ((kind == "page") & (F.size(name) == 0))
-        return F.when(stays, F.col(name)).alias(name)
-
-    # Null fields are left out of the text, so one layout serves four kinds.
-    record = F.struct(
-        "common", "page", array_left("displays"), array_left("actions"), "start",
-        F.col("_display").alias("display"), F.col("_action").alias("action"),
-        F.when(kind != "action", F.col("ts")).alias("ts"),
-    )
-    value = F.when(kind == "err", F.to_json("err")).otherwise(F.to_json(record))
-    topic = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[kind]
-    return df.select("*", F.inline(messages)).select(
-        *keep, topic.alias("topic"), value.alias("value")
+        F.when(is_start, F.array(message("start", F.to_json(without_err(record))))).otherwise(
+            F.array(message("page", F.to_json(page_record(record))))
+        ),
     )
+    return df.select(*keep, F.inline(messages))

@@ -4,27 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.schemas import BAD_RECORD, ddl
-
 
 def _looks_like_object(value: Column) -> Column:
-    # from_json stops after the first value, so text behind it must be caught here.
     return value.rlike(r"\A\s*\{") & value.rlike(r"\}\s*\z")
 
 
-def _well_formed(parsed: Column, value: Column) -> Column:
-    # A field of an unexpected type also fills the bad-record field although the
-    # text is sound; only then is the text parsed again, without a schema.
-    return (
-        parsed.isNotNull()
-        & _looks_like_object(value)
-        & (parsed[BAD_RECORD].isNull() | F.try_parse_json(value).isNotNull())
-    )
+def _only(parsed: Column, value: Column) -> Column:
+    """Whether the text held one object and nothing else."""
+    return (F.size(parsed) == 1) & F.get(parsed, F.lit(0)).isNotNull() & _looks_like_object(value)
+
+
+def _parse(value: Column, kind: str, **options: str) -> Column:
+    """The text as the items of an array: text behind the first object shows as a fault or a second item."""
+    return F.from_json(F.concat(F.lit("["), value, F.lit("]")), f"array<{kind}>", options)
+
+
+def _struct(fields: dict[str, str]) -> str:
+    return "struct<" + ", ".join(f"`{name}`: {kind}" for name, kind in fields.items()) + ">"
 
 
-def _parse(value: Column, fields: dict[str, str]) -> Column:
-    schema = ddl({**fields, BAD_RECORD: "string"})
-    return F.from_json(value, schema, {"columnNameOfCorruptRecord": BAD_RECORD})
+def _good(value: Column, kind: str) -> Column:
+    """The object as a one-item array, empty where the text is bad; it holds the only use of ``from_json``."""
+    return F.flatten(F.filter(F.array(_parse(value, kind)), lambda p: _only(p, value)))
 
 
 def drop_bad(df: DataFrame, fields: dict[str, str], value: str = "value") -> DataFrame:
@@ -33,15 +34,17 @@ def drop_bad(df: DataFrame, fields: dict[str, str], value: str = "value") -> Dat
     The generator holds the only use of ``from_json``. A plain filter over a
     parsed column would be pushed below the projection and parse twice.
     """
-    text = F.col(value)
-    good = F.filter(F.array(_parse(text, fields)), lambda p: _well_formed(p, text))
-    return df.select("*", F.inline(good)).drop(BAD_RECORD)
+    return df.select("*", F.inline(_good(F.col(value), _struct(fields))))
+
+
+def log_records(df: DataFrame, value: str = "value", name: str = "record") -> DataFrame:
+    """Keep rows whose ``value`` is a JSON object; all its fields, known or not, in a map column."""
+    return df.select("*", F.explode(_good(F.col(value), "map<string,variant>")).alias(name))
 
 
 def is_bad(value: Column) -> Column:
     """True where ``value`` is not a JSON object."""
-    good = F.filter(F.array(_parse(value, {})), lambda p: _well_formed(p, value))
-    return F.size(good) == 0
+    return F.coalesce(F.size(_good(value, "struct<_none: string>")) != 1, F.lit(True))
 
 
 def route_bad(
@@ -59,11 +62,20 @@ def fail_on_bad(
     The generator keeps later filters from copying the parse into themselves.
     """
     rows = df.filter(F.col(value).isNotNull()) if skip_null else df
-    parsed = F.from_json(F.col(value), ddl(fields), {"mode": "FAILFAST"})
-    return rows.select("*", F.inline(F.array(parsed)))
+    kind, text = _struct(fields), F.col(value)
+    fault = F.raise_error(F.concat(F.lit("Malformed record: "), F.coalesce(F.left(text, F.lit(200)), F.lit("null"))))
+    checked = F.transform(
+        F.array(_parse(text, kind, mode="FAILFAST")), lambda p: F.when(_only(p, text), p).otherwise(fault.cast(f"array<{kind}>"))
+    )
+    return rows.select("*", F.inline(F.flatten(checked)))
 
 
 def app_log_rows(df: DataFrame, fields: dict[str, str], value: str = "value") -> DataFrame:
     """``drop_bad`` for the app log, with a numeric ``ts``."""
     rows = drop_bad(df, fields, value)
     return rows.withColumn("ts", F.col("ts").try_cast("bigint")) if "ts" in fields else rows
+
+
+def log_rows(df: DataFrame, value: str = "value") -> DataFrame:
+    """``log_records`` with a numeric ``ts`` next to ``record``."""
+    return log_records(df, value).withColumn("ts", F.try_variant_get(F.col("record")["ts"], "$", "string").try_cast("bigint"))

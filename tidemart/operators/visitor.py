@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidemart.functions.dates import DAY_MS, local_date
+from tidemart.operators.applog import field, set_flag
 
 CHUNK_ROWS = 1_000_000
 CHUNK_MS = 600_000
@@ -165,15 +166,11 @@ def visitor_states(
 
 
 def repair_log(df: DataFrame, narrow: DataFrame | None = None, **options) -> DataFrame:
-    """``repair_visitors`` on parsed log rows, rewriting ``common.is_new``."""
+    """``repair_visitors`` on log records, rewriting ``common.is_new`` in ``record``.
 
-    def keyed(frame: DataFrame) -> DataFrame:
-        return frame.withColumns({"mid": F.col("common.mid"), "is_new": F.col("common.is_new")})
-
-    fixed = repair_visitors(
-        keyed(df), narrow=None if narrow is None else keyed(narrow), **options
-    )
-    common = F.when(
-        F.col("common").isNotNull(), F.col("common").withField("is_new", F.col("is_new"))
-    )
-    return fixed.withColumn("common", common).select(*df.columns)
+    ``narrow`` gives the keys (``seq``, ``ts``, ``mid``, ``is_new``) from a cheaper parse.
+    """
+    record = F.col("record")
+    keyed = df.withColumns({"mid": field(record["common"], "$.mid"), "is_new": field(record["common"], "$.is_new")})
+    fixed = repair_visitors(keyed, narrow=narrow, **options)
+    return fixed.withColumn("record", set_flag(record, F.col("is_new"))).select(*df.columns)

@@ -26,16 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores by a unique ``key``, if there are fewer splits than cores.
-
-    Worth it ahead of heavy work per row, such as JSON. Large inputs have splits
-    enough and are read as they lie.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def event_ms(ts: Column) -> Column:
     return F.unix_millis(ts.cast("timestamp"))
 
@@ -54,23 +44,30 @@ to_json(named_struct(
   'common', named_struct(
     'ar', string(user_id % 34), 'ba', concat('brand_', k % 7), 'ch', concat('ch_', k % 4),
     'is_new', if(k % 3 = 0, '0', '1'), 'md', concat('model_', k % 11),
-    'mid', concat('mid_', user_id), 'os', concat('os_', k % 2), 'sid', concat('sid_', event_id),
+    'mid', concat('mid_', user_id), 'net', concat('net_', k % 3), 'os', concat('os_', k % 2), 'sid', concat('sid_', event_id),
     'uid', string(user_id), 'vc', concat('v2.', k % 10, '.0')),
   'page', if(event_type <> 'signup', named_struct(
-    'during_time', k * 100, 'from_pos_id', k % 9, 'from_pos_seq', k % 5, 'item', string(k),
-    'item_type', 'sku_id', 'last_page_id', 'home', 'page_id', event_type), null),
+    'during_time', if(k % 13 = 0, concat('x', k), string(k * 100)), 'from_pos_id', k % 9, 'from_pos_seq', k % 5, 'item', string(k),
+    'item_type', 'sku_id', 'last_page_id', 'home', 'page_id', event_type,
+    'refer_id', concat('ref_', k % 6)), null),
   'displays', if(event_type = 'view' and k % 5 > 0, transform(sequence(0L, k % 5 - 1), i -> named_struct(
-    'item', string(k + i), 'item_type', 'sku_id', 'pos_id', k % 6, 'pos_seq', i)), null),
+    'item', string(k + i), 'item_type', 'sku_id', 'pos_id', k % 6, 'pos_seq', i,
+    'rank', k % 4)), null),
   'actions', if(event_type in ('click', 'purchase'), transform(sequence(0L, k % 2), i -> named_struct(
-    'action_id', event_type, 'item', string(k + i), 'item_type', 'sku_id', 'ts', ms + i)), null),
+    'action_id', event_type, 'item', string(k + i), 'item_type', 'sku_id', 'ts', ms + i,
+    'way', concat('way_', k % 2))), null),
   'start', if(event_type = 'signup', named_struct('entry', 'icon', 'loading_time', k), null),
-  'err', if(event_type = 'error', named_struct('error_code', k + 1000, 'msg', concat('msg_', k)), null),
-  'ts', ms))
+  'err', if(event_type = 'error', named_struct('error_code', if(k % 5 = 0, concat('E', k), string(k + 1000)),
+    'msg', concat('msg_', k), 'stack', concat('at ', k % 8)), null),
+  'tag', concat('tag_', k % 9), 'ts', ms))
 """
 
 
 def app_log_lines(events: DataFrame) -> DataFrame:
-    """(seq, value): one JSON log line per event; every 50th is cut short."""
+    """(seq, value): one JSON log line per event; every 50th is cut short.
+
+    The lines hold fields that no schema names, and texts where a number is usual.
+    """
     rows = events.selectExpr(
         "event_id", "user_id", "event_type",
         "unix_millis(cast(ts AS timestamp)) AS ms",

@@ -5,23 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemart.operators import applog
-from tidemart.operators.parse import app_log_rows, route_bad
+from tidemart.operators.applog import field
+from tidemart.operators.parse import app_log_rows, log_rows, route_bad
 from tidemart.operators.visitor import repair_log, repair_visitors
 from tidemart.plans import oracle_parts as sql
-from tidemart.plans.adapters import app_log_lines, spread, table
+from tidemart.plans.adapters import app_log_lines, table
 from tidemart.plans.registry import query
 from tidemart.schemas import app_log
 from tidemart.streaming.jobs import KEY_FIELDS
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return app_log_lines(spread(table(spark, sf_dir, "events"), "event_id"))
+    return app_log_lines(table(spark, sf_dir, "events"))
 
 
 def parsed(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     return app_log_rows(lines(spark, sf_dir), app_log(*names)).drop("value")
 
 
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_rows(lines(spark, sf_dir)).drop("value")
+
+
 def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = app_log_rows(lines(spark, sf_dir), KEY_FIELDS)
     return rows.select("seq", "ts", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"))
@@ -53,92 +58,116 @@ def valid_rows(spark, sf_dir):
     return good.select("seq", F.col("common.mid").alias("mid"))
 
 
+_CODE = "CASE WHEN k % 5 = 0 THEN 'E' || k ELSE CAST(k + 1000 AS VARCHAR) END"
+_DURING = "CASE WHEN k % 13 = 0 THEN 'x' || k ELSE CAST(k * 100 AS VARCHAR) END"
+
+
+def texts(item, *names: str) -> list:
+    """Text fields of an object column, by name."""
+    return [field(F.col(item), f"$.{n}").alias(n) for n in names]
+
+
 @query(
     "P9_err",
-    sql.LOG + "SELECT seq, k + 1000 AS error_code, 'msg_' || k AS msg FROM al WHERE event_type = 'error'",
+    sql.LOG + f"""
+SELECT seq, {_CODE} AS error_code, 'msg_' || k AS msg, 'at ' || k % 8 AS stack FROM al WHERE event_type = 'error'""",
 )
 def err(spark, sf_dir):
-    return applog.err_rows(parsed(spark, sf_dir, "err"), "seq")
+    return applog.err_rows(records(spark, sf_dir), "seq").select("seq", *texts("err", "error_code", "msg", "stack"))
 
 
 @query(
     "P10_start",
     sql.LOG + """
-SELECT seq, mid, 'icon' AS entry, k AS loading_time, ts FROM al WHERE event_type = 'signup'""",
+SELECT seq, mid, 'icon' AS entry, k AS loading_time, ts, 'net_' || k % 3 AS net, 'tag_' || k % 9 AS tag
+FROM al WHERE event_type = 'signup'""",
 )
 def start(spark, sf_dir):
-    return applog.start_rows(parsed(spark, sf_dir, "common", "start", "err", "ts")).select(
-        "seq", F.col("common.mid").alias("mid"), "start.entry", "start.loading_time", "ts"
+    rows = applog.start_rows(records(spark, sf_dir), "seq", "ts")
+    record = F.col("record")
+    return rows.select(
+        "seq", field(record["common"], "$.mid").alias("mid"), field(record["start"], "$.entry").alias("entry"),
+        field(record["start"], "$.loading_time", "bigint").alias("loading_time"), "ts",
+        field(record["common"], "$.net").alias("net"), field(record["tag"], "$").alias("tag"),
     )
 
 
 @query(
     "P11_displays",
     sql.LOG + """
-SELECT seq, mid, page_id, CAST(k + i AS VARCHAR) AS item, k % 6 AS pos_id, i AS pos_seq, ts
+SELECT seq, mid, page_id, 'ref_' || k % 6 AS refer_id, CAST(k + i AS VARCHAR) AS item, CAST(k % 6 AS VARCHAR) AS pos_id,
+  CAST(i AS VARCHAR) AS pos_seq, CAST(k % 4 AS VARCHAR) AS rank, ts
 FROM (SELECT *, unnest(range(nd)) AS i FROM al WHERE nd > 0)""",
 )
 def displays(spark, sf_dir):
-    rows = parsed(spark, sf_dir, "common", "page", "displays", "start", "ts")
-    return applog.display_rows(rows, "seq").select(
-        "seq", F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"),
-        "display.item", "display.pos_id", "display.pos_seq", "ts",
+    return applog.display_rows(records(spark, sf_dir), "seq").select(
+        "seq", *texts("common", "mid"), *texts("page", "page_id", "refer_id"),
+        *texts("display", "item", "pos_id", "pos_seq", "rank"), field(F.col("ts"), "$", "bigint").alias("ts"),
     )
 
 
 @query(
     "P12_actions",
     sql.LOG + """
-SELECT seq, mid, page_id, event_type AS action_id, CAST(k + i AS VARCHAR) AS item, ts + i AS action_ts
+SELECT seq, mid, page_id, 'net_' || k % 3 AS net, event_type AS action_id, CAST(k + i AS VARCHAR) AS item,
+  'way_' || k % 2 AS way, ts + i AS action_ts
 FROM (SELECT *, unnest(range(na)) AS i FROM al WHERE na > 0)""",
 )
 def actions(spark, sf_dir):
-    rows = parsed(spark, sf_dir, "common", "page", "actions", "start")
-    return applog.action_rows(rows, "seq").select(
-        "seq", F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"),
-        "action.action_id", "action.item", F.col("action.ts").alias("action_ts"),
+    return applog.action_rows(records(spark, sf_dir), "seq").select(
+        "seq", *texts("common", "mid", "net"), *texts("page", "page_id"), *texts("action", "action_id", "item", "way"),
+        field(F.col("action"), "$.ts", "bigint").alias("action_ts"),
     )
 
 
 @query(
     "P13_page",
-    sql.LOG + """
-SELECT seq, mid, page_id, k * 100 AS during_time, ts, 0 AS left_over FROM al WHERE event_type <> 'signup'""",
+    sql.LOG + f"""
+SELECT seq, mid, page_id, {_DURING} AS during_time, 'ref_' || k % 6 AS refer_id, 'tag_' || k % 9 AS tag, ts, 0 AS left_over
+FROM al WHERE event_type <> 'signup'""",
 )
 def page(spark, sf_dir):
-    rows = parsed(spark, sf_dir, "common", "page", "displays", "actions", "start", "ts")
-    left_over = F.coalesce(F.size("displays"), F.lit(0)) + F.coalesce(F.size("actions"), F.lit(0))
-    return applog.page_rows(rows, "seq").select(
-        "seq", F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"),
-        "page.during_time", "ts", left_over.alias("left_over"),
+    record = F.col("record")
+    left_over = [F.coalesce(F.size(applog.items(record, n)), F.lit(0)) for n in ("displays", "actions")]
+    left_over.append(record["err"].isNotNull().cast("int"))
+    return applog.page_rows(records(spark, sf_dir), "seq", "ts").select(
+        "seq", field(record["common"], "$.mid").alias("mid"),
+        *[field(record["page"], f"$.{n}").alias(n) for n in ("page_id", "during_time", "refer_id")],
+        field(record["tag"], "$").alias("tag"), "ts", sum(left_over[1:], left_over[0]).alias("left_over"),
     )
 
 
-@query(
-    "K3_fanout",
-    sql.LOG + """
-SELECT seq, 'log_err' AS topic, NULL AS mid, NULL AS item, k + 1000 AS error_code FROM al WHERE event_type = 'error'
-UNION ALL SELECT seq, 'log_start', mid, NULL, NULL FROM al WHERE event_type = 'signup'
-UNION ALL SELECT seq, 'log_page', mid, NULL, NULL FROM al WHERE event_type <> 'signup'
-UNION ALL SELECT seq, 'log_display', mid, CAST(k + i AS VARCHAR), NULL
-  FROM (SELECT *, unnest(range(nd)) AS i FROM al WHERE nd > 0)
-UNION ALL SELECT seq, 'log_action', mid, CAST(k + i AS VARCHAR), NULL
-  FROM (SELECT *, unnest(range(na)) AS i FROM al WHERE na > 0)""",
+MESSAGES = """
+, m AS (
+  SELECT seq, 'log_err' AS topic, NULL AS mid, NULL AS net, NULL AS refer_id, NULL AS item, """ + _CODE + """ AS error_code,
+    NULL AS tag FROM al WHERE event_type = 'error'
+  UNION ALL SELECT seq, 'log_start', mid, 'net_' || k % 3, NULL, NULL, NULL, 'tag_' || k % 9 FROM al WHERE event_type = 'signup'
+  UNION ALL SELECT seq, 'log_page', mid, 'net_' || k % 3, 'ref_' || k % 6, NULL, NULL, 'tag_' || k % 9
+    FROM al WHERE event_type <> 'signup'
+  UNION ALL SELECT seq, 'log_display', mid, 'net_' || k % 3, 'ref_' || k % 6, CAST(k + i AS VARCHAR), NULL, NULL
+    FROM (SELECT *, unnest(range(nd)) AS i FROM al WHERE nd > 0)
+  UNION ALL SELECT seq, 'log_action', mid, 'net_' || k % 3, 'ref_' || k % 6, CAST(k + i AS VARCHAR), NULL, NULL
+    FROM (SELECT *, unnest(range(na)) AS i FROM al WHERE na > 0)
 )
+"""
+
+
+@query("K3_fanout", sql.LOG + MESSAGES + "SELECT * FROM m")
 def fanout(spark, sf_dir):
-    return flat_messages(applog.fan_out(parsed(spark, sf_dir), keep=("seq",)), "seq")
+    return flat_messages(applog.fan_out(records(spark, sf_dir), keep=("seq",)), "seq")
 
 
 def flat_messages(messages: DataFrame, *keep: str) -> DataFrame:
     fields = (
-        "common struct<mid:string,is_new:string>, display struct<item:string>, "
-        "action struct<item:string>, error_code bigint"
+        "common struct<mid:string,net:string>, page struct<refer_id:string>, display struct<item:string>, "
+        "action struct<item:string>, error_code string, tag string"
     )
     m = messages.withColumn("m", F.from_json("value", fields))
     return m.select(
-        *keep, "topic", F.col("m.common.mid").alias("mid"),
+        *keep, "topic", F.col("m.common.mid").alias("mid"), F.col("m.common.net").alias("net"),
+        F.col("m.page.refer_id").alias("refer_id"),
         F.coalesce("m.display.item", "m.action.item").alias("item"),
-        F.col("m.error_code").alias("error_code"),
+        F.col("m.error_code").alias("error_code"), F.col("m.tag").alias("tag"),
     )
 
 
@@ -175,10 +204,9 @@ FROM r JOIN al ON r.seq = al.seq WHERE al.event_type <> 'signup' GROUP BY r.is_n
 )
 def log_split(spark, sf_dir):
     """Repaired records through the page split, profiled by flag."""
-    rows = parsed(spark, sf_dir, "common", "displays", "start", "ts")
-    narrow = app_log_rows(lines(spark, sf_dir), KEY_FIELDS)
-    fixed = repair_log(rows, narrow=narrow).filter(F.col("start").isNull())
-    return fixed.groupBy(F.col("common.is_new").alias("is_new")).agg(
+    record = F.col("record")
+    fixed = repair_log(records(spark, sf_dir), narrow=keyed(spark, sf_dir)).filter(~applog.has(record, "start"))
+    return fixed.groupBy(field(record["common"], "$.is_new").alias("is_new")).agg(
         F.count("*").alias("n"),
-        F.sum(F.coalesce(F.size("displays"), F.lit(0))).alias("n_displays"),
+        F.sum(F.coalesce(F.size(applog.items(record, "displays")), F.lit(0))).alias("n_displays"),
     )

@@ -15,6 +15,7 @@ from tidemart.sinks.topics import as_message, json_line_batches, topic_sink
 from tidemart.sinks.upsert import read_upsert
 from tidemart.sources.changefeed import snapshot_to_envelope
 from tidemart.sources.files import new_files_stream
+from tidemart.operators.applog import field
 from tidemart.sources.topics import change_table, topic_stream
 from tidemart.streaming import watermarks
 from tidemart.streaming.jobs import (
@@ -30,7 +31,7 @@ def stream_to_table(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
 
 
 def streamed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ad.app_log_lines(table_stream(spark, sf_dir, "events", "event_id"))
+    return ad.app_log_lines(table_stream(spark, sf_dir, "events"))
 
 
 def config_feed(config: DataFrame, names: list[str], table: str):
@@ -72,7 +73,7 @@ def json_topic(spark, sf_dir):
 @query("T1_stream_visitor", sql.visitor("seq"))
 def stream_visitor(spark, sf_dir):
     rows = repaired_log(streamed_lines(spark, sf_dir)).select(
-        "seq", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new")
+        "seq", *[field(F.col("record")["common"], f"$.{n}").alias(n) for n in ("mid", "is_new")]
     )
     return stream_to_table(rows, "t1")
 
@@ -80,7 +81,7 @@ def stream_visitor(spark, sf_dir):
 @query("T1_stream_visitor_documented", sql.visitor("seq", documented=True))
 def stream_visitor_documented(spark, sf_dir):
     rows = repaired_log(streamed_lines(spark, sf_dir), rule="as_documented").select(
-        "seq", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new")
+        "seq", *[field(F.col("record")["common"], f"$.{n}").alias(n) for n in ("mid", "is_new")]
     )
     return stream_to_table(rows, "t1")
 
@@ -161,7 +162,7 @@ AND source_type = CASE op WHEN 'u' THEN 'update' ELSE 'insert' END GROUP BY 1"""
 def stream_fact_load(spark, sf_dir):
     path = work_path(spark, "j2s")
     config = fact_config_feed(spark)
-    changes = ad.cart_envelopes(table_stream(spark, sf_dir, "lineitem", "l_orderkey"))
+    changes = ad.cart_envelopes(table_stream(spark, sf_dir, "lineitem"))
     write = fact_batches(path, config, format="text", match_source_type=True)
     run_available(sink_all(changes, work_path(spark, "j2s-checkpoint"), write))
     num = F.get_json_object("value", "$.sku_num").cast("bigint")
@@ -198,7 +199,7 @@ def stream_audit(spark, sf_dir):
 
 @query("T3_watermark", sql.CART + "SELECT seq, op, ts_ms AS row_ms FROM cart")
 def cart_watermark(spark, sf_dir):
-    changes = ad.envelope_lines(ad.cart_envelopes(table_stream(spark, sf_dir, "lineitem", "l_orderkey")))
+    changes = ad.envelope_lines(ad.cart_envelopes(table_stream(spark, sf_dir, "lineitem")))
     rows = change_table(changes).select("seq", "op", F.unix_millis("row_time").alias("row_ms"))
     return stream_to_table(rows, "t3")
 

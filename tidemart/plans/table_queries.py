@@ -9,7 +9,7 @@ from tidemart.operators.applog import fan_out
 from tidemart.operators.envelope import audit_rows
 from tidemart.plans import adapters as ad, oracle_parts as sql
 from tidemart.plans.change_queries import cart_lines, cart_rows, customer_rows
-from tidemart.plans.log_queries import flat_messages, lines, parsed
+from tidemart.plans.log_queries import MESSAGES, flat_messages, lines, parsed, records
 from tidemart.plans.registry import query
 from tidemart.schemas import envelope
 from tidemart.session import work_path
@@ -102,7 +102,7 @@ SELECT topic, count(*) AS n, count(DISTINCT mid) AS n_mids FROM (
 def send_fanout(spark, sf_dir):
     """All five outputs through one write, one folder per topic."""
     path = work_path(spark, "k3")
-    send_batch(fan_out(parsed(spark, sf_dir)), format="text", path=path)
+    send_batch(fan_out(records(spark, sf_dir)), format="text", path=path)
     back = flat_messages(spark.read.text(path))
     return back.groupBy("topic").agg(F.count("*").alias("n"), F.count_distinct("mid").alias("n_mids"))
 

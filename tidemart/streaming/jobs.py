@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemart.catalog import apply_lifecycle
-from tidemart.operators.applog import fan_out
+from tidemart.operators.applog import fan_out, set_flag
 from tidemart.operators.envelope import audit_rows
 from tidemart.operators.lifecycle import final_actions, lifecycle_actions
-from tidemart.operators.parse import app_log_rows
+from tidemart.operators.parse import app_log_rows, log_rows
 from tidemart.operators.routing import config_columns, dim_route, fact_route, live_config
-from tidemart.schemas import CONFIG_DIM_COLUMNS, CONFIG_DWD_COLUMNS, app_log
+from tidemart.schemas import CONFIG_DIM_COLUMNS, CONFIG_DWD_COLUMNS
 from tidemart.sinks.topics import send_batch
 from tidemart.sinks.upsert import upsert_batch
 from tidemart.streaming.visitor import repair_visitor_stream
@@ -20,7 +20,7 @@ KEY_FIELDS = {"common": "struct<is_new:string,mid:string>", "ts": "string"}
 
 
 def repaired_log(lines: DataFrame, rule: str = "as_coded", tz: str = "UTC") -> DataFrame:
-    """Log lines ``(seq, value)`` to parsed records with repaired flags.
+    """Log lines ``(seq, value)`` to whole records with repaired flags.
 
     Only the key fields and the raw text pass through the stateful operator; the
     whole record is parsed behind it, on the JVM side.
@@ -30,11 +30,8 @@ def repaired_log(lines: DataFrame, rule: str = "as_coded", tz: str = "UTC") -> D
         F.col("common.is_new").alias("is_new"), "value",
     )
     fixed = repair_visitor_stream(keyed, rule, tz).withColumnRenamed("is_new", "_flag")
-    parsed = app_log_rows(fixed.select("seq", "value", "_flag"), app_log()).drop("value")
-    common = F.when(
-        F.col("common").isNotNull(), F.col("common").withField("is_new", F.col("_flag"))
-    )
-    return parsed.withColumn("common", common).drop("_flag")
+    rows = log_rows(fixed.select("seq", "value", "_flag")).drop("value")
+    return rows.withColumn("record", set_flag(F.col("record"), F.col("_flag"))).drop("_flag")
 
 
 def split_log(
