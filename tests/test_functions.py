@@ -111,7 +111,7 @@ def test_hex(spark):
         ("0xde0b6b3a7640000", "1000000000000000000", "1"), (None, "0", "0"), ("0x0", "0", "0"),
         ("0x" + "0" * 40 + "ff", "255", "0.000000000000000255"), ("007", "7", "0.000000000000000007"),
         ("1500000000000000000", "1500000000000000000", "1.5"), ("-5", "-5", "-0.000000000000000005"),
-        ("0x", None, None), ("zz", None, None), ("0x" + "f" * 31, str(16**31 - 1), None),
+        ("0x", None, None), ("zz", None, None), ("-0", "0", "0"), ("0x" + "f" * 31, str(16**31 - 1), None),
     ]
     got = values(
         spark, [c for c, _, _ in cases], "string",
@@ -127,7 +127,7 @@ def test_hex_wide(spark):
     cases = ["0x" + "f" * 64, "1.50", "1000000000000000000.00", "1e3"]
     got = values(
         spark, cases, "string", hexa.to_decimal_text(x(), wide=True),
-        hexa.to_decimal_text(x(), divide=True, wide=True), hexa.to_decimal_text(x()),
+        hexa.to_decimal_text(x(), divide=True, wide=True), hexa.to_decimal_text(x(), wide=False),
     )
     whole = str(16**64 - 1)
     assert got == [
@@ -181,3 +181,29 @@ def test_text(spark):
     assert values(spark, ["中文abc_1", "a b", "a.b", "abc\n", "【x】"], "string", text.is_plain_text(x())) == [
         (True,), (False,), (False,), (False,), (True,),
     ]
+
+
+def test_plain_text_marks(spark):
+    """Every listed mark by itself, and some that are not listed."""
+    marks = list("[]-_+{}:：“<>`?!——+·~@#$%^&*()、，。；‘【】！￥……（）") + ['"', "a)b", "龥", "0"]
+    assert [r[0] for r in values(spark, marks, "string", text.is_plain_text(x()))] == [True] * len(marks)
+    assert [r[0] for r in values(spark, ["a b", "a.b", "", "é", ";"], "string", text.is_plain_text(x()))] == [False] * 5
+
+
+def test_append_to_broken_list(spark):
+    for broken in ('["a","b"', "x", '{"a":1}', '["a"] y'):
+        with pytest.raises(Exception, match="not a JSON list"):
+            values(spark, [broken], "string", text.append_to_list(x(), F.lit("b")))
+
+
+def test_versions_of_any_length(spark):
+    rows = [("a", "1.2"), ("a", "1.2.0.0.0.0.0.0.0.0"), ("b", "1.2.0.0.0.0.0.0.0.1"), ("b", "1.2"), ("c", "0.0"), ("c", "0.1")]
+    got = spark.createDataFrame(rows, "k string, v string").groupBy("k").agg(versions.latest_version(F.col("v")).alias("v"))
+    found = {r.k: r.v for r in got.collect()}
+    assert found["a"] in ("1.2", "1.2.0.0.0.0.0.0.0.0") and found["b"] == "1.2.0.0.0.0.0.0.0.1" and found["c"] == "0.1"
+
+
+def test_missing_key_parts_keep_their_place(spark):
+    rows = spark.createDataFrame([("a", None), (None, "a")], "p string, q string")
+    keys = rows.select(text.row_key([(F.col("p"), False), (F.col("q"), False)]).alias("k")).collect()
+    assert len({r.k for r in keys}) == 2

@@ -4,10 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Driver-side guard: a lifecycle is configuration, not data.
-MAX_LIFECYCLE_TABLES = 100_000
-
-
 def table_exists(spark: SparkSession, namespace: str, table: str) -> bool:
     return spark.catalog.tableExists(f"`{namespace}`.`{table}`")
 
@@ -51,14 +47,13 @@ def create_dictionary(spark: SparkSession, namespace: str, table: str = "dim_bas
 
 
 def apply_lifecycle(spark: SparkSession, actions: DataFrame, namespace: str) -> int:
-    """Run the final action of each table; more tables than the guard raise."""
-    rows = actions.limit(MAX_LIFECYCLE_TABLES + 1).collect()
-    if len(rows) > MAX_LIFECYCLE_TABLES:
-        raise ValueError("too many tables for a configuration change")
-    for row in rows:
+    """Run the final action of each table, one after the other; the driver holds one partition of them at a time."""
+    done = 0
+    for row in actions.toLocalIterator():
+        done += 1
         table = row["table"].split(":", 1)[-1]
         if row["recreate"]:
             drop_table(spark, namespace, table)
         if row["action"] == "create":
             create_table(spark, namespace, table)
-    return len(rows)
+    return done

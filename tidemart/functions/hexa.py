@@ -48,7 +48,7 @@ def _wide_divided(x: pd.Series) -> pd.Series:
 
 def _wide(text: str | None, divide: bool) -> str | None:
     if text is None:
-        return "0"
+        return None
     try:
         number = Decimal(int(text[2:], 16)) if text.startswith("0x") else Decimal(text)
     except (ValueError, InvalidOperation):
@@ -65,15 +65,14 @@ def _wide(text: str | None, divide: bool) -> str | None:
     return f"{number:f}"
 
 
-def to_decimal_text(x: Column, divide: bool = False, wide: bool = False) -> Column:
+def to_decimal_text(x: Column, divide: bool = False, wide: bool = True) -> Column:
     """``0x`` hex or decimal text as plain decimal text; null gives ``0``.
 
-    ``divide`` gives units of 10**18. Native columns take integers, hex ones up to
-    124 bits; anything else gives null unless ``wide`` sends all rows through an
-    Arrow function that takes any length and decimal fractions.
+    ``divide`` gives units of 10**18. Integers, hex ones up to 124 bits, stay in
+    native columns; only what these cannot hold, longer words, fractions and
+    exponents, goes to an Arrow function. ``wide=False`` leaves that out and gives
+    null there.
     """
-    if wide:
-        return (_wide_divided if divide else _wide_plain)(x)
     hex_digits = F.ltrim(F.substr(x, F.lit(3)), F.lit("0"))
     is_hex = x.rlike(r"\A0x[0-9a-fA-F]+\z") & (F.length(hex_digits) <= NATIVE_HEX_DIGITS)
     is_integer = x.rlike(r"\A[+-]?[0-9]+\z")
@@ -86,7 +85,13 @@ def to_decimal_text(x: Column, divide: bool = False, wide: bool = False) -> Colu
         sign = F.when(x.startswith("-") & (d != "0"), F.lit("-")).otherwise(F.lit(""))
         return F.concat(sign, _shift(d) if divide else d)
 
-    return F.when(x.isNull(), F.lit("0")).otherwise(let(digits, signed))
+    native = let(digits, signed)
+    if not wide:
+        return F.when(x.isNull(), F.lit("0")).otherwise(native)
+    # null for every row the native part can do
+    rest = F.when(~F.coalesce(is_hex | is_integer, F.lit(False)), x)
+    other = (_wide_divided if divide else _wide_plain)(rest)
+    return F.when(x.isNull(), F.lit("0")).when(rest.isNull(), native).otherwise(other)
 
 
 def payload_words(x: Column) -> Column:

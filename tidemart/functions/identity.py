@@ -7,6 +7,8 @@ from operator import add
 
 from pyspark.sql import Column, functions as F
 
+from tidemart.functions.binding import let
+
 # Labels, digit weights, check digits by remainder, number format.
 BAD_LENGTH = "无效长度"
 BAD_FORMAT = "格式错误"
@@ -27,16 +29,18 @@ def utf16_length(text: Column) -> Column:
 
 
 def validate_id_card(id_number: Column) -> Column:
-    s = F.regexp_replace(id_number, EDGE_BLANKS, "")
-    weighted = reduce(
-        add,
-        [(F.ascii(F.substring(s, i + 1, 1)) - 48) * w for i, w in enumerate(WEIGHTS)],
-    )
-    check = F.lit(CHECK_DIGITS).substr((weighted % 11 + 1).cast("int"), F.lit(1))
-    return (
-        F.when(id_number.isNull(), F.lit(None).cast("string"))
-        .when(utf16_length(s) != 18, BAD_LENGTH)
-        .when(~s.rlike(ID_FORMAT), BAD_FORMAT)
-        .when(F.substring(s, 18, 1) != check, BAD_CHECK)
-        .otherwise(VALID)
-    )
+    def label(s: Column) -> Column:
+        weighted = reduce(
+            add,
+            [(F.ascii(F.substring(s, i + 1, 1)) - 48) * w for i, w in enumerate(WEIGHTS)],
+        )
+        check = F.lit(CHECK_DIGITS).substr((weighted % 11 + 1).cast("int"), F.lit(1))
+        return (
+            F.when(s.isNull(), F.lit(None).cast("string"))
+            .when(utf16_length(s) != 18, BAD_LENGTH)
+            .when(~s.rlike(ID_FORMAT), BAD_FORMAT)
+            .when(F.substring(s, 18, 1) != check, BAD_CHECK)
+            .otherwise(VALID)
+        )
+
+    return let(F.regexp_replace(id_number, EDGE_BLANKS, ""), label)

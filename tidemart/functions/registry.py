@@ -14,7 +14,7 @@ def _digit_sum() -> str:
 
 
 def register(spark: SparkSession) -> None:
-    """Create the SQL functions as inlined expressions, with their type checks."""
+    """Create the SQL functions as inlined expressions; SQL casts the arguments to the declared types first."""
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION validate_id_card(id_number STRING) RETURNS STRING

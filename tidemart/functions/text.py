@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from tidemart.functions.binding import let
+
 # Fixed value: the characters a plain text may consist of.
 PLAIN_TEXT = (
-    r"\A[一-龥a-zA-Z0-9\[\]\-_+{}:：“<>`?!——+·~@#$%^&*(、，。；‘【】！@#￥%……&*（）" + r'"]+\z'
+    r"\A[一-龥a-zA-Z0-9\[\]\-_+{}:：“<>`?!——+·~@#$%^&*()、，。；‘【】！@#￥%……&*（）" + r'"]+\z'
 )
 BLANK = r"\A[\x00-\x20]*\z"
 
@@ -57,14 +59,29 @@ def is_plain_text(s: Column) -> Column:
 
 
 def append_to_list(json_list: Column, item: Column) -> Column:
-    """a JSON list of texts plus one item, printed as ``[a, b]``."""
-    items = F.coalesce(F.from_json(json_list, "array<string>"), F.array().cast("array<string>"))
-    return F.concat(F.lit("["), to_csv(F.array_append(items, item)), F.lit("]"))
+    """a JSON list of texts plus one item, printed as ``[a, b]``.
+
+    A null list is empty; a text that is no list raises.
+    """
+    listed = F.from_json(json_list, "array<string>")
+    sound = json_list.rlike(r"\A\s*\[") & json_list.rlike(r"\]\s*\z")
+    fault = F.raise_error(F.concat(F.lit("not a JSON list: "), json_list)).cast("array<string>")
+
+    def checked(items: Column) -> Column:
+        none = F.array().cast("array<string>")
+        kept = F.when(json_list.isNull(), none).when(items.isNotNull() & sound, items).otherwise(fault)
+        return F.concat(F.lit("["), to_csv(F.array_append(kept, item)), F.lit("]"))
+
+    return let(listed, checked)
 
 
 def row_key(items: list[tuple[Column, bool]], separator: str = "", whole_md5: bool = False) -> Column:
-    """key items, hashed where asked, joined, and hashed as a whole if asked."""
-    parts = [F.md5(c.cast("string")) if hashed else c.cast("string") for c, hashed in items]
+    """key items, hashed where asked, joined, and hashed as a whole if asked.
+
+    A missing item is printed as ``null``, so that it keeps its place in the key.
+    """
+    texts = [(F.coalesce(c.cast("string"), F.lit("null")), hashed) for c, hashed in items]
+    parts = [F.md5(c) if hashed else c for c, hashed in texts]
     key = F.concat_ws(separator, *parts)
     return F.md5(key) if whole_md5 else key
 

@@ -21,6 +21,7 @@ def larger_version(a: Column, b: Column) -> Column:
     return F.when(version_parts(a, width) >= version_parts(b, width), a).otherwise(b)
 
 
-def latest_version(v: Column, width: int = 8) -> Column:
-    """Aggregate form; versions may have up to ``width`` parts."""
-    return F.max_by(v, version_parts(v, width))
+def latest_version(v: Column) -> Column:
+    """Aggregate form: zeros at the end say nothing, and without them a longer list is greater."""
+    bare = F.regexp_replace(v, r"(\.0+)+\z", "")
+    return F.max_by(v, version_parts(bare))

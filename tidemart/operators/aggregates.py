@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemart.operators.joins import join_small
 
@@ -30,7 +30,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
     """
     # One struct key, because a join on plain columns would lose null groups.
     rows = df.filter(F.col(value).isNotNull()).select(
-        F.struct(*keys).alias("_k"), F.col(value).cast("double").alias("_v")
+        F.struct(*keys).alias("_k"), F.col(value).alias("_v")
     )
     edges = F.percentile_approx("_v", [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY)
     bands = rows.groupBy("_k").agg(edges.alias("_e"), F.count("*").alias("_n")).select(
@@ -50,9 +50,19 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
     low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
     middle = upto.groupBy("_k").agg(at(low).alias("_a"), at(high).alias("_b"))
     missed = F.raise_error(F.lit("median outside its band"))
+    kind = _middle_type(df.schema[value].dataType)
+    half = (F.col("_a").cast(kind) + F.col("_b").cast(kind)) / 2
     return middle.select(
         *[F.col(f"_k.{k}").alias(k) for k in keys],
-        F.when(F.col("_a").isNull() | F.col("_b").isNull(), missed.cast("double"))
-        .otherwise((F.col("_a") + F.col("_b")) / 2)
+        F.when(F.col("_a").isNull() | F.col("_b").isNull(), missed.cast(kind)).otherwise(half.cast(kind))
         .alias(name),
     )
+
+
+def _middle_type(kind: T.DataType) -> str:
+    """Whole and decimal numbers stay decimal, with a digit more for the half where there is room."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return "double"
+    precision, scale = (kind.precision, kind.scale) if isinstance(kind, T.DecimalType) else (20, 0)
+    room = min(1, 38 - precision)
+    return f"decimal({precision + room},{scale + room})"

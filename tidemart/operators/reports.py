@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemart.functions.amount import chinese_amount
 from tidemart.functions.dates import day_range
-from tidemart.functions.hashing import hot_hash_mod
+from tidemart.functions.hashing import HOT_KEYS, hot_hash_mod
 from tidemart.functions.hexa import payload_words
 from tidemart.functions.identity import validate_id_card
 from tidemart.functions.versions import latest_version
@@ -27,8 +27,9 @@ def bucket_report(df: DataFrame, key: str, hot: dict[str, str] | None = None) ->
     counts = df.groupBy(hot_hash_mod(F.col(key), hot).alias("bucket")).agg(F.count("*").alias("n"))
     # One row per bucket is left, so the mean is taken over a few rows.
     mean = F.avg("n").over(Window.partitionBy(F.lit(0)))
+    own = list((HOT_KEYS if hot is None else hot).values())
     return counts.withColumns(
-        {"hot": F.col("bucket") >= "9000", "ratio": F.round(F.col("n") / mean, 6)}
+        {"hot": F.col("bucket").isin(own), "ratio": F.round(F.col("n") / mean, 6)}
     )
 
 
@@ -37,9 +38,9 @@ def word_table(df: DataFrame, payload: str, *keep: str) -> DataFrame:
     return df.select(*keep, F.posexplode(payload_words(F.col(payload))).alias("pos", "word"))
 
 
-def latest_version_per_key(df: DataFrame, key: str, version: str, width: int = 8) -> DataFrame:
+def latest_version_per_key(df: DataFrame, key: str, version: str) -> DataFrame:
     """The greatest dotted version of each key."""
-    return df.groupBy(key).agg(latest_version(F.col(version), width).alias("version"))
+    return df.groupBy(key).agg(latest_version(F.col(version)).alias("version"))
 
 
 def day_spine(df: DataFrame, day: Column) -> DataFrame:

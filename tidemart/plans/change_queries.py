@@ -137,10 +137,10 @@ def pruned(spark, sf_dir):
 @query(
     "P16_null_text",
     sql.CART + """
-SELECT seq, num, coalesce(CAST(old_num AS VARCHAR), 'null') AS old_num FROM cart WHERE op = 'u'""",
+SELECT seq, num, CASE WHEN op = 'u' THEN coalesce(CAST(old_num AS VARCHAR), 'null') END AS old_num FROM cart""",
 )
 def null_text(spark, sf_dir):
-    rows = ad.cart_envelopes(ad.table(spark, sf_dir, "lineitem")).filter("op = 'u'")
+    rows = ad.cart_envelopes(ad.table(spark, sf_dir, "lineitem"))
     return rows.select(
         "seq", F.col("after")["sku_num"].cast("bigint").alias("num"),
         env.text_payload(F.col("before"))["sku_num"].alias("old_num"),

@@ -21,12 +21,12 @@ from tidemart.sources import files, tables
 
 @query(
     "S5_camel_names",
-    """SELECT o_orderkey AS "oOrderkey", o_orderpriority AS "oOrderpriority" FROM orders WHERE o_orderstatus = 'F'""",
+    """SELECT o_orderkey AS "oOrderkey", o_orderpriority AS "oOrderpriority" FROM orders""",
 )
 def camel_names(spark, sf_dir):
     """The renaming of a query result; no database can be reached from here."""
     rows = spark.sql(
-        "SELECT o_orderkey, o_orderpriority FROM {o} WHERE o_orderstatus = 'F'",
+        "SELECT o_orderkey, o_orderpriority FROM {o}",
         o=spark.read.parquet(f"{sf_dir}/orders.parquet"),
     )
     return tables.with_camel_names(rows)

@@ -29,7 +29,7 @@ def snapshot_to_envelope(
         F.lit("r").alias("op"),
         F.lit(db).alias("db"),
         F.lit(None).cast(NO_IMAGE).alias("before"),
-        payload_of(df.columns).alias("after"),
+        payload_of([c for c in df.columns if c not in keep]).alias("after"),
         source_of(db, F.lit(table)).alias("source"),
         F.lit(ts_ms).cast("bigint").alias("ts_ms"),
     )

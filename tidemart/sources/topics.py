@@ -14,14 +14,15 @@ def topic_stream(
     topic: str,
     servers: str = "",
     offsets: str = "earliest",
-    max_per_trigger: int = 1_000_000,
+    max_per_trigger: int | None = None,
     format: str = "kafka",
     path: str = "",
 ) -> DataFrame:
     """An unbounded frame with one text column ``value``.
 
     ``max_per_trigger`` bounds a micro-batch (offsets of a topic, files of a
-    folder); what is over waits for the next trigger.
+    folder), and what is over waits for the next trigger; by default a trigger
+    takes all there is.
     """
     if format == "kafka":
         return (
@@ -29,14 +30,14 @@ def topic_stream(
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic)
             .option("startingOffsets", offsets)
-            .option("maxOffsetsPerTrigger", max_per_trigger)
+            .options(**({"maxOffsetsPerTrigger": max_per_trigger} if max_per_trigger else {}))
             .load()
             .select(F.col("value").cast("string").alias("value"))
         )
     return (
         spark.readStream.format(format)
         .schema("value string")
-        .option("maxFilesPerTrigger", max_per_trigger)
+        .options(**({"maxFilesPerTrigger": max_per_trigger} if max_per_trigger else {}))
         .load(path or topic)
     )
 
