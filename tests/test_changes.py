@@ -2,6 +2,7 @@
 
 import random
 import statistics
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,6 +156,28 @@ def test_day_buckets(spark, tmp_path):
         assert {r.value: r.day for r in back.collect()} == BUCKETS
 
 
+def test_day_buckets_keep_earlier_days(spark, tmp_path):
+    path = str(tmp_path / "days")
+    days = ['{"t":1704067200.5}', '{"t":1704153600}']
+    for batch, line in enumerate([*days, days[1]]):
+        write_day_buckets(spark.createDataFrame([(line,)], "value string"), path, "t", batch_id=min(batch, 1))
+    back = spark.read.schema("value string, day string, batch int").text(path).collect()
+    assert sorted((r.day, r.value) for r in back) == [("20240101", days[0]), ("20240102", days[1])]
+    flat = str(tmp_path / "plain")
+    for line in days:
+        write_day_buckets(spark.createDataFrame([(line,)], "value string"), flat, "t")
+    assert spark.read.text(flat).count() == 2
+
+
+def test_median_keeps_the_type(spark):
+    big = 9007199254740993
+    df = spark.sql(f"SELECT * FROM VALUES ('a', {big}L), ('b', {big}L), ('b', {big + 1}L) AS t(g, x)")
+    got = {r.g: r.median for r in exact_median(df, ["g"], "x").collect()}
+    assert got["a"] == big and got["b"] == Decimal(f"{big}.5")
+    exact = df.selectExpr("g", "cast(x as decimal(38,2)) + 0.01BD AS x")
+    assert {r.g: r.median for r in exact_median(exact, ["g"], "x").collect()}["a"] == Decimal(f"{big}.01")
+
+
 def test_lines_without_buckets(spark, tmp_path):
     df = spark.createDataFrame([(v,) for v in BUCKETS], "value string")
     write_day_buckets(df, str(tmp_path / "flat"), None)

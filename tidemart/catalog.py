@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 def table_exists(spark: SparkSession, namespace: str, table: str) -> bool:
     return spark.catalog.tableExists(f"`{namespace}`.`{table}`")
@@ -29,6 +29,23 @@ def drop_table(spark: SparkSession, namespace: str, table: str) -> bool:
     return True
 
 
+def fill_tables(rows: DataFrame, namespace: str, family: str = "info") -> int:
+    """Replace the rows of each created table by those of a routed frame (sink_table, row_key, family map).
+
+    The tables are named by the configuration, and one job fills each of them.
+    """
+    spark = rows.sparkSession
+    names = [r[0] for r in rows.select("sink_table").distinct().toLocalIterator()]
+    filled = 0
+    for name in names:
+        table = name.split(":", 1)[-1]
+        if table_exists(spark, namespace, table):
+            own = rows.filter(F.col("sink_table") == name).select("row_key", F.col(family).alias(family))
+            own.write.mode("overwrite").insertInto(f"`{namespace}`.`{table}`")
+            filled += 1
+    return filled
+
+
 def drop_all_tables(spark: SparkSession, namespace: str) -> list[str]:
     """Drop every table of a namespace and keep the namespace."""
     names = [t.name for t in spark.catalog.listTables(namespace) if not t.isTemporary]
@@ -47,7 +64,11 @@ def create_dictionary(spark: SparkSession, namespace: str, table: str = "dim_bas
 
 
 def apply_lifecycle(spark: SparkSession, actions: DataFrame, namespace: str) -> int:
-    """Run the final action of each table, one after the other; the driver holds one partition of them at a time."""
+    """Run the final action of each table, one after the other; the driver holds one partition of them at a time.
+
+    ``actions`` are those of the changes not applied before: a table that an
+    earlier change had dropped and created again is left alone.
+    """
     done = 0
     for row in actions.toLocalIterator():
         done += 1

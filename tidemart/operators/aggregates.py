@@ -32,13 +32,15 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
     rows = df.filter(F.col(value).isNotNull()).select(
         F.struct(*keys).alias("_k"), F.col(value).alias("_v")
     )
-    edges = F.percentile_approx("_v", [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY)
+    # The sketch works in doubles; values are told apart from its edges in doubles too, and ranked as they are.
+    as_double = F.col("_v").cast("double")
+    edges = F.percentile_approx(as_double, [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY)
     bands = rows.groupBy("_k").agg(edges.alias("_e"), F.count("*").alias("_n")).select(
         "_k", "_n", F.col("_e")[0].alias("_lo"), F.col("_e")[1].alias("_hi")
     )
-    near = join_small(rows, bands, ["_k"]).filter("_v <= _hi")
+    near = join_small(rows, bands, ["_k"]).filter(as_double <= F.col("_hi"))
     # Everything below the band folds into one entry ahead of it.
-    slot = F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))
+    slot = F.when(as_double >= F.col("_lo"), F.col("_v"))
     counts = near.groupBy("_k", "_n", slot.alias("_v")).agg(F.count("*").alias("_c"))
     w = Window.partitionBy("_k").orderBy(F.col("_v").asc_nulls_first())
     upto = counts.withColumn("_end", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))

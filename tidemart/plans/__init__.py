@@ -1,7 +1,7 @@
 """Feeds derived from the tables, and every query over them."""
 
 from tidemart.plans import (  # noqa: F401
-    change_queries, function_queries, log_queries, stream_queries, table_queries,
+    catalog_queries, change_queries, function_queries, log_queries, stream_queries, table_queries,
 )
 from tidemart.plans.registry import ORACLES, QUERIES
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemart.catalog import apply_lifecycle
@@ -41,18 +41,38 @@ def split_log(
     return fan_out(repaired_log(lines, rule, tz), topics)
 
 
+def applied_path(path: str) -> str:
+    return f"{path.rstrip('/')}-applied"
+
+
+def applied_before(spark: SparkSession, path: str, batch_id: int) -> int | None:
+    """The last configuration change that batches before this one have applied."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(applied_path(path))
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    seen = spark.read.schema("seq bigint, batch_id bigint").parquet(applied_path(path))
+    return seen.filter(F.col("batch_id") < batch_id).agg(F.max("seq")).first()[0]
+
+
 def dim_batches(path: str, namespace: str, config_changes, create_tables: bool = False):
     """A ``foreachBatch`` function that routes changes and upserts dimension rows.
 
     ``config_changes()`` returns the configuration envelopes known now, so every
-    batch sees the configuration in force when it starts.
+    batch sees the configuration in force when it starts. With ``create_tables``
+    the lifecycle follows the changes that no earlier batch has applied; the last
+    one applied is kept below ``path`` by batch, so a restart or a replay drops
+    nothing twice.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         changes = config_changes()
         if create_tables:
-            actions = final_actions(lifecycle_actions(changes, namespace))
-            apply_lifecycle(batch.sparkSession, actions, namespace)
+            spark = batch.sparkSession
+            done = applied_before(spark, path, batch_id)
+            new = changes if done is None else changes.filter(F.col("seq") > done)
+            apply_lifecycle(spark, final_actions(lifecycle_actions(new, namespace)), namespace)
+            last = changes.agg(F.max("seq").cast("bigint").alias("seq"))
+            last.write.mode("overwrite").parquet(f"{applied_path(path)}/batch_id={batch_id}")
         config = config_columns(live_config(changes), CONFIG_DIM_COLUMNS)
         routed = dim_route(batch, config, namespace, keep=("ts_ms", "seq"))
         upsert_batch(
@@ -62,15 +82,19 @@ def dim_batches(path: str, namespace: str, config_changes, create_tables: bool =
     return write
 
 
-def fact_batches(path: str, config_changes, format: str = "json", **route):
-    """A ``foreachBatch`` function that sends fact rows to the topic of their table."""
+def fact_batches(path: str, config_changes, format: str = "json", sink: dict[str, str] | None = None, **route):
+    """A ``foreachBatch`` function that sends fact rows to the topic of their table.
+
+    ``sink`` holds what the sink needs, as ``servers`` of a message bus.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         live = live_config(config_changes(), keys=("source_table", "source_type"))
         config = config_columns(live, CONFIG_DWD_COLUMNS)
         routed = fact_route(batch, config, **route)
         messages = routed.select("topic", F.to_json("after").alias("value"))
-        send_batch(messages, format=format, path=f"{path}/batch_id={batch_id}", mode="overwrite")
+        target = {"path": f"{path}/batch_id={batch_id}", "mode": "overwrite"} if format != "kafka" else {}
+        send_batch(messages, format=format, **target, **(sink or {}))
 
     return write
 
