@@ -31,11 +31,7 @@ def file_run(df: DataFrame, path: str, checkpoint: str, *partition_by: str) -> D
 
 
 def table_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table of a folder as a stream; the schema is that of its files."""
+    """A table of a folder, one file or many, as a stream; the schema is that of its files."""
     files = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    return (
-        spark.readStream.schema(files.schema)
-        .option("maxFilesPerTrigger", 1000)
-        .option("pathGlobFilter", f"{table}.parquet")
-        .parquet(sf_dir)
-    )
+    # a pattern may name a file as well as a folder, a plain path only a folder
+    return spark.readStream.schema(files.schema).parquet(f"{sf_dir}/{table}.parque[t]")
