@@ -132,7 +132,7 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
     copy = F.struct(F.col("following").alias("r"), F.lit(True).alias("head"))
     to = F.when(F.col("k") == F.col("top"), F.array(own, copy)).otherwise(F.array(own))
     rows = rows.select("k", "text", F.explode_outer(to).alias("to")).select("k", "text", "to.r", "to.head")
-    rows = rows.repartition(n, "r").sortWithinPartitions("r", F.desc("head"), "k", "text")
+    rows = rows.repartitionById(n, F.col("r")).sortWithinPartitions("r", F.desc("head"), "k", "text")
     schema = (
         f"{key} long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double"
