@@ -11,6 +11,8 @@ the part lengths; it is kept in the table of parts, so no part waits for another
 from __future__ import annotations
 
 import itertools
+import json
+import os
 import re
 import uuid
 import zlib
@@ -25,53 +27,131 @@ from pyspark.sql import functions as F
 from tidemart.llm.ranges import bucket_of, cut_points, default_ranges, order_key, whole_key
 from tidemart.llm.texts import pieces_of
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 400_000
 CACHE_LONGEST = 48
+BATCH = 4_000
 # Only blanks that both the tokenizer and this pattern take as white space may cut a text.
-CHUNK = re.compile(r"[^ \n\t\r]+")
+LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"  # without the one letter that is lower-cased to a letter and a mark
+SIGNS = r"!-&(-/:-@\[-`{-~"
+BLANKS = r" \n\t\r"
+CHUNK = re.compile(f"[^{BLANKS}]+")
+# A run of Latin letters ends before a sign or a blank, a run of signs before a letter or a blank; else the rest up to
+# the blank stays together. The apostrophe is no such sign, as the tokenizer joins it with what follows.
+LATIN_RUN = re.compile(f"[{LATIN}]+")
+FINE_CHUNK = re.compile(f"[{LATIN}]+(?=['{SIGNS}{BLANKS}]|$)|[{SIGNS}]+(?=[{LATIN}{BLANKS}]|$)|[^{BLANKS}]+")
 PARTS = "part int, n_docs long, n_tokens long, path string"
 
 
 class ChunkEncoder:
-    """Ids of whole texts, through a bounded memory of the chunks between blanks.
+    """Ids of whole texts, through a bounded memory of their chunks.
 
-    The tokenizer's normaliser and its split never join signs over a blank, so
-    the ids of a text are those of its chunks in a row. ``cuts_at_blanks`` is
-    false for tokenizers without this property; they get whole texts.
+    ``cuts`` says what the tokenizer allows: ``letters`` if neither its
+    normaliser nor its split joins signs over a blank or over the border between
+    Latin letters and ASCII signs, ``blanks`` if only the first holds, else whole
+    texts are encoded. Texts that may hold a special token are cut at blanks.
     """
 
-    def __init__(self, path: str, dtype: str, cuts_at_blanks: bool = True):
+    def __init__(self, path: str, dtype: str, cuts: str = "letters"):
         from tokenizers import Tokenizer
 
+        # a worker has one core; the library's own threads would only add memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.dtype, self.cuts = np.dtype(dtype), cuts_at_blanks
-        self.known: dict[str, bytes] = {}
+        self.dtype, self.cuts = np.dtype(dtype), cuts
+        self.lower = '"Lowercase"' in str(json.loads(self.tokenizer.to_str())["normalizer"]).replace("'", '"')
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known = Remembered(CACHE_ENTRIES)
+        # a suffix that marks the last piece of each word lets words be encoded in one row
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix") or ""
+        self.ends = None
+        if suffix and cuts == "letters":
+            self.ends = np.zeros(1 << 8 * self.dtype.itemsize if self.dtype.itemsize < 4 else self.tokenizer.get_vocab_size(), bool)
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
 
     def raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        out = []
+        for start in range(0, len(texts), BATCH):
+            found = self.tokenizer.encode_batch_fast(texts[start : start + BATCH], add_special_tokens=False)
+            out += [np.array(e.ids, self.dtype).tobytes() for e in found]
+        return out
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Runs of Latin letters, a hundred in a row, told apart by their last pieces."""
+        rows = [words[i : i + 100] for i in range(0, len(words), 100)]
+        out: list[bytes] = []
+        for row, raw in zip(rows, self.raw([" ".join(r) for r in rows])):
+            cuts = (np.flatnonzero(self.ends[np.frombuffer(raw, self.dtype)]) + 1) * self.dtype.itemsize
+            if len(cuts) != len(row):
+                out += self.raw(row)
+                continue
+            out += [raw[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
+        return out
+
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        if self.ends is None:
+            return self.raw(chunks)
+        # the case of Latin letters makes no difference to a tokenizer that lower-cases them
+        words = {c: c.lower() if self.lower else c for c in chunks if LATIN_RUN.fullmatch(c)}
+        distinct = list(set(words.values()))
+        ids = dict(zip(distinct, self.words(distinct)))
+        rest = [c for c in chunks if c not in words]
+        other = dict(zip(rest, self.raw(rest)))
+        return [ids[words[c]] if c in words else other[c] for c in chunks]
+
+    def split(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        fine = self.cuts == "letters" and not any(s in text for s in self.special)
+        return (FINE_CHUNK if fine else CHUNK).findall(text)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if not self.cuts:
+        if self.cuts not in ("letters", "blanks"):
             return self.raw([t or "" for t in texts])
-        chunks = [CHUNK.findall(t) if t else [] for t in texts]
-        known = self.known
-        new = list(set(itertools.chain.from_iterable(chunks)).difference(known))
-        long = {}
-        for start in range(0, len(new), 20_000):
-            some = new[start : start + 20_000]
-            for chunk, ids in zip(some, self.raw(some)):
-                (known if len(chunk) <= CACHE_LONGEST else long)[chunk] = ids
-        if long:
-            look = lambda c: known[c] if c in known else long[c]
-        else:
-            look = known.__getitem__
-        out = [b"".join(map(look, c)) for c in chunks]
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
-        return out
+        chunks = [self.split(t) for t in texts]
+        self.known.add(set(itertools.chain.from_iterable(chunks)), self.encode_chunks)
+        return [self.known.joined(c) for c in chunks]
+
+
+class Remembered:
+    """Ids of chunks, in two generations: a full one replaces the one before."""
+
+    def __init__(self, entries: int):
+        self.entries = entries
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.long: dict[str, bytes] = {}
+
+    def add(self, chunks: set[str], encode) -> None:
+        """Make all ``chunks`` known until the next call."""
+        self.long = {}
+        if len(self.known) > self.entries:
+            self.before, self.known = self.known, {}
+        known, before, new = self.known, self.before, []
+        for chunk in chunks.difference(known):
+            ids = before.get(chunk)
+            if ids is None:
+                new.append(chunk)
+            else:
+                known[chunk] = ids
+        for chunk, ids in zip(new, encode(new)):
+            (known if len(chunk) <= CACHE_LONGEST else self.long)[chunk] = ids
+
+    def joined(self, chunks: list[str]) -> bytes:
+        if not self.long:
+            return b"".join(map(self.known.__getitem__, chunks))
+        return b"".join([self.known[c] if c in self.known else self.long[c] for c in chunks])
+
+
+_encoders: dict[tuple, ChunkEncoder] = {}
+
+
+def chunk_encoder(*how) -> ChunkEncoder:
+    """One encoder for each worker process."""
+    if how not in _encoders:
+        _encoders[how] = ChunkEncoder(*how)
+    return _encoders[how]
 
 
 def token_dtype(vocabulary: int) -> str:
@@ -112,7 +192,7 @@ def write_token_files(
     key: str = "doc_id",
     text: str = "text",
     parts: int | None = None,
-    cuts_at_blanks: bool = True,
+    cuts: str = "letters",
 ) -> DataFrame:
     """Encode every text and write the parts below ``path``; returns the table of parts with their bases.
 
@@ -132,13 +212,13 @@ def write_token_files(
     store, root = filesystem(path)
     store.create_dir(root, recursive=True)
     parts = parts or default_ranges(docs)
-    cuts = cut_points(docs, key, parts)
+    bounds = cut_points(docs, key, parts)
     rows = docs.select(order_key(key).alias("k"), F.col(text).alias("text"))
-    rows = rows.withColumn("part", bucket_of(F.col("k"), cuts))
-    rows = rows.repartition(parts, "part").sortWithinPartitions("part", "k", "text")
+    rows = rows.withColumn("part", bucket_of(F.col("k"), bounds))
+    rows = rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "k", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer_path, dtype, cuts_at_blanks)
+        encoder = chunk_encoder(tokenizer_path, dtype, cuts)
 
         def stream():
             for batch in batches:
@@ -206,5 +286,5 @@ def read_token_files(parts: DataFrame, key: str = "doc_id") -> DataFrame:
                         }
                     )
 
-    spread = parts.repartition(n, "part") if n > 1 else parts
+    spread = parts.repartition(n)
     return spread.mapInArrow(read, f"{key} long, start long, n_tokens long, ids_crc32 long")
