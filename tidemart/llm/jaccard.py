@@ -1,9 +1,9 @@
 """Exact self-join of word-shingle sets by Jaccard similarity, as links and components.
 
 Sets are ordered by shingle rarity and indexed by prefix: two sets that reach the
-threshold share a shingle in their prefixes. Every index list has a leader, and
-the sets of all lists of one leader form a family; each pair that shares a list
-is in a family together. Families of any size are cut into blocks. In a block,
+threshold share some shingles in their prefixes, and a set that shares too few
+with all others is out. Every index list has a leader, and the sets of all lists
+of one leader form a family; each pair that shares a list is in a family together. Families of any size are cut into blocks. In a block,
 sets stand in order of size, so that the index lists hold positions and whole
 ranges of them are skipped for being too small or too large; the answers of a set
 come from those of the set before it where the two are alike, by adding and
@@ -30,93 +30,151 @@ from tidemart.llm.texts import SPACES, Words, mix, pieces_of, utf8, windows
 WORDS = 5
 NUMERATOR, DENOMINATOR = 3, 4
 RANK_BITS = 4
-FREQUENT = 1 << 17
+SURPLUS = 12
+SIZE_STEPS = 8
+HOT_LIST = 50_000
+FLUSH = 2_000_000
+FREQUENT = 1 << 16
+FREQUENT_WORDS = 1 << 16
 BLOCK = 512
 ANCHORS = 8
 
 
-def _prefix(n: np.ndarray | int):
-    """How many of the rarest shingles must be indexed for a set of n."""
-    need = -(-NUMERATOR * n // DENOMINATOR)
-    return n - need + 1
+def needed(n: int) -> int:
+    """The least overlap of a set of n with any set it links to."""
+    return -(-NUMERATOR * n // DENOMINATOR)
 
 
-def frequent_shingles(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles and their rank (1 to 15), at most FREQUENT of them.
+def surplus(n: int) -> int:
+    """How many shingles more than one two linked prefixes share, for the smaller set's n."""
+    return max(1, n // SURPLUS)
 
-    Each task reports those that several of its rows hold; sums of these decide.
-    The ranks only say what comes late in the order of the shingles: any fixed
-    choice gives the same links, a good one makes the index lists short.
+
+def prefix_length(n: int) -> int:
+    """How many of the rarest shingles are indexed for a set of n.
+
+    With so many, two linked sets share ``surplus`` of the smaller one's size in
+    their prefixes, and not only one: the last of that many shared shingles has
+    the rest of the needed overlap behind it.
+    """
+    return min(n, n - needed(n) + surplus(n))
+
+
+def rarity_order(docs: DataFrame, text: str) -> Order:
+    """An order of shingles by how often they are to be expected, from counts over all rows.
+
+    Each task reports the words that are frequent in it, and the shingles that
+    several of its rows hold; sums of these decide. The tables are of bounded
+    size. They only say what comes late in the order: any fixed choice gives the
+    same links, a good one makes the index lists short.
     """
 
     def run(batches):
-        seen: list[np.ndarray] = []
+        shingle_runs: list[np.ndarray] = []
+        word_runs: list[np.ndarray] = []
         held = 0
         for batch in batches:
             for piece in pieces_of(batch, 0):
-                h, bounds = shingles(*utf8(piece.column(0)))
-                seen += [np.unique(h[a:b]) for a, b in itertools.pairwise(bounds.tolist()) if b > a]
+                h, bounds, words, hashes = shingles(*utf8(piece.column(0)))
+                shingle_runs += [np.unique(h[a:b]) for a, b in itertools.pairwise(bounds.tolist()) if b > a]
+                word_runs.append(hashes)
                 held += len(h)
                 if held > 3_000_000:
-                    yield _often(seen)
-                    seen, held = [], 0
-        if seen:
-            yield _often(seen)
+                    yield from reports(shingle_runs, word_runs)
+                    shingle_runs, word_runs, held = [], [], 0
+        if held:
+            yield from reports(shingle_runs, word_runs)
+
+    def reports(shingle_runs, word_runs):
+        words = np.concatenate(word_runs)
+        yield _often(np.concatenate(shingle_runs), 4, 0)
+        yield _often(words, max(4, len(words) // 200_000), 1)
+        yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([0]), pa.array([len(words)])], ["kind", "h", "n"])
+
+    found = docs.select(text).mapInArrow(run, "kind int, h long, n long").groupBy("kind", "h").agg(F.sum("n").alias("n"))
+    found = stored(found, "frequent")
+    total = (found.where("kind = 2").agg(F.sum("n")).first()[0] or 0) + 1
+    h, n = _most(found.where("kind = 0"), FREQUENT)
+    words, times = _most(found.where("kind = 1"), FREQUENT_WORDS)
+    bits = np.round(4 * np.log2(total / np.maximum(times, 1))).astype(np.int64)
+    return Order(h, n, words, bits, int(np.round(4 * np.log2(total))))
+
+
+def _often(values: np.ndarray, least: int, kind: int) -> pa.RecordBatch:
+    values, n = np.unique(values, return_counts=True)
+    some = n >= least
+    kinds = pa.array(np.full(some.sum(), kind, np.int32))
+    return pa.RecordBatch.from_arrays([kinds, pa.array(values[some].view(np.int64)), pa.array(n[some].astype(np.int64))], ["kind", "h", "n"])
 
-    found = stored(docs.select(text).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "frequent")
+
+def _most(found: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent values, at most ``size``, in ascending order, and their counts."""
     level = F.floor(F.log2("n")).cast("int")
     least, held = 64, 0
     for r in sorted(found.groupBy(level.alias("level")).count().collect(), reverse=True):
-        if held + r["count"] > FREQUENT:
+        if held + r["count"] > size:
             break
         held, least = held + r["count"], r["level"]
     top = found.where(level >= least).toArrow()
-    h = top.column("h").to_numpy().view(np.uint64)
-    rank = np.minimum(np.log2(np.maximum(top.column("n").to_numpy(), 2)).astype(np.int64), (1 << RANK_BITS) - 1)
+    h, n = top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy()
     order = np.argsort(h)
-    return h[order], rank[order].astype(np.uint64)
+    return h[order], n[order]
 
 
-def _often(seen: list[np.ndarray], least: int = 4) -> pa.RecordBatch:
-    values, n = np.unique(np.concatenate(seen), return_counts=True)
-    some = n >= least
-    return pa.RecordBatch.from_arrays([pa.array(values[some].view(np.int64)), pa.array(n[some].astype(np.int64))], ["h", "n"])
+def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, Words, np.ndarray]:
+    """Hashes of all word shingles (60 bits), repeated ones included, the row bounds in them, the words and theirs."""
+    words = Words(data, offsets, SPACES)
+    hashes = words.hashes()
+    h, bounds = windows(hashes, words.bounds, WORDS, short=True)
+    return h >> np.uint64(RANK_BITS), bounds, words, hashes
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all word shingles (60 bits) and the row bounds; repeated ones included."""
-    words = Words(data, offsets, SPACES)
-    h, bounds = windows(words.hashes(), words.bounds, WORDS, short=True)
-    return h >> np.uint64(RANK_BITS), bounds
+def _find(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of values in a sorted table, and whether they are there."""
+    if not len(table):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return at, table[at] == values
 
 
 class Order:
-    """Sort keys of shingles: rank above, hash below; the rarest come first."""
+    """Sort keys of shingles: rank above, hash below; the rarest come first.
 
-    def __init__(self, frequent: np.ndarray, rank: np.ndarray):
-        self.frequent, self.rank = frequent, rank
+    A shingle's rank follows its count if that is known to be large, and else the
+    product of its words' shares. All sums are of whole numbers, so a shingle has
+    the same key wherever it stands.
+    """
+
+    def __init__(self, h=None, n=None, words=None, bits=None, total: int = 0):
+        none = np.zeros(0, np.uint64)
+        self.h, self.words = (none if h is None else h), (none if words is None else words)
+        self.n = 4 * np.log2(np.maximum(n, 1)) if n is not None else np.zeros(0)
+        self.bits, self.total = bits, total
+        # hashes of shingles whose index lists are too long for one task
+        self.hot = self.h[n >= HOT_LIST] if n is not None else none
 
-    def keys(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.frequent):
+    def keys(self, h: np.ndarray, bounds: np.ndarray, words: Words, hashes: np.ndarray) -> np.ndarray:
+        if not self.total:
             return h
-        at = np.minimum(np.searchsorted(self.frequent, h), len(self.frequent) - 1)
-        rank = np.where(self.frequent[at] == h, self.rank[at], np.uint64(0))
+        at, there = _find(self.words, hashes)
+        bits = np.where(there, self.bits[at], self.total) if len(self.words) else np.full(len(hashes), self.total)
+        upto = np.concatenate([[0], np.cumsum(bits)])
+        row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        start = words.bounds[:-1][row] + np.arange(len(h)) - bounds[:-1][row]
+        stop = np.minimum(start + WORDS, words.bounds[1:][row])
+        expected = self.total - (upto[stop] - upto[start])
+        at, there = _find(self.h, h)
+        if len(self.h):
+            expected = np.where(there, np.maximum(expected, self.n[at].astype(np.int64)), expected)
+        # quarters of a doubling: 2^-100 to 2^28 in sixteen steps
+        rank = np.clip((expected + 400) // 32, 0, (1 << RANK_BITS) - 1).astype(np.uint64)
         return h | (rank << np.uint64(64 - RANK_BITS))
 
 
 def row_sets(data: np.ndarray, offsets: np.ndarray, order: Order) -> list[np.ndarray]:
-    h, bounds = shingles(data, offsets)
-    keys = order.keys(h)
-    cuts = bounds.tolist()
-    return [np.unique(keys[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
-
-
-def signature(keys: np.ndarray) -> int:
-    """One signed 64-bit value of a whole set."""
-    if not len(keys):
-        return 0
-    total = mix(keys * np.uint64(0x9E3779B97F4A7C15) + np.uint64(len(keys))).sum(dtype=np.uint64)
-    return int(mix(np.array([total + np.uint64(len(keys))]))[0].astype(np.int64))
+    h, bounds, words, hashes = shingles(data, offsets)
+    keys = order.keys(h, bounds, words, hashes)
+    return [np.unique(keys[a:b]) for a, b in itertools.pairwise(bounds.tolist())]
 
 
 def _overlaps(sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, int]]:
@@ -208,26 +266,134 @@ def cross_links(left: list[np.ndarray], right: list[np.ndarray]) -> list[tuple[i
     return out
 
 
-def document_sets(docs: DataFrame, order, key: str, text: str) -> DataFrame:
-    """(k, t, n, sig, prefix) of every row: hash of its text, size and signature of its set, the shingles to be indexed."""
+def document_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(k, t, n, sig) of every row: hash of its text, size and signature of its set."""
+    plain = Order()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces_of(batch, 1):
-                sets = row_sets(*utf8(piece.column(1)), order.value)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        piece.column(0),
-                        piece.column(2),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([signature(s) for s in sets], pa.int64()),
-                        pa.array([s[: _prefix(len(s))].view(np.int64) if len(s) else [] for s in sets], pa.list_(pa.int64())),
-                    ],
-                    names=["k", "t", "n", "sig", "prefix"],
-                )
+                sets = row_sets(*utf8(piece.column(1)), plain)
+                n = pa.array([len(s) for s in sets], pa.int64())
+                sig = pa.array([signature(s) for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), n, sig], names=["k", "t", "n", "sig"])
 
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("text"), F.xxhash64(text).alias("t"))
-    return rows.mapInArrow(run, "k long, t long, n long, sig long, prefix array<long>")
+    return rows.mapInArrow(run, "k long, t long, n long, sig long")
+
+
+def signature(keys: np.ndarray) -> int:
+    """One signed 64-bit value of a whole set, whatever the ranks in its keys."""
+    if not len(keys):
+        return 0
+    h = keys & np.uint64((1 << (64 - RANK_BITS)) - 1)
+    total = mix(h * np.uint64(0x9E3779B97F4A7C15) + np.uint64(len(h))).sum(dtype=np.uint64)
+    return int(mix(np.array([total + np.uint64(len(h))]))[0].astype(np.int64))
+
+
+def size_code(n: int) -> int:
+    """Sizes that two linked sets can have differ by at most SIZE_STEPS + 1 here."""
+    return int(SIZE_STEPS * math.log(n) / math.log(DENOMINATOR / NUMERATOR) + 1e-9)
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], order: Order, hot: bool) -> Iterator[tuple[np.ndarray, ...]]:
+    """(tokens, size codes, signatures) of the indexed shingles, in runs of some millions; equal sets of a run count once."""
+    tokens: list[np.ndarray] = []
+    codes: list[np.ndarray] = []
+    owners: list[np.ndarray] = []
+    seen: set[int] = set()
+    held = 0
+
+    def taken():
+        return np.concatenate(tokens), np.concatenate(codes), np.concatenate(owners)
+
+    for batch in batches:
+        for piece in pieces_of(batch, 0):
+            for s in row_sets(*utf8(piece.column(0)), order):
+                sig = signature(s)
+                if len(s) and sig not in seen:
+                    seen.add(sig)
+                    own = s[: prefix_length(len(s))]
+                    if len(order.hot):
+                        own = own[_find(order.hot, own & np.uint64((1 << (64 - RANK_BITS)) - 1))[1] == hot]
+                    tokens.append(own)
+                    codes.append(np.full(len(own), size_code(len(s)), np.uint16))
+                    owners.append(np.full(len(own), sig, np.int64))
+                    held += len(own)
+            if held > FLUSH:
+                yield taken()
+                tokens, codes, owners, held = [], [], [], 0
+                seen.clear()
+    if tokens:
+        yield taken()
+
+
+def shared_lists(docs: DataFrame, order, text: str, buckets: int) -> DataFrame:
+    """(lead, sig, m): in the lists led by ``lead`` that hold a set of a size it can link to, ``sig`` stands m times.
+
+    Nearly all indexed shingles stand in one set only. So each task packs its
+    entries by bucket of the shingle, 14 bytes each, and the bucket's task keeps
+    what occurs in several sets of like size. Shingles are told apart by 32 bits and the
+    bucket there: a list with strangers costs a comparison, no more. Lists that
+    may outgrow a task go another way (``hot_lists``). Signatures are random, so
+    the smallest one of a list is a leader chosen by lot.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tokens, codes, owners in _prefixes(batches, order.value, False):
+            h = mix(tokens)
+            bucket = (h % np.uint64(buckets)).astype(np.int64)
+            by = np.argsort(bucket, kind="stable")
+            short, codes, owners = (h >> np.uint64(32)).astype(np.uint32)[by], codes[by], owners[by]
+            cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
+            there = np.flatnonzero(np.diff(cuts))
+            for low in range(0, len(there), 256):
+                part = there[low : low + 256]
+                blobs = [b"".join(x[cuts[i] : cuts[i + 1]].tobytes() for x in (short, codes, owners)) for i in part]
+                yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(blobs, pa.binary())], ["bucket", "blob"])
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held.setdefault(bucket, []).append(blob)
+        for blobs in held.values():
+            counts = [len(b) // 14 for b in blobs]
+            token = np.concatenate([np.frombuffer(b, np.uint32, m) for b, m in zip(blobs, counts)])
+            code = np.concatenate([np.frombuffer(b, np.uint16, m, 4 * m) for b, m in zip(blobs, counts)]).astype(np.int64)
+            owner = np.concatenate([np.frombuffer(b, np.int64, m, 6 * m) for b, m in zip(blobs, counts)])
+            by = np.lexsort((owner, code, token))
+            token, code, owner = token[by], code[by], owner[by]
+            same = token[1:] == token[:-1]
+            new = np.concatenate([[True], ~same | (owner[1:] != owner[:-1])])
+            token, code, owner = token[new], code[new], owner[new]
+            # the nearest sizes of a list stand next to each other
+            near = (token[1:] == token[:-1]) & (np.diff(code) <= SIZE_STEPS + 1)
+            some = np.concatenate([[False], near]) | np.concatenate([near, [False]])
+            token, owner = token[some], owner[some]
+            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))[: len(token)]
+            lead = np.repeat(np.minimum.reduceat(owner, starts), np.diff(np.append(starts, len(token)))) if len(token) else owner
+            pairs, m = np.unique(np.stack([lead, owner], 1), axis=0, return_counts=True)
+            if len(pairs):
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(m)], ["lead", "sig", "m"])
+
+    packed = docs.select(text).mapInArrow(pack, "bucket int, blob binary")
+    found = packed.repartitionById(buckets, F.col("bucket")).mapInArrow(lists, "lead long, sig long, m long")
+    if len(order.value.hot):
+        found = found.unionByName(hot_lists(docs, order, text))
+    return found
+
+
+def hot_lists(docs: DataFrame, order, text: str) -> DataFrame:
+    """The same for the shingles of very many sets, by a partial minimum and a join whose large keys can be split."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tokens, _, owners in _prefixes(batches, order.value, True):
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(owners)], ["token", "sig"])
+
+    entries = stored(docs.select(text).mapInArrow(rows, "token long, sig long").distinct(), "hot")
+    leads = entries.groupBy("token").agg(F.min("sig").alias("lead"), F.max("sig").alias("last")).where("lead < last")
+    return entries.join(leads, "token").groupBy("lead", "sig").agg(F.count(F.lit(1)).alias("m"))
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, order, key: str, text: str) -> DataFrame:
@@ -270,16 +436,18 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     )
 
 
-def class_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, order, key: str, text: str) -> DataFrame:
+def class_links(docs: DataFrame, classes: DataFrame, order, key: str, text: str) -> DataFrame:
     """Edges (a, b) between class signatures that tie together whatever links tie together."""
     n_tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rep = (sets["sig"] == classes["sig"]) & (sets["n"] == classes["n"]) & sets["k"].eqNullSafe(classes["low"])
-    entries = sets.join(classes, rep, "left_semi").select(F.explode_outer("prefix").alias("token"), "sig", "n")
-    # signatures are random, so a list's smallest one is a leader chosen by lot
-    lists = entries.groupBy("token").agg(F.min("sig").alias("lead"), F.max("sig").alias("last"))
-    lists = lists.where(F.col("lead") < F.col("last")).select("token", "lead")
-    members = stored(entries.join(lists, "token").select("lead", "sig", "n").distinct(), "families")
-    counts = members.groupBy("lead").agg(F.count(F.lit(1)).alias("size"))
+    lists = shared_lists(docs, order, text, n_tasks).groupBy("lead", "sig").agg(F.sum("m").alias("m"))
+    lists = stored(lists, "lists")
+    shared = lists.groupBy("sig").agg(F.sum("m").alias("m"))
+    # a set that links to another shares that many indexed shingles, whatever the other's size
+    least = F.greatest(F.floor(F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) / SURPLUS), F.lit(1))
+    alive = shared.join(classes, "sig").where(F.col("m") >= least).select("sig", "n", F.col("low").alias("k"))
+    alive = stored(alive, "alive")
+    members = stored(lists.join(alive, "sig").select("lead", "sig", "n"), "families")
+    counts = members.groupBy("lead").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = members.join(counts, "lead")
     # large families: sizes that cannot link are told apart, the rest is dealt into blocks by lot
     zone = F.floor(F.log(F.col("n").cast("double")) / math.log(DENOMINATOR / NUMERATOR) + 1e-9).cast("int")
@@ -294,8 +462,8 @@ def class_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, order, key
     anchors = anchors.select("lead", "zone", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("block"), "sig")
     dealt = own.select("lead", "zone", "block", "sig").unionByName(anchors).distinct()
 
-    wanted = own.select("sig").distinct().join(classes.select("sig", F.col("low").alias("k")), "sig")
-    nodes = stored(sets_of(docs, stored(wanted, "wanted"), order, key, text), "nodes")
+    wanted = stored(alive.join(own.select("sig").distinct(), "sig", "left_semi").select("sig", "k"), "wanted")
+    nodes = stored(sets_of(docs, wanted, order, key, text), "nodes")
 
     def inside(batches):
         for _, rows in _groups(batches, 3):
@@ -360,10 +528,10 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     and shows the smallest key of its component, null if there is none. Repeated
     rows come out as often as they came in. Other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Order(*frequent_shingles(docs, text)))
-    sets = stored(document_sets(docs, shared, key, text), "sets")
+    shared = docs.sparkSession.sparkContext.broadcast(rarity_order(docs, text))
+    sets = stored(document_sets(docs, key, text), "sets")
     classes = stored(sets.where("n > 0").groupBy("sig", "n").agg(F.min("k").alias("low")), "classes")
-    roots = smallest_reachable(class_links(docs, sets, classes, shared, key, text))
+    roots = smallest_reachable(class_links(docs, classes, shared, key, text))
     labelled = classes.join(roots, classes["sig"] == roots["node"], "left").select(
         "sig", "n", "low", F.coalesce("root", "sig").alias("root")
     )
@@ -376,7 +544,7 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def keep_one_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows that link, through others or not, to a row with a smaller key.
 
-    Of repeated rows (same key, equal sets) one stays. Rows with empty sets all stay.
+    Of repeated rows (same key and text) one stays. Rows with empty sets all stay.
     """
     found = link_components(docs, key, text)
     stay = found.where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(F.col(key).alias("k"), F.col("text_hash").alias("t"))
@@ -385,6 +553,7 @@ def keep_one_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     kept = docs.join(stay, same, "left_semi")
     # keys are unique as a rule; only if some are not, repeated rows are looked for
     if stay.where("n > 0").groupBy("k").agg(F.sum("rows").alias("rows")).where("rows > 1").limit(1).count():
-        first = W.partitionBy(key, F.when(F.coalesce(F.trim(text), F.lit("")) == "", F.rand()).otherwise(F.lit(0.0))).orderBy(text)
-        kept = kept.withColumn("__at", F.row_number().over(first)).where("__at = 1").drop("__at")
+        first = W.partitionBy(key, F.xxhash64(text)).orderBy(F.lit(0))
+        blank = ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+        kept = kept.withColumn("__at", F.row_number().over(first)).where((F.col("__at") == 1) | blank).drop("__at")
     return kept
