@@ -135,6 +135,24 @@ def test_quality(spark):
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.2 * len(bad)
 
 
+def test_quality_of_rare_languages(spark):
+    """A language with few trusted rows, one with none and a missing one are not judged by the others' limit."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    lang = {r.doc_id: r.lang for r in docs.collect()}
+    rows = labels.collect()
+    clean = {r.doc_id for r in rows if r.quality == 1 and r.toxic == 0}
+    junk = {r.doc_id for r in rows if r.quality == 0} - clean
+    some = set(sorted(k for k in clean if lang[k] == "fr")[:10])
+    gone = [k for k in clean if lang[k] in ("es", "de") or lang[k] == "fr" and k not in some]
+    docs = docs.withColumn("lang", F.when(F.col("lang") != "de", F.col("lang")))
+    judged = {r.doc_id: r for r in quality.judge_quality(docs, labels.where(~F.col("doc_id").isin(gone))).collect()}
+    for name in ("fr", "es", "de"):
+        assert sum(judged[k].kept for k in clean if lang[k] == name) >= 0.97 * sum(lang[k] == name for k in clean), name
+    for name in ("fr", "es"):
+        assert sum(judged[k].kept for k in junk if lang[k] == name) <= 0.5 * sum(lang[k] == name for k in junk), name
+
+
 def test_quality_of_odd_rows(spark):
     docs = odd_documents(spark)
     labels = spark.createDataFrame([(1, 1, 0), (6, 1, 0), (6, 1, 0), (8, None, None), (None, 1, 0), (99, 1, 0)], "doc_id long, quality int, toxic int")
