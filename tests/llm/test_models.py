@@ -174,6 +174,21 @@ def test_language(spark):
     assert sum(r.accepted for r in got) >= 0.97 * len(got)
 
 
+@pytest.mark.parametrize("out", ["en", "de", "es", "fr"])
+def test_language_left_out(spark, out):
+    """A language that was not learned is rejected, and the learned ones are not."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text")
+    model = language.fit_centroids(docs.where(~language.is_held_out(F.col("doc_id"))), F.col("lang") != out)
+    foreign = "Suomen kesä on lyhyt mutta valoisa, ja ihmiset viettävät paljon aikaa mökillä järven rannalla."
+    rows = docs.unionByName(spark.createDataFrame([(-1, "fi", foreign)], "doc_id long, lang string, text string"))
+    rows = rows.where(language.is_held_out(F.col("doc_id")) | F.col("lang").isin(out, "fi"))
+    got = language.predict_language(rows, model).collect()
+    strange = [r.accepted for r in got if r.lang == out]
+    own = [r.accepted for r in got if r.lang not in (out, "fi")]
+    assert sum(strange) <= 0.1 * len(strange) and sum(own) >= 0.95 * len(own)
+    assert not any(r.accepted for r in got if r.lang == "fi")
+
+
 def test_language_of_odd_rows(spark):
     docs = odd_documents(spark)
     model = language.fit_centroids(docs, F.lit(True))

@@ -4,7 +4,8 @@ A text's vector counts byte runs of one to four letters, hashed to a fixed numbe
 of cells, weighted by inverse document frequency and normalised. Each language
 has some centroids, found by k-means on a bounded sample of its rows; the text
 gets the language of the centroid with the largest cosine. A text whose cosine
-is under what nearly all sample rows of that centroid reach is rejected.
+is, for its length, under what nearly all sample rows of that language reach is
+rejected.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from tidemart.llm.texts import LOWER, pieces_of, utf8
 CELLS = 4096
 RUNS = (1, 2, 3, 4)
 ROWS = 128
-FULL_CELLS = 400
+HALF_CELLS = 800
+FEW_ROWS = 100
 UNDETERMINED = "und"
 _FACTORS = {n: np.random.default_rng(n).integers(1, 1 << 31, size=n, dtype=np.uint32) | np.uint32(1) for n in RUNS}
 # letters keep their byte, everything else of ASCII is one blank
@@ -107,6 +109,12 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[int, np.n
     return int(sums[0]), sums[1:]
 
 
+def length_share(v: np.ndarray) -> np.ndarray:
+    """How much of its cosine a text of this many filled cells can show: short texts' is smaller for that alone."""
+    filled = (v != 0).sum(1)
+    return np.sqrt(filled / (filled + HALF_CELLS))
+
+
 def k_means(v: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
     """Spherical k-means from the row farthest from the centres so far; returns centres and each row's cosine."""
     centre = v.mean(0)
@@ -123,6 +131,18 @@ def k_means(v: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.nda
     return c, v @ c.T
 
 
+def left_out(v: np.ndarray, c: np.ndarray, cosines: np.ndarray) -> np.ndarray:
+    """Each row's largest cosine, with its own centroid taken as it would be without the row."""
+    near = cosines.argmax(1)
+    rows = np.arange(len(v))
+    size = np.linalg.norm([v[near == i].sum(0) for i in range(len(c))], axis=1)[near]
+    own = cosines[rows, near]
+    rest = np.sqrt(np.maximum(size**2 - 2 * own * size + 1, 0))
+    out = cosines.copy()
+    out[rows, near] = np.where(rest > 1e-3, (own * size - 1) / np.maximum(rest, 1e-3), 0)
+    return np.maximum(out.max(1), 0)
+
+
 def fit_centroids(
     docs: DataFrame,
     learns: Column,
@@ -131,14 +151,16 @@ def fit_centroids(
     lang: str = "lang",
     per_language: int = 400,
     clusters: int = 3,
-    slack: float = 0.5,
+    margin: float = 0.25,
 ) -> Centroids:
     """Learn from the rows where ``learns`` holds and language and text are not null.
 
     Document frequencies cover all of these rows. The centroids are fitted on at
     most ``per_language`` rows of each language, those with the smallest hash of
-    key and text. ``least`` of a centroid is ``slack`` times the first percentile
-    of its sample rows' cosines.
+    key and text. ``least`` of a language is the first percentile of its sample
+    rows' cosines over what their lengths allow, less ``margin`` of its distance
+    from the median; a sample of few rows shows its low end badly, so there the
+    margin is wider. A row's cosine is taken without the row itself.
     """
     rows = docs.where(learns & F.col(lang).isNotNull() & F.col(text).isNotNull())
     n, df = document_frequencies(rows, text)
@@ -161,11 +183,10 @@ def fit_centroids(
         if not len(v):
             return pd.DataFrame({"lang": [], "at": [], "vector": [], "least": []})
         c, cosines = k_means(v, clusters)
-        near = cosines.argmax(1)
-        floor = float(np.quantile(cosines.max(1), 0.01))
-        least = [float(np.quantile(cosines[near == i, i], 0.01)) if (near == i).any() else floor for i in range(len(c))]
+        low, middle = np.quantile(left_out(v, c, cosines) / length_share(v), [0.01, 0.5])
+        least = float(low - margin * (1 + FEW_ROWS / len(v)) * (middle - low))
         return pd.DataFrame(
-            {"lang": pdf["lang"].iloc[0], "at": range(len(c)), "vector": [x.astype("<f4").tobytes() for x in c], "least": np.array(least) * slack}
+            {"lang": pdf["lang"].iloc[0], "at": range(len(c)), "vector": [x.astype("<f4").tobytes() for x in c], "least": least}
         )
 
     found = sample.groupBy("lang").applyInPandas(train, "lang string, at int, vector binary, least double")
@@ -211,12 +232,10 @@ def predict_language(docs: DataFrame, model: Centroids, text: str = "text", pref
                 if known.any():
                     v = weigh(counts(data, offsets), model.idf)
                     cosines = v @ centres
-                    # short texts fill few cells, and their cosine is smaller for that alone
-                    least = model.least * np.minimum(1, np.sqrt((v != 0).sum(1, keepdims=True) / FULL_CELLS))
                     best = cosines.argmax(1)
                     lang[known] = languages[best[known]]
                     score[known] = np.clip(cosines.max(1)[known], 0, 1)
-                    accepted = known & (cosines.max(1) >= least[np.arange(len(best)), best])
+                    accepted = known & (cosines.max(1) >= model.least[best] * length_share(v))
                 yield pa.RecordBatch.from_arrays(
                     [*piece.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(accepted)], names=names
                 )
