@@ -1,6 +1,7 @@
 """Licenses, URL rules, templates and fingerprints against brute force."""
 
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -108,6 +109,22 @@ def test_leaks(spark):
     assert find_leaks(docs, bench.where("false")).count() == 0 and find_leaks(docs.where("false"), bench).count() == 0
 
 
+def test_leaks_of_changed_copies(spark):
+    """One or two changed words, a half quote and an inserted word; a few words of an item are none."""
+    rng = random.Random(4)
+    item = lambda n: ["".join(rng.choice("abdefgiklmnoprstu") for _ in range(6)) for _ in range(n)]
+    short, long = item(16), item(40)
+    change = lambda words, *at: " ".join("other" if i in at else w for i, w in enumerate(words))
+    rows = [
+        (1, "so it is " + change(short, 7)), (2, change(short, 4, 11)), (3, change(long, 10, 20)), (4, "x " + " ".join(long[:20]) + " and on"),
+        (5, " ".join(short[:8] + ["more"] + short[8:])), (6, "x " + " ".join(long[:8]) + " and on"), (7, " ".join(item(40))), (8, "a few words " + " ".join(short[:4])),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(short)), (2, " ".join(long))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in find_leaks(docs, bench).collect()}
+    assert got == {(1, 1), (2, 1), (3, 2), (4, 2), (5, 1)}
+
+
 def test_leaks_of_the_tables(spark):
     got = {(r.doc_id, r.item_id) for r in QUERIES["op2_decontamination"](spark, SF_DIR).collect()}
     items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()

@@ -14,14 +14,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tidemart.llm.ranges import MASK, low_bits_mask, stored
 from tidemart.llm.texts import Words, pieces_of, separators, utf8, windows
 
-WINDOW = 5
+WINDOW = 3
 SHARE = 0.75
+STRETCH = 12  # words in a row
+SEEN = 5  # words in a row that stand for themselves, wherever they are in the document
+NEAR = 8  # words put in or left out between two parts of a copy
 BETWEEN = separators((0, 47), (58, 64), (91, 96), (123, 127))
 # Names and signs of units that may follow a number.
 UNITS = (
@@ -97,7 +101,7 @@ def _lists(a: np.ndarray) -> pa.Array:
 
 
 def item_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
-    """(h, item, variant, at, slots, n): the windows of each item, and how many of the variant it has."""
+    """(h, item, variant, at, slots, n): the windows of each item, and how many words of the variant are in one."""
 
     def run(batches):
         for batch in batches:
@@ -105,7 +109,10 @@ def item_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
                 for variant, row, at, start, h, values, tokens in template_windows(*utf8(piece.column(1))):
                     slots, typed = _slots(start, values, tokens)
                     some = ~typed.all(1)
-                    n = np.bincount(row[some], minlength=piece.num_rows)
+                    used = np.unique((start[some][:, None] + np.arange(WINDOW)).ravel())
+                    owner = np.zeros(len(values), np.int64)
+                    owner[(start[:, None] + np.arange(WINDOW)).ravel()] = np.repeat(row, WINDOW)
+                    n = np.bincount(owner[used], minlength=piece.num_rows)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(h[some].view(np.int64)),
@@ -130,13 +137,18 @@ def find_leaks(
     item: str = "item_id",
     item_text: str = "text",
     share: float = SHARE,
+    stretch: int = STRETCH,
 ) -> DataFrame:
-    """(key, text_hash, item, share) for each document that holds at least ``share`` of an item's windows.
-
-    Windows have five tokens; one with placeholders only is not used. The
-    documents' windows pass a filter of fixed size first, and then meet the
-    items' windows by an equality join; hits are grouped by alignment, and an
-    alignment counts if its slots are consistent. Items with fewer than five
+    """(key, text_hash, item, share) for each document that holds enough of an item.
+
+    That is at least ``share`` of the item's words, or ``stretch`` of them in a
+    row. A word is held if it is in a met window; windows have three tokens, so
+    a changed word takes four others with it at most, and one with placeholders
+    only is not used. The documents' windows pass a filter of fixed size first,
+    and then meet the items' windows by an equality join; hits are grouped by
+    alignment, and an alignment counts if its slots are consistent. Alignments
+    within ``NEAR`` words of each other add up, and so do, anywhere in the
+    document, those with ``SEEN`` words in a row. Items with fewer than three
     words have no window and are not looked for. Null and empty texts, and an
     empty benchmark, find nothing. Items may repeat: each pair comes once. Rows
     with equal key and text come once. Other columns are not read.
@@ -172,15 +184,38 @@ def find_leaks(
         F.collect_set("at").alias("met"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
     renamed = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda s: s["slots"])))
-    spans = lines.where(renamed).groupBy("k", "t", "item", "variant", "n").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("met")))).alias("met")
+    lines = lines.where(renamed).withColumn("words", words_of(F.col("met"))).withColumn("run", longest_run(F.col("met")))
+    same = ["k", "t", "item", "variant", "n"]
+    in_order = W.partitionBy(*same).orderBy("line")
+    lines = lines.withColumn("far", (F.col("line") - F.lag("line").over(in_order) > NEAR).cast("int"))
+    lines = lines.withColumn("band", F.sum(F.coalesce("far", F.lit(0))).over(in_order))
+    held = lambda words: F.size(F.array_distinct(F.flatten(F.collect_list(words))))
+    bands = lines.groupBy(*same, "band").agg(
+        held("words").alias("near"), F.max("run").alias("run"), F.flatten(F.collect_list(F.when(F.col("run") >= SEEN, F.col("words")))).alias("seen")
     )
-    shares = spans.groupBy("k", "t", "item").agg(F.max(F.col("met") / F.col("n")).alias("share"))
-    return shares.where(F.col("share") >= share).select(
+    spans = bands.groupBy(*same).agg(F.greatest(F.max("near"), held("seen")).alias("met"), F.max("run").alias("run"))
+    shares = spans.groupBy("k", "t", "item").agg(F.max(F.col("met") / F.col("n")).alias("share"), F.max("run").alias("run"))
+    return shares.where((F.col("share") >= share) | (F.col("run") >= stretch)).select(
         F.col("k").alias(key), F.col("t").alias("text_hash"), F.col("item").alias("item_id"), "share"
     )
 
 
+def words_of(met: Column) -> Column:
+    """Positions of the words in the windows that start at the positions in ``met``."""
+    return F.array_distinct(F.flatten(F.transform(met, lambda a: F.sequence(a, a + (WINDOW - 1)))))
+
+
+def longest_run(met: Column) -> Column:
+    """Words in the longest row of windows whose starts follow one another."""
+    zero = F.struct(F.lit(-9).cast("long").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+
+    def step(so_far, a):
+        run = F.when(a == so_far["last"] + 1, so_far["run"] + 1).otherwise(WINDOW)
+        return F.struct(a.alias("last"), run.alias("run"), F.greatest(so_far["best"], run).alias("best"))
+
+    return F.aggregate(F.array_sort(met), zero, step, lambda so_far: so_far["best"])
+
+
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the documents that hold an item."""
     leaks = find_leaks(docs, benchmark, key, text).select(F.col(key).alias("k"), F.col("text_hash").alias("t")).distinct()
