@@ -125,6 +125,18 @@ def test_leaks_of_changed_copies(spark):
     assert got == {(1, 1), (2, 1), (3, 2), (4, 2), (5, 1)}
 
 
+def test_leaks_with_other_numbers(spark):
+    """Grouped, decimal and unit-suffixed numbers are one token, and a value that became two costs only its words."""
+    item = "He paid 1,200 for a rope of 3.5 m that holds 5kg and is -7 cold with 12 knots for each of 12 boats"
+    other = item.replace("1,200", "900").replace("3.5 m", "4 m").replace("5kg", "7 kg").replace("-7", "8").replace("12", "15")
+    split = item.replace("12 boats", "77 boats")
+    docs = spark.createDataFrame([(1, "so " + other), (2, split), (3, "He paid 1,200 for it")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {(r.doc_id, r.share) for r in find_leaks(docs, bench).collect()} == {(1, 1.0)}
+    assert {r.doc_id for r in find_leaks(docs, bench, consistent=False).collect()} == {1, 2}
+    assert [r.doc_id for r in drop_leaks(docs, bench, consistent=False).collect()] == [3]
+
+
 def test_leaks_of_the_tables(spark):
     got = {(r.doc_id, r.item_id) for r in QUERIES["op2_decontamination"](spark, SF_DIR).collect()}
     items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()

@@ -45,6 +45,30 @@ def _unit_hashes() -> np.ndarray:
     return _units[0]
 
 
+def _split_numbers(words: Words) -> None:
+    """Numbers with points or commas inside become one word, and a unit at the end of a number a word of its own."""
+    data = words.data
+    is_digit = (data >= 48) & (data <= 57)
+    other = np.append(np.flatnonzero(~is_digit), len(data))
+    mid = other[np.searchsorted(other, words.starts)]
+    cut = (mid > words.starts) & (mid < words.ends)
+    if cut.any():
+        rest = Words(data, words.offsets, BETWEEN)
+        rest.starts, rest.ends = mid[cut], words.ends[cut]
+        cuts = rest.starts[np.isin(rest.hashes(), _unit_hashes())]
+        words.starts, words.ends = np.sort(np.append(words.starts, cuts)), np.sort(np.append(words.ends, cuts))
+    digits = np.concatenate([[0], np.cumsum(is_digit)])
+    number = digits[words.ends] - digits[words.starts] == words.ends - words.starts
+    gap = data[np.minimum(words.ends, len(data) - 1)]
+    close = (words.starts[1:] == words.ends[:-1] + 1) & ((gap[:-1] == 46) | (gap[:-1] == 44)) & number[1:] & number[:-1]
+    rows = np.searchsorted(words.offsets, words.starts, "right")
+    close &= rows[1:] == rows[:-1]
+    words.starts = words.starts[np.concatenate([[True], ~close])]
+    words.ends = words.ends[np.concatenate([~close, [True]])]
+    words.bounds = np.searchsorted(words.starts, words.offsets)
+    words.counts = np.diff(words.bounds)
+
+
 def canonical(data: np.ndarray, offsets: np.ndarray, names: bool) -> tuple[Words, np.ndarray, np.ndarray]:
     """Words, their values (hashes of what stands there), and their tokens (the type where there is one).
 
@@ -52,11 +76,13 @@ def canonical(data: np.ndarray, offsets: np.ndarray, names: bool) -> tuple[Words
     not follow the end of a sentence.
     """
     words = Words(data, offsets, BETWEEN)
+    if len(words.starts):
+        _split_numbers(words)
     values = words.hashes()
     tokens = values.copy()
     if not len(values):
         return words, values, tokens
-    digits = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57))])
+    digits = np.concatenate([[0], np.cumsum(((data >= 48) & (data <= 57)) | (data == 46) | (data == 44))])
     number = digits[words.ends] - digits[words.starts] == words.ends - words.starts
     first = np.zeros(len(values), bool)
     starts = words.bounds[:-1][words.counts > 0]
@@ -138,6 +164,7 @@ def find_leaks(
     item_text: str = "text",
     share: float = SHARE,
     stretch: int = STRETCH,
+    consistent: bool = True,
 ) -> DataFrame:
     """(key, text_hash, item, share) for each document that holds enough of an item.
 
@@ -146,7 +173,8 @@ def find_leaks(
     a changed word takes four others with it at most, and one with placeholders
     only is not used. The documents' windows pass a filter of fixed size first,
     and then meet the items' windows by an equality join; hits are grouped by
-    alignment, and an alignment counts if its slots are consistent. Alignments
+    alignment, and an alignment counts if its slots are consistent. Without
+    ``consistent`` only the words go whose value became several. Alignments
     within ``NEAR`` words of each other add up, and so do, anywhere in the
     document, those with ``SEEN`` words in a row. Items with fewer than three
     words have no window and are not looked for. Null and empty texts, and an
@@ -179,12 +207,23 @@ def find_leaks(
     hits = found.join(templates, "h").select(
         "k", "t", "item", "variant", "n", "at", (F.col("place") - F.col("at")).alias("line"),
         F.filter(F.arrays_zip("slots", "filled"), lambda s: s["slots"] != 0).alias("pairs"),
+        *([] if consistent else [F.expr("""
+            filter(transform(slots, (s, i) -> struct(s AS slots, filled[i] AS filled, at + i AS word)), s -> s.slots <> 0)""").alias("places")]),
     )
     lines = hits.groupBy("k", "t", "item", "variant", "n", "line").agg(
-        F.collect_set("at").alias("met"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
+        F.collect_set("at").alias("met"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
+        *([] if consistent else [F.array_distinct(F.flatten(F.collect_set("places"))).alias("places")]),
     )
+    if not consistent:
+        lines = lines.withColumn("split", F.expr("""
+            transform(filter(places, a -> exists(places, b -> a.slots = b.slots AND a.filled <> b.filled)), a -> a.word)"""))
     renamed = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda s: s["slots"])))
-    lines = lines.where(renamed).withColumn("words", words_of(F.col("met"))).withColumn("run", longest_run(F.col("met")))
+    words, run = words_of(F.col("met")), longest_run(F.col("met"))
+    if consistent:
+        lines = lines.where(renamed)
+    else:
+        words, run = F.array_except(words, "split"), F.when(renamed, run).otherwise(0)
+    lines = lines.withColumn("words", words).withColumn("run", run)
     same = ["k", "t", "item", "variant", "n"]
     in_order = W.partitionBy(*same).orderBy("line")
     lines = lines.withColumn("far", (F.col("line") - F.lag("line").over(in_order) > NEAR).cast("int"))
@@ -216,9 +255,9 @@ def longest_run(met: Column) -> Column:
     return F.aggregate(F.array_sort(met), zero, step, lambda so_far: so_far["best"])
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", consistent: bool = True) -> DataFrame:
     """``docs`` without the documents that hold an item."""
-    leaks = find_leaks(docs, benchmark, key, text).select(F.col(key).alias("k"), F.col("text_hash").alias("t")).distinct()
+    leaks = find_leaks(docs, benchmark, key, text, consistent=consistent).select(F.col(key).alias("k"), F.col("text_hash").alias("t")).distinct()
     leaks = stored(leaks, "leaks")
     same = docs[key].eqNullSafe(leaks["k"]) & (F.xxhash64(docs[text]) == leaks["t"])
     return docs.join(leaks, same, "left_anti")
