@@ -29,6 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 import public_tokenizers  # noqa: E402
 
+from tidemart.llm.copies import find_copies  # noqa: E402
 from tidemart.llm.decontaminate import find_leaks  # noqa: E402
 from tidemart.llm.fingerprints import fingerprint_edits  # noqa: E402
 from tidemart.llm.jaccard import link_components  # noqa: E402
@@ -132,3 +133,19 @@ FROM hit LEFT JOIN r ON hit.rule = r.host || r.path
 )
 def op9(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query(
+    "op12_copies",
+    r"""
+WITH t AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS c
+  FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION BY c) AS group_size,
+  row_number() OVER g = 1 AS kept, sha256(c) AS text_sha256
+FROM t WINDOW g AS (PARTITION BY c ORDER BY n DESC, doc_id)
+""",
+)
+def op12(spark, sf_dir):
+    return find_copies(table(spark, sf_dir, "documents"))
