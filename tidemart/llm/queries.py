@@ -35,6 +35,7 @@ from tidemart.llm.fingerprints import fingerprint_edits  # noqa: E402
 from tidemart.llm.jaccard import link_components  # noqa: E402
 from tidemart.llm.language import fit_centroids, is_held_out, predict_language  # noqa: E402
 from tidemart.llm.licenses import scan_licenses  # noqa: E402
+from tidemart.llm.manifest import prove_rows  # noqa: E402
 from tidemart.llm.pieces import encode_pieces  # noqa: E402
 from tidemart.llm.quality import judge_quality  # noqa: E402
 from tidemart.llm.token_counts import count_tokens  # noqa: E402
@@ -149,3 +150,11 @@ FROM t WINDOW g AS (PARTITION BY c ORDER BY n DESC, doc_id)
 )
 def op12(spark, sf_dir):
     return find_copies(table(spark, sf_dir, "documents"))
+
+
+@query("op11_manifest")
+def op11(spark, sf_dir):
+    changed = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    lower = F.translate(F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    copy = {"text": F.when(changed, lower).otherwise(F.col("text"))}
+    return prove_rows(table(spark, sf_dir, "documents"), copy=copy)
