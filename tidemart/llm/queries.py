@@ -38,6 +38,7 @@ from tidemart.llm.licenses import scan_licenses  # noqa: E402
 from tidemart.llm.manifest import prove_rows  # noqa: E402
 from tidemart.llm.pieces import encode_pieces  # noqa: E402
 from tidemart.llm.quality import judge_quality  # noqa: E402
+from tidemart.llm.spelling import group_spellings  # noqa: E402
 from tidemart.llm.token_counts import count_tokens  # noqa: E402
 from tidemart.llm.token_files import read_token_files, write_token_files  # noqa: E402
 from tidemart.llm.url_rules import Rule, judge_urls  # noqa: E402
@@ -158,3 +159,8 @@ def op11(spark, sf_dir):
     lower = F.translate(F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     copy = {"text": F.when(changed, lower).otherwise(F.col("text"))}
     return prove_rows(table(spark, sf_dir, "documents"), copy=copy)
+
+
+@query("op13_spelling")
+def op13(spark, sf_dir):
+    return group_spellings(table(spark, sf_dir, "documents"), drop_every=97)
