@@ -80,6 +80,63 @@ def test_unknown_fields_pass_on(spark):
     }
 
 
+def messages(spark, line):
+    df = log_rows(spark.createDataFrame([(line,)], "value string")).drop("value")
+    out = {}
+    for r in applog.fan_out(df).collect():
+        out.setdefault(r.topic, []).append(r.value)
+    return out
+
+
+EXACT = """ { "common" : {"mid":"m", "is_new":"1", "v":1.10, "none":null, "v":2.50}, "page":{"n":1e3,"t":"1.50, \\"x\\":null,"},
+ "start":null, "tag":null, "big":12345678901234567890123456789012345678901234567890, "neg":[-0.00,null,{"a":null}],
+ "displays":[{"p":7.70,"q":null}], "actions":[{"w":1E+2,"w":1E+3}], "err":{"c":0.10,"d":{"e":null,"f":1}}, "dup":1, "dup":2.0, "ts":5} """
+CONTEXT = '"common":{"is_new":"1","mid":"m","v":2.50},"page":{"n":1e3,"t":"1.50, \\"x\\":null,"}'
+
+
+def test_numbers_stay_as_written(spark):
+    got = messages(spark, EXACT)
+    assert got["log_err"] == ['{"c":0.10,"d":{"f":1}}']
+    assert got["log_display"] == ['{' + CONTEXT + ',"display":{"p":7.70},"ts":5}']
+    assert got["log_action"] == ['{' + CONTEXT + ',"action":{"w":1E+3}}']
+    page = got["log_page"][0]
+    for text in (CONTEXT.split(',"page"')[0], '"big":12345678901234567890123456789012345678901234567890', '"neg":[-0.00,null,{}]', '"dup":2.0'):
+        assert text in page
+    assert set(json.loads(page)) == {"common", "page", "big", "neg", "dup", "ts"}
+
+
+@pytest.mark.parametrize(
+    "line, page",
+    [
+        ('{"a":{"b":1,"b":{"c":2,"c":3}}}', '{"a":{"b":{"c":3}}}'),
+        ('{"common":7,"k\\"ey":"v\\u0001","ts":1.5}', {"common": 7, 'k"ey': "v\x01", "ts": 1.5}),
+        ('{"displays":[],"actions":"no list","x":"\ufdd0 1.5","y":2.50}', {"displays": [], "actions": "no list", "x": "\ufdd0 1.5", "y": 2.5}),
+        ("{}", "{}"),
+    ],
+)
+def test_odd_records_pass_on(spark, line, page):
+    got = messages(spark, line)["log_page"]
+    assert got == [page] if isinstance(page, str) else [json.loads(v) for v in got] == [page]
+
+
+def test_many_strings_before_a_number(spark):
+    line = json.dumps({"s": ["a\\\"b"] * 20_000, "n": 0}).replace('"n": 0', '"n": 1.50')
+    page = messages(spark, line)["log_page"][0]
+    assert '"n":1.50' in page and json.loads(page) == json.loads(line)
+
+
+def test_times_and_flags(spark):
+    df = log_rows(spark.createDataFrame([('{"ts":1.7e12}',), ('{"ts":"5"}',), ('{"ts":"x"}',)], "value string"))
+    assert [r.ts for r in df.collect()] == [1_700_000_000_000, 5, None]
+    lines = ['{"common":{"is_new":1,"mid":"a","f":1.0}}', '{"common":{"is_new":"1","f":1.0}}', '{"common":5}', '{"common":{"mid":"a"}}']
+    for flag, want in (("0", ['"0"', '"0"', None, '"0"']), ("1", ["1", '"1"', None, '"1"'])):
+        rows = log_rows(spark.createDataFrame([(v,) for v in lines], "value string"))
+        rows = rows.select(applog.record_text(applog.set_flag(F.col("record"), F.lit(flag))).alias("t")).collect()
+        for r, w in zip(rows, want):
+            assert (f'"is_new":{w}' in r.t) if w else r.t == '{"common":5}'
+        assert '"f":1.0' in rows[0].t
+
+
 CASES = {
     '{"common":{"mid":"m"},"ts":5}': True,
     '  {"ts":5}  ': True,

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidemart.operators.applog import record_text
 from tidemart.operators.parse import log_rows
 from tidemart.operators.visitor import repair_log, repair_visitors, visitor_states
 from tidemart.sinks.upsert import read_upsert
@@ -101,7 +102,7 @@ def test_repair_log_keeps_the_record(spark):
         f"""SELECT id AS seq, to_json(named_struct('ts', {BASE} + id * {DAY}, 'tag', 'g', 'common',
             if(id = 2, null, named_struct('mid', 'm', 'is_new', '1', 'os', 'x', 'net', '5g')))) AS value FROM range(3)"""
     )
-    got = {r.seq: json.loads(r.v) for r in repair_log(log_rows(lines)).select("seq", F.to_json("record").alias("v")).collect()}
+    got = {r.seq: json.loads(r.v) for r in repair_log(log_rows(lines)).select("seq", record_text(F.col("record")).alias("v")).collect()}
     assert [got[i]["common"]["is_new"] for i in (0, 1)] == ["1", "0"]
     assert got[1]["common"]["os"] == "x" and got[1]["common"]["net"] == "5g" and got[1]["tag"] == "g"
     assert "common" not in got[2] and got[2]["tag"] == "g"

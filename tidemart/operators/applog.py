@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemart.functions.binding import let
+from tidemart.operators.parse import as_value, as_written, whole_number
+
 # Output name -> topic.
 DEFAULT_TOPICS = {
     "err": "log_err",
@@ -16,7 +19,21 @@ DEFAULT_TOPICS = {
 
 def field(item: Column, path: str, kind: str = "string") -> Column:
     """A typed value inside a record's item; null where it is missing or does not fit."""
-    return F.try_variant_get(item, path, kind)
+    if kind == "string":
+        return as_value(F.try_variant_get(item, path, kind))
+    if kind == "bigint":
+        return whole_number(F.try_variant_get(item, path, "string"))
+    return F.coalesce(F.try_variant_get(item, path, kind), as_value(F.try_variant_get(item, path, "string")).try_cast(kind))
+
+
+def text_of(item: Column) -> Column:
+    """The JSON text of a parsed value, with numbers as the line had them and without null members."""
+    return as_written(F.to_json(item))
+
+
+def record_text(record: Column) -> Column:
+    """The JSON text of a whole record."""
+    return as_written(F.to_json(record))
 
 
 def items(record: Column, name: str) -> Column:
@@ -68,24 +85,34 @@ def without_err(record: Column) -> Column:
     return F.map_filter(record, lambda name, _: name != "err")
 
 
-def page_record(record: Column) -> Column:
-    """A record without ``err`` and without the arrays whose items are messages of their own."""
+def _lists(record: Column) -> Column:
+    return F.struct(*[items(record, n).alias(n) for n in ("displays", "actions")])
+
 
-    def goes(name: Column) -> Column:
-        filled = [(name == n) & (F.coalesce(F.size(items(record, n)), F.lit(0)) > 0) for n in ("displays", "actions")]
-        return (name == "err") | filled[0] | filled[1]
+def _page_record(record: Column, lists: Column) -> Column:
+    filled = {n: F.coalesce(F.size(lists[n]), F.lit(0)) > 0 for n in ("displays", "actions")}
+    stays = lambda name: (name != "err") & ~((name == "displays") & filled["displays"]) & ~((name == "actions") & filled["actions"])
+    return F.map_filter(record, lambda name, _: stays(name))
 
-    return F.map_filter(record, lambda name, _: ~goes(name))
+
+def page_record(record: Column) -> Column:
+    """A record without ``err`` and without the arrays whose items are messages of their own."""
+    return let(_lists(record), lambda lists: _page_record(record, lists))
 
 
 def set_flag(record: Column, flag: Column) -> Column:
-    """The record with another ``common.is_new``; all else stays."""
+    """The record with another ``common.is_new``; all else, and a flag that does not change, stays as it is."""
     common = F.try_variant_get(record["common"], "$", "map<string,variant>")
-    other = F.map_filter(common, lambda name, _: name != "is_new")
-    changed = F.to_variant_object(F.map_concat(other, F.create_map(F.lit("is_new"), flag.cast("variant"))))
+
+    def changed(members: Column) -> Column:
+        other = F.map_filter(members, lambda name, _: name != "is_new")
+        return F.to_variant_object(F.map_concat(other, F.create_map(F.lit("is_new"), flag.cast("variant"))))
+
     rest = F.map_filter(record, lambda name, _: name != "common")
+    new = F.map_concat(F.create_map(F.lit("common"), let(common, changed)), rest)
     # a ``common`` that is no object, and a flag that is missing, stay as they are
-    return F.when(common.isNotNull() & flag.isNotNull(), F.map_concat(F.create_map(F.lit("common"), changed), rest)).otherwise(record)
+    stays = flag.isNull() | flag.eqNullSafe(field(record["common"], "$.is_new")) | common.isNull()
+    return F.when(stays, record).otherwise(new)
 
 
 def fan_out(
@@ -95,33 +122,33 @@ def fan_out(
 
     One generator lists the messages of a record, so nothing is cached or scanned
     again and a topic-aware sink sends them in one job. Messages hold whatever
-    fields the record had.
+    fields the record had, numbers as they were written, and no null members.
     """
     names = {**DEFAULT_TOPICS, **(topics or {})}
     record = F.col("record")
-    is_start = has(record, "start")
+    none = F.array().cast("array<struct<topic:string,value:string>>")
 
     def message(kind: str, value: Column) -> Column:
         return F.struct(F.lit(names[kind]).alias("topic"), value.alias("value"))
 
-    def item_message(kind: str, item: Column, *last: Column) -> Column:
+    def item_messages(kind: str, found: Column, *last: Column) -> Column:
         context = [record["common"].alias("common"), record["page"].alias("page")]
-        return message(kind, F.to_json(F.struct(*context, item.alias(kind), *last)))
+        return F.coalesce(
+            F.transform(found, lambda item: message(kind, F.to_json(F.struct(*context, item.alias(kind), *last)))), none
+        )
+
+    def with_lists(lists: Column) -> Column:
+        return F.concat(
+            item_messages("display", lists["displays"], record["ts"].alias("ts")),
+            item_messages("action", lists["actions"]),
+            F.array(message("page", F.to_json(_page_record(record, lists)))),
+        )
 
-    none = F.array().cast("array<struct<topic:string,value:string>>")
     messages = F.concat(
         F.when(has(record, "err"), F.array(message("err", F.to_json(record["err"])))).otherwise(none),
-        F.when(
-            ~is_start,
-            F.coalesce(
-                F.transform(items(record, "displays"), lambda d: item_message("display", d, record["ts"].alias("ts"))), none
-            ),
-        ).otherwise(none),
-        F.when(
-            ~is_start, F.coalesce(F.transform(items(record, "actions"), lambda a: item_message("action", a)), none)
-        ).otherwise(none),
-        F.when(is_start, F.array(message("start", F.to_json(without_err(record))))).otherwise(
-            F.array(message("page", F.to_json(page_record(record))))
+        F.when(has(record, "start"), F.array(message("start", F.to_json(without_err(record))))).otherwise(
+            let(_lists(record), with_lists)
         ),
     )
-    return df.select(*keep, F.inline(messages))
+    texts = F.transform(messages, lambda m: F.struct(m["topic"].alias("topic"), as_written(m["value"]).alias("value")))
+    return df.select(*keep, F.inline(texts))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemart.functions.binding import let
+
 
 def _looks_like_object(value: Column) -> Column:
     return value.rlike(r"\A\s*\{") & value.rlike(r"\}\s*\z")
@@ -37,9 +39,62 @@ def drop_bad(df: DataFrame, fields: dict[str, str], value: str = "value") -> Dat
     return df.select("*", F.inline(_good(F.col(value), _struct(fields))))
 
 
+# A number that a parser would print in another form travels as a text that starts with this character (U+FDD0, which no
+# text in interchange should hold); where a line holds it all the same, it is doubled.
+MARK = "\ufdd0"
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?+[0-9]++)?+"
+# Numbers outside of strings, one after the other from the start of the line.
+_NEXT_NUMBER = rf'\G((?:[^"0-9\-]++|{_STRING})*+)({_NUMBER})(?=[\s,\]}}])'
+_INEXACT = r"[:,\[]\s*-?[0-9]+(?:[.eE]|[0-9]{37})"
+
+
+def _with_marks(value: Column) -> Column:
+    doubled = F.when(value.contains(MARK), F.replace(value, F.lit(MARK), F.lit(MARK * 2))).otherwise(value)
+    marked = F.regexp_replace(doubled, F.lit(_NEXT_NUMBER), F.lit(f'$1"{MARK}$2"'))
+    return F.when(value.rlike(_INEXACT), marked).otherwise(doubled)
+
+
+def as_written(text: Column) -> Column:
+    """JSON text of parsed values with the numbers of the line and without null members."""
+
+    def tidy(t: Column) -> Column:
+        kept = F.regexp_replace(t, F.lit(f"{_STRING}:null,?+|({_STRING})"), F.lit("$1"))
+        kept = F.regexp_replace(kept, F.lit(f"({_STRING})|,(?=}})"), F.lit("$1"))
+        kept = F.when(t.contains(":null"), kept).otherwise(t)
+        numbers = F.regexp_replace(kept, F.lit(f'"{MARK}({_NUMBER})"'), F.lit("$1"))
+        return F.when(t.contains(MARK), F.replace(numbers, F.lit(MARK * 2), F.lit(MARK))).otherwise(kept)
+
+    return let(text, lambda t: F.when(t.contains(":null") | t.contains(MARK), tidy(t)).otherwise(t))
+
+
+def as_value(text: Column) -> Column:
+    """A plain text read from a parsed value, without marks."""
+    one = F.regexp_replace(text, F.lit(f"^{MARK}(?!{MARK})"), F.lit(""))
+    return F.when(text.contains(MARK), F.replace(one, F.lit(MARK * 2), F.lit(MARK))).otherwise(text)
+
+
+def _last_of_each(members: Column) -> Column:
+    """The map; of a name that comes twice the last member counts."""
+    names = F.map_keys(members)
+    last = F.transform(
+        F.array_distinct(names),
+        lambda k: F.element_at(F.filter(F.map_entries(members), lambda e: e["key"] == k), F.lit(-1))["value"],
+    )
+    return F.when(F.size(F.array_distinct(names)) < F.size(names), F.map_from_arrays(F.array_distinct(names), last)).otherwise(members)
+
+
 def log_records(df: DataFrame, value: str = "value", name: str = "record") -> DataFrame:
-    """Keep rows whose ``value`` is a JSON object; all its fields, known or not, in a map column."""
-    return df.select("*", F.explode(_good(F.col(value), "map<string,variant>")).alias(name))
+    """Keep rows whose ``value`` is a JSON object; all its fields, known or not, as parsed values in a map column.
+
+    Of a repeated name the last member counts, at the top as inside. Numbers that a
+    parser would print in another form are marked texts until ``as_written`` puts
+    them back; ``applog.field`` reads them. One parse: the generator holds it.
+    """
+    text = F.col(value)
+    parsed = F.from_json(F.concat(F.lit("["), _with_marks(text), F.lit("]")), "array<map<string,variant>>")
+    good = F.flatten(F.filter(F.array(parsed), lambda p: _only(p, text)))
+    return df.select("*", F.explode(F.transform(good, _last_of_each)).alias(name))
 
 
 def is_bad(value: Column) -> Column:
@@ -78,4 +133,10 @@ def app_log_rows(df: DataFrame, fields: dict[str, str], value: str = "value") ->
 
 def log_rows(df: DataFrame, value: str = "value") -> DataFrame:
     """``log_records`` with a numeric ``ts`` next to ``record``."""
-    return log_records(df, value).withColumn("ts", F.try_variant_get(F.col("record")["ts"], "$", "string").try_cast("bigint"))
+    return log_records(df, value).withColumn("ts", whole_number(F.try_variant_get(F.col("record")["ts"], "$", "string")))
+
+
+def whole_number(text: Column) -> Column:
+    """The whole part of a number in text, marked or not; null for anything else."""
+    number = as_value(text)
+    return F.coalesce(text.try_cast("bigint"), number.try_cast("decimal(38,6)").try_cast("bigint"))

@@ -79,6 +79,16 @@ def app_log_lines(events: DataFrame) -> DataFrame:
     )
 
 
+def exact_lines(lines: DataFrame) -> DataFrame:
+    """Log lines with numbers that a parser would print anew, null members and repeated names, at the top and inside."""
+    inside = """replace(value, '"common":{', concat('"common":{"lat":1,"gone":null,"lat":', seq, '.500,'))"""
+    more = """concat(',"amt":', seq, '.', seq % 10, '0,"exp":', seq % 9 + 1, 'e', seq % 5, ',"big":9', lpad(seq, 49, '0'),
+        ',"none":null,"twice":1,"twice":', seq, ',"deep":{"a":null,"b":1,"b":', seq, '.0}}')"""
+    return as_topic(
+        lines.selectExpr("seq", f"if(value LIKE '%}}', concat(left({inside}, length({inside}) - 1), {more}), value) AS value")
+    )
+
+
 def cart_envelopes(lineitem: DataFrame) -> DataFrame:
     """Cart changes, one per line item, as envelope columns next to ``seq``."""
     return lineitem.selectExpr(

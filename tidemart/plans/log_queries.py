@@ -9,7 +9,7 @@ from tidemart.operators.applog import field
 from tidemart.operators.parse import app_log_rows, log_rows, route_bad
 from tidemart.operators.visitor import repair_log, repair_visitors
 from tidemart.plans import oracle_parts as sql
-from tidemart.plans.adapters import app_log_lines, table
+from tidemart.plans.adapters import app_log_lines, exact_lines, table
 from tidemart.plans.registry import query
 from tidemart.schemas import app_log
 from tidemart.streaming.jobs import KEY_FIELDS
@@ -157,6 +157,28 @@ def fanout(spark, sf_dir):
     return flat_messages(applog.fan_out(records(spark, sf_dir), keep=("seq",)), "seq")
 
 
+@query(
+    "K3_exact_text",
+    sql.LOG + MESSAGES + """
+SELECT seq, topic, item, CASE WHEN topic <> 'log_err' THEN seq || '.500' END AS lat,
+  CASE WHEN whole THEN seq || '.' || seq % 10 || '0' END AS amt, CASE WHEN whole THEN (seq % 9 + 1) || 'e' || seq % 5 END AS exp,
+  CASE WHEN whole THEN '9' || lpad(CAST(seq AS VARCHAR), 49, '0') END AS big, CASE WHEN whole THEN CAST(seq AS VARCHAR) END AS twice,
+  CASE WHEN whole THEN '{"b":' || seq || '.0}' END AS deep, false AS has_null
+FROM (SELECT *, topic IN ('log_page', 'log_start') AS whole FROM m)""",
+)
+def exact_text(spark, sf_dir):
+    """Numbers reach the messages as they were written, null members do not, of a repeated name the last one counts."""
+    rows = log_rows(exact_lines(lines(spark, sf_dir))).drop("value")
+    found = {
+        "lat": r'"lat":([0-9.]+)', "amt": r'"amt":([0-9.]+)', "exp": r'"exp":([0-9e]+)', "big": r'"big":([0-9]+)',
+        "twice": r'"twice":([0-9]+)', "deep": r'"deep":(\{[^}]*\})',
+    }
+    text, sent = F.col("value"), applog.fan_out(rows, keep=("seq",))
+    item = F.coalesce(F.get_json_object(text, "$.display.item"), F.get_json_object(text, "$.action.item"))
+    texts = [F.nullif(F.regexp_extract(text, p, 1), F.lit("")).alias(n) for n, p in found.items()]
+    return sent.select("seq", "topic", item.alias("item"), *texts, text.contains("null").alias("has_null"))
+
+
 def flat_messages(messages: DataFrame, *keep: str) -> DataFrame:
     fields = (
         "common struct<mid:string,net:string>, page struct<refer_id:string>, display struct<item:string>, "

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # of a member that an object has twice, the last one counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
