@@ -5,13 +5,15 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart.llm import fingerprints as fp
+from tidemart.llm import fingerprints as fp, texts
 from tidemart.llm.decontaminate import drop_leaks, find_leaks
 from tidemart.llm.licenses import BASE, Template, scan_licenses
 from tidemart.llm.queries import ORACLES, QUERIES
+from tidemart.llm.texts import PRIME, Words, mix, utf8
 from tidemart.llm.url_rules import Rule, judge_urls
 from tests.compare import connect, difference
 from tests.llm.tables import odd_documents, texts_of
@@ -169,3 +171,30 @@ def test_fingerprints_add_up():
     assert whole == turned != less and fp.add(less, last) == whole and fp.add(whole, last, -1) == less
     _, like = fp.text_vectors(["a b c d e f g h i j k l m n o p"] * 2)
     assert np.array_equal(fp.likeness(like[:1], like[1:]), [1.0])
+
+
+def thue_morse(bits):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(1 << bits))
+
+
+@pytest.mark.parametrize("bits", [10, 11, 12, 13])
+def test_hashes_tell_regular_texts_apart(bits):
+    one = thue_morse(bits)
+    other = one.translate(str.maketrans("ab", "ba"))
+    words = Words(*utf8(pa.array([one, other, one + " " + other])))
+    assert words.hashes().tolist() == [*words.hashes()[:2].tolist()] * 2 and len(set(words.hashes().tolist())) == 2
+    equal, _ = fp.text_vectors([one, other, one])
+    assert (equal[0] == equal[2]).all() and (equal[0] != equal[1]).all()
+
+
+def test_word_hashes_are_the_polynomials():
+    text = "Aa bB äß " + "x" * 5000 + " aa"
+    words = Words(*utf8(pa.array([text, "bb Aa"])))
+    got = words.hashes().tolist()
+    assert got[0] == got[4] == got[6] and got[1] == got[5] and len(set(got)) == 4
+    raw, p = "x".encode() * 5000, int(PRIME)
+    value = 0
+    for base, table in zip(texts._BASES, texts._BYTE_VALUES):
+        value = value << 31 | sum(int(table[b]) * pow(base, i, p) for i, b in enumerate(raw)) % p
+    want = mix(np.array([value ^ (5000 * int(texts._FACTOR) % (1 << 64))], np.uint64))
+    assert got[3] == int(want[0])

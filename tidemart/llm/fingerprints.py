@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,6 @@ from tidemart.llm.texts import _BYTE_HASH, _power, mix, pieces_of, utf8
 EQUAL_LANES = 8
 LIKE_LANES = 128
 RUN = 9
-_LANE_FACTORS = np.random.default_rng(7).integers(1, 1 << 63, size=EQUAL_LANES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def vectors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -45,13 +45,13 @@ def vectors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     np.cumsum(_BYTE_HASH[data] * _power(max(n, 1), False)[:n], out=total[1:])
     undo = _power(n + 1, True)
 
-    whole = mix((total[stops] - total[starts]) * undo[starts] + (stops - starts).astype(np.uint64))
+    # the lanes are eight separate parts of a 512-bit digest
+    view = memoryview(np.ascontiguousarray(data))
+    digests = b"".join([blake2b(view[a:b]).digest() for a, b in zip(starts.tolist(), stops.tolist())])
     per_row = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=rows))])
-    equal = np.empty((rows, EQUAL_LANES), np.uint64)
-    for lane, factor in enumerate(_LANE_FACTORS):
-        sums = np.zeros(len(row) + 1, np.uint64)
-        np.cumsum(mix((whole ^ np.uint64(lane)) * factor), out=sums[1:])
-        equal[:, lane] = sums[per_row[1:]] - sums[per_row[:-1]]
+    sums = np.zeros((len(row) + 1, EQUAL_LANES), np.uint64)
+    np.cumsum(np.frombuffer(digests, "<u8").reshape(-1, EQUAL_LANES), axis=0, out=sums[1:])
+    equal = sums[per_row[1:]] - sums[per_row[:-1]]
 
     # runs of RUN bytes inside a paragraph; a shorter paragraph is one run
     lengths = stops - starts

@@ -89,6 +89,53 @@ def _power(n: int, inverse: bool) -> np.ndarray:
     return have[:n]
 
 
+# Words are hashed by two polynomials modulo a prime. Modulo 2^64 a polynomial gives equal values for some long texts,
+# whatever its base.
+PRIME = np.uint64((1 << 31) - 1)
+_BASES = (1_217_405_891, 885_462_517)
+_BYTE_VALUES = np.random.default_rng(_TABLE_SEED + 1).integers(1, int(PRIME), size=(2, 256), dtype=np.uint64)
+
+
+def modulo(x: np.ndarray) -> np.ndarray:
+    """x modulo ``PRIME``."""
+    x = (x & PRIME) + (x >> np.uint64(31))
+    x = (x & PRIME) + (x >> np.uint64(31))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+_prime_powers: dict[int, np.ndarray] = {}
+
+
+def _powers_of(base: int, n: int) -> np.ndarray:
+    """base^0 to base^(n - 1) modulo ``PRIME``; tables for slices of usual size are kept."""
+    have = _prime_powers.get(base)
+    if have is None or len(have) < n:
+        size = max(n, SLICE_BYTES + 1)
+        have = np.ones(size, np.uint32)
+        known = 1
+        while known < size:
+            more = min(known, size - known)
+            step = np.uint64(pow(base, known, int(PRIME)))
+            have[known : known + more] = modulo(have[:more].astype(np.uint64) * step)
+            known += more
+        if n <= 8 * SLICE_BYTES:
+            _prime_powers[base] = have
+    return have[:n]
+
+
+def stretch_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One 64-bit hash for each stretch of bytes, which may overlap."""
+    n, out = len(data), np.zeros(len(starts), np.uint64)
+    if not len(starts):
+        return out
+    for base, values in zip(_BASES, _BYTE_VALUES):
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(modulo(values[data] * _powers_of(base, n)), out=total[1:])
+        undo = _powers_of(pow(base, -1, int(PRIME)), n + 1)[starts].astype(np.uint64)
+        out = (out << np.uint64(31)) | modulo(modulo(total[ends] - total[starts]) * undo)
+    return mix(out ^ ((ends - starts).astype(np.uint64) * _FACTOR))
+
+
 class Words:
     """Where the words of each row lie, with one 64-bit hash per word."""
 
@@ -111,15 +158,7 @@ class Words:
         self._lower = lower
 
     def hashes(self) -> np.ndarray:
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        n = len(self.data)
-        terms = _BYTE_HASH[LOWER[self.data] if self._lower else self.data]
-        terms *= _power(n, False)
-        total = np.cumsum(terms)
-        at = self.starts
-        sums = total[self.ends - 1] - total[at] + terms[at]
-        return mix(sums * _power(n, True)[at])
+        return stretch_hashes(LOWER[self.data] if self._lower else self.data, self.starts, self.ends)
 
 
 def windows(hashes: np.ndarray, bounds: np.ndarray, size: int, short: bool) -> tuple[np.ndarray, np.ndarray]:
