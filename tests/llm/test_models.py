@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidemart.llm import jaccard, language, quality
 from tidemart.llm.components import smallest_reachable
+from tidemart.llm.jaccard import Lists, _overlaps, cross_links, link_components
 from tidemart.llm.queries import QUERIES
 from tests.llm.tables import odd_documents, texts_of
 
@@ -223,3 +224,36 @@ def test_pipeline(spark):
     assert all(k == c or n == 0 for k, n, c in components(rows))
     done = corpus_pipeline.run(spark, SF_DIR)
     assert sorted(r.doc_id for r in done.collect()) == sorted(r.doc_id for r in left)
+
+
+def test_list_entries_of_other_sizes_are_skipped():
+    rng = np.random.default_rng(3)
+    common = np.arange(3, dtype=np.uint64)
+    base = rng.integers(10, 1 << 40, 400, dtype=np.uint64)
+    sets = []
+    for _ in range(300):
+        n = int(rng.integers(10, 3000))
+        own = rng.integers(1 << 41, 1 << 60, n, dtype=np.uint64) if rng.random() < 0.6 else base[: n % 400 + 5]
+        sets.append(np.unique(np.concatenate([common, own])))
+    sets.sort(key=len)
+    lists, fitting = Lists(sets), 0
+    sizes = [len(s) for s in sets]
+    for i, overlap, lo in _overlaps(lists):
+        for j, got in enumerate(overlap.tolist(), lo):
+            assert got == len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        hi = lo + len(overlap)
+        assert all(4 * sizes[i] < 3 * sizes[j] for j in range(hi, len(sets)))
+        fitting += int(overlap.sum())
+    assert lists.touched <= 1.2 * fitting
+    left, right = sets[::2], sets[1::2]
+    want = {(i, j) for i, a in enumerate(left) for j, b in enumerate(right)
+            if 4 * len(np.intersect1d(a, b)) >= 3 * len(np.union1d(a, b))}
+    got = cross_links(left, right)
+    assert len(got) == len(set(got)) and set(got) == want and want
+
+
+def test_regular_texts_do_not_link(spark):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, one), (2, other), (3, one + " x"), (4, other)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in link_components(docs).collect()} == {1: 1, 2: 2, 3: 3, 4: 2}

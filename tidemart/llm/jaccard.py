@@ -60,8 +60,8 @@ def prefix_length(n: int) -> int:
     return min(n, n - needed(n) + surplus(n))
 
 
-def rarity_order(docs: DataFrame, text: str) -> Order:
-    """An order of shingles by how often they are to be expected, from counts over all rows.
+def rarity_order(docs: DataFrame, text: str) -> tuple:
+    """What makes an ``Order`` of shingles by how often they are to be expected, from counts over all rows.
 
     Each task reports the words that are frequent in it, and the shingles that
     several of its rows hold; sums of these decide. The tables are of bounded
@@ -97,7 +97,7 @@ def rarity_order(docs: DataFrame, text: str) -> Order:
     h, n = _most(found.where("kind = 0"), FREQUENT)
     words, times = _most(found.where("kind = 1"), FREQUENT_WORDS)
     bits = np.round(4 * np.log2(total / np.maximum(times, 1))).astype(np.int64)
-    return Order(h, n, words, bits, int(np.round(4 * np.log2(total))))
+    return h, n, words, bits, int(np.round(4 * np.log2(total)))
 
 
 def _often(values: np.ndarray, least: int, kind: int) -> pa.RecordBatch:
@@ -171,44 +171,92 @@ class Order:
         return h | (rank << np.uint64(64 - RANK_BITS))
 
 
+def whole(shared) -> Order:
+    """The order whose parts are broadcast, made once in each process: a worker needs no copy of this package."""
+    if not hasattr(shared, "_order"):
+        shared._order = Order(*shared.value)
+    return shared._order
+
+
 def row_sets(data: np.ndarray, offsets: np.ndarray, order: Order) -> list[np.ndarray]:
     h, bounds, words, hashes = shingles(data, offsets)
     keys = order.keys(h, bounds, words, hashes)
     return [np.unique(keys[a:b]) for a, b in itertools.pairwise(bounds.tolist())]
 
 
-def _overlaps(sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, int]]:
-    """For each set in order of size: its position, its overlaps with later ones from ``lo`` on, and ``lo``.
+class Lists:
+    """Index lists of the shingles of some sets, which come sorted by size: per shingle the ascending places of its sets.
+
+    ``counts`` looks at a range of places only: in each list the entries before
+    and behind the range are skipped by a search. ``touched`` counts the entries read.
+    """
 
-    Sets must come sorted by size. Only the position range of compatible sizes is kept.
+    def __init__(self, sets: list[np.ndarray]):
+        self.n = max(len(sets), 1)
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        self.tokens, self.inverse = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        # a list's entries stand together, in the order of the places
+        self.entries = np.sort(self.inverse * self.n + owner)
+        self.cuts = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.touched = 0
+
+    def own(self, i: int) -> np.ndarray:
+        """The lists that set ``i`` is in, in ascending order."""
+        return np.sort(self.inverse[self.cuts[i] : self.cuts[i + 1]])
+
+    def of(self, other: np.ndarray) -> np.ndarray:
+        """The lists of another set's shingles, in ascending order."""
+        at = np.minimum(np.searchsorted(self.tokens, other), len(self.tokens) - 1)
+        return np.sort(at[self.tokens[at] == other])
+
+    def counts(self, lists: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        """For each place from ``lo`` up to ``hi`` the number of ``lists`` it is in."""
+        if hi <= lo or not len(lists):
+            return np.zeros(max(hi - lo, 0), np.int64)
+        first = np.searchsorted(self.entries, lists * self.n + lo)
+        lengths = np.searchsorted(self.entries, lists * self.n + hi) - first
+        at = np.repeat(first - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
+        self.touched += len(at)
+        return np.bincount(self.entries[at] % self.n - lo, minlength=hi - lo)
+
+    def fitting(self, size: int) -> tuple[int, int]:
+        """The range of places whose sets are of a size that can link to one of ``size``."""
+        lo = int(np.searchsorted(self.sizes * DENOMINATOR, size * NUMERATOR, "left"))
+        return lo, int(np.searchsorted(self.sizes * NUMERATOR, size * DENOMINATOR, "right"))
+
+
+class Answers:
+    """Overlaps of one set after the other with a range of places, each derived from the answers before it.
+
+    Ranges move on and never back. Where the set is much like the one before, only the lists in which the two
+    differ are read for the places that both look at, and all lists only for the places that are new.
     """
-    tokens, inverse = np.unique(np.concatenate(sets), return_inverse=True)
-    sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    by_token = np.argsort(inverse, kind="stable")
-    places = owner[by_token]  # per token, positions in ascending order
-    heads = np.concatenate([[0], np.cumsum(np.bincount(inverse, minlength=len(tokens)))])
-    cuts = np.concatenate([[0], np.cumsum(sizes)])
-    n = len(sets)
-
-    def add(ids: np.ndarray) -> np.ndarray:
-        lengths = heads[ids + 1] - heads[ids]
-        at = np.repeat(heads[ids] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
-        return np.bincount(places[at], minlength=n)
-
-    before, answers = None, None
-    for i in range(n):
-        mine = np.sort(inverse[cuts[i] : cuts[i + 1]])
-        if before is not None:
-            gone = np.setdiff1d(before, mine, assume_unique=True)
-            new = np.setdiff1d(mine, before, assume_unique=True)
-        if before is None or len(gone) + len(new) > len(mine):
-            answers = add(mine)
-        else:
-            answers = answers - add(gone) + add(new)
-        before = mine
-        hi = int(np.searchsorted(sizes * NUMERATOR, sizes[i] * DENOMINATOR, "right"))
-        yield i, answers[i + 1 : hi], i + 1
+
+    def __init__(self, lists: Lists):
+        self.lists, self.before = lists, None
+
+    def next(self, mine: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        if self.before is not None:
+            known, start, answers = self.before
+            stop = start + len(answers)
+            gone, new = np.setdiff1d(known, mine, assume_unique=True), np.setdiff1d(mine, known, assume_unique=True)
+            if len(gone) + len(new) <= len(mine) and start <= lo <= stop <= hi:
+                kept = answers[lo - start :] - self.lists.counts(gone, lo, stop) + self.lists.counts(new, lo, stop)
+                answers = np.concatenate([kept, self.lists.counts(mine, stop, hi)])
+                self.before = mine, lo, answers
+                return answers
+        answers = self.lists.counts(mine, lo, hi)
+        self.before = mine, lo, answers
+        return answers
+
+
+def _overlaps(lists: Lists) -> Iterator[tuple[int, np.ndarray, int]]:
+    """For each set in order of size: its place, its overlaps with later ones of fitting sizes, and the first of them."""
+    answers = Answers(lists)
+    for i in range(len(lists.sizes)):
+        hi = lists.fitting(int(lists.sizes[i]))[1]
+        yield i, answers.next(lists.own(i), i + 1, max(hi, i + 1)), i + 1
 
 
 def _roots(n: int, pairs: Iterator[tuple[int, int]]) -> list[int]:
@@ -238,7 +286,7 @@ def block_links(sets: list[np.ndarray]) -> list[int]:
     sizes = np.array([len(s) for s in ranked])
 
     def pairs():
-        for i, overlap, lo in _overlaps(ranked):
+        for i, overlap, lo in _overlaps(Lists(ranked)):
             union = sizes[i] + sizes[lo : lo + len(overlap)] - overlap
             for j in (np.flatnonzero(overlap * DENOMINATOR >= union * NUMERATOR) + lo).tolist():
                 yield order[i], order[j]
@@ -247,22 +295,19 @@ def block_links(sets: list[np.ndarray]) -> list[int]:
 
 
 def cross_links(left: list[np.ndarray], right: list[np.ndarray]) -> list[tuple[int, int]]:
-    """All links between two lists of sets."""
+    """All links between two lists of sets; both sides go by size, see ``Lists`` and ``Answers``."""
     out = []
     if not left or not right:
         return out
-    tokens, inverse = np.unique(np.concatenate(left), return_inverse=True)
-    sizes = np.array([len(s) for s in left])
-    places = np.repeat(np.arange(len(left)), sizes)[np.argsort(inverse, kind="stable")]
-    heads = np.concatenate([[0], np.cumsum(np.bincount(inverse, minlength=len(tokens)))])
-    for j, s in enumerate(right):
-        at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
-        ids = at[tokens[at] == s]
-        lengths = heads[ids + 1] - heads[ids]
-        where = np.repeat(heads[ids] - np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64), lengths) + np.arange(lengths.sum())
-        overlap = np.bincount(places[where], minlength=len(left))
-        hit = np.flatnonzero(overlap * DENOMINATOR >= (sizes + len(s) - overlap) * NUMERATOR)
-        out += [(i, j) for i in hit.tolist()]
+    rank = [sorted(range(len(side)), key=lambda i: (len(side[i]), side[i][:1].tobytes())) for side in (left, right)]
+    lists = Lists([left[i] for i in rank[0]])
+    answers = Answers(lists)
+    for j in rank[1]:
+        lo, hi = lists.fitting(len(right[j]))
+        overlap = answers.next(lists.of(right[j]), lo, hi)
+        union = lists.sizes[lo:hi] + len(right[j]) - overlap
+        hit = np.flatnonzero(overlap * DENOMINATOR >= union * NUMERATOR) + lo
+        out += [(rank[0][i], j) for i in hit.tolist()]
     return out
 
 
@@ -340,7 +385,7 @@ def shared_lists(docs: DataFrame, order, text: str, buckets: int) -> DataFrame:
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tokens, codes, owners in _prefixes(batches, order.value, False):
+        for tokens, codes, owners in _prefixes(batches, whole(order), False):
             h = mix(tokens)
             bucket = (h % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
@@ -373,13 +418,14 @@ def shared_lists(docs: DataFrame, order, text: str, buckets: int) -> DataFrame:
             token, owner = token[some], owner[some]
             starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))[: len(token)]
             lead = np.repeat(np.minimum.reduceat(owner, starts), np.diff(np.append(starts, len(token)))) if len(token) else owner
-            pairs, m = np.unique(np.stack([lead, owner], 1), axis=0, return_counts=True)
-            if len(pairs):
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(m)], ["lead", "sig", "m"])
+            # one row for each entry: what is folded must not depend on how many buckets there are
+            for at in range(0, len(lead), FLUSH):
+                yield pa.RecordBatch.from_arrays([pa.array(lead[at : at + FLUSH]), pa.array(owner[at : at + FLUSH])], ["lead", "sig"])
 
     packed = docs.select(text).mapInArrow(pack, "bucket int, blob binary")
-    found = packed.repartitionById(buckets, F.col("bucket")).mapInArrow(lists, "lead long, sig long, m long")
-    if len(order.value.hot):
+    found = packed.repartitionById(buckets, F.col("bucket")).mapInArrow(lists, "lead long, sig long")
+    found = found.groupBy("lead", "sig").agg(F.count(F.lit(1)).alias("m"))
+    if len(whole(order).hot):
         found = found.unionByName(hot_lists(docs, order, text))
     return found
 
@@ -388,7 +434,7 @@ def hot_lists(docs: DataFrame, order, text: str) -> DataFrame:
     """The same for the shingles of very many sets, by a partial minimum and a join whose large keys can be split."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tokens, _, owners in _prefixes(batches, order.value, True):
+        for tokens, _, owners in _prefixes(batches, whole(order), True):
             yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(owners)], ["token", "sig"])
 
     entries = stored(docs.select(text).mapInArrow(rows, "token long, sig long").distinct(), "hot")
@@ -406,7 +452,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, order, key: str, text: str) -> D
             k = np.array(batch.column(0).fill_null(0), np.int64)
             some = batch.filter(pa.array(mask.value[k & (MASK)]))
             for piece in pieces_of(some, 1):
-                sets = row_sets(*utf8(piece.column(1)), order.value)
+                sets = row_sets(*utf8(piece.column(1)), whole(order))
                 full = pa.array([len(s) > 0 for s in sets])
                 out = pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.array([signature(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
@@ -439,14 +485,20 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 def class_links(docs: DataFrame, classes: DataFrame, order, key: str, text: str) -> DataFrame:
     """Edges (a, b) between class signatures that tie together whatever links tie together."""
     n_tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lists = shared_lists(docs, order, text, n_tasks).groupBy("lead", "sig").agg(F.sum("m").alias("m"))
+    lists = shared_lists(docs, order, text, n_tasks)
+    if len(whole(order).hot):
+        lists = lists.groupBy("lead", "sig").agg(F.sum("m").alias("m"))
     lists = stored(lists, "lists")
     shared = lists.groupBy("sig").agg(F.sum("m").alias("m"))
     # a set that links to another shares that many indexed shingles, whatever the other's size
     least = F.greatest(F.floor(F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) / SURPLUS), F.lit(1))
     alive = shared.join(classes, "sig").where(F.col("m") >= least).select("sig", "n", F.col("low").alias("k"))
     alive = stored(alive, "alive")
-    members = stored(lists.join(alive, "sig").select("lead", "sig", "n"), "families")
+    # Of all the entries that two linked sets share, each of the two may leave out fewer than half, so that one list at
+    # least is left to both: a set leaves the families it has the fewest entries in.
+    upto = F.sum("m").over(W.partitionBy("sig").orderBy("m", "lead").rowsBetween(W.unboundedPreceding, W.currentRow))
+    members = lists.join(alive, "sig").withColumn("upto", upto).where(F.col("upto") > F.floor((least - 1) / 2))
+    members = stored(members.select("lead", "sig", "n"), "families")
     counts = members.groupBy("lead").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = members.join(counts, "lead")
     # large families: sizes that cannot link are told apart, the rest is dealt into blocks by lot
@@ -553,7 +605,8 @@ def keep_one_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     kept = docs.join(stay, same, "left_semi")
     # keys are unique as a rule; only if some are not, repeated rows are looked for
     if stay.where("n > 0").groupBy("k").agg(F.sum("rows").alias("rows")).where("rows > 1").limit(1).count():
-        first = W.partitionBy(key, F.xxhash64(text)).orderBy(F.lit(0))
+        whole = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+        first = W.partitionBy(key, F.xxhash64(text)).orderBy(whole)
         blank = ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
         kept = kept.withColumn("__at", F.row_number().over(first)).where((F.col("__at") == 1) | blank).drop("__at")
     return kept
