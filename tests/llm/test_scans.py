@@ -13,7 +13,7 @@ from tidemart.llm import fingerprints as fp, texts
 from tidemart.llm.decontaminate import drop_leaks, find_leaks
 from tidemart.llm.licenses import BASE, Template, scan_licenses
 from tidemart.llm.queries import ORACLES, QUERIES
-from tidemart.llm.texts import PRIME, Words, mix, utf8
+from tidemart.llm.texts import Words, mix, utf8
 from tidemart.llm.url_rules import Rule, judge_urls
 from tests.compare import connect, difference
 from tests.llm.tables import odd_documents, texts_of
@@ -187,14 +187,21 @@ def test_hashes_tell_regular_texts_apart(bits):
     assert (equal[0] == equal[2]).all() and (equal[0] != equal[1]).all()
 
 
-def test_word_hashes_are_the_polynomials():
-    text = "Aa bB äß " + "x" * 5000 + " aa"
-    words = Words(*utf8(pa.array([text, "bb Aa"])))
-    got = words.hashes().tolist()
-    assert got[0] == got[4] == got[6] and got[1] == got[5] and len(set(got)) == 4
-    raw, p = "x".encode() * 5000, int(PRIME)
-    value = 0
-    for base, table in zip(texts._BASES, texts._BYTE_VALUES):
-        value = value << 31 | sum(int(table[b]) * pow(base, i, p) for i, b in enumerate(raw)) % p
-    want = mix(np.array([value ^ (5000 * int(texts._FACTOR) % (1 << 64))], np.uint64))
-    assert got[3] == int(want[0])
+def chained(word):
+    """The hash of a word, eight bytes after the other."""
+    raw, full = word.encode(), (1 << 64) - 1
+    if len(raw) > texts.LONG_STRETCH:
+        return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")
+    h = len(raw) * int(texts._FACTOR) & full
+    for i in range(0, len(raw), 8):
+        h = ((h ^ int.from_bytes(raw[i : i + 8], "little")) + int(texts._FACTOR)) & full
+        h = int(mix(np.array([h], np.uint64))[0])
+    return h
+
+
+def test_word_hashes_equal_a_plain_chain():
+    rng = random.Random(9)
+    for lengths in ([1, 2, 7, 8, 9, 16, 17, 64], [3, 1024, 1025, 5000, 8, 1], [2000]):
+        words = ["".join(rng.choice("abcé9") for _ in range(n)) for n in lengths]
+        got = Words(*utf8(pa.array([" ".join(words), None, "", words[0].upper().replace("É", "é")]))).hashes().tolist()
+        assert got == [chained(w) for w in [*words, words[0]]]

@@ -8,6 +8,7 @@ text column as its bytes and row offsets without making Python strings.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -89,51 +90,39 @@ def _power(n: int, inverse: bool) -> np.ndarray:
     return have[:n]
 
 
-# Words are hashed by two polynomials modulo a prime. Modulo 2^64 a polynomial gives equal values for some long texts,
-# whatever its base.
-PRIME = np.uint64((1 << 31) - 1)
-_BASES = (1_217_405_891, 885_462_517)
-_BYTE_VALUES = np.random.default_rng(_TABLE_SEED + 1).integers(1, int(PRIME), size=(2, 256), dtype=np.uint64)
-
-
-def modulo(x: np.ndarray) -> np.ndarray:
-    """x modulo ``PRIME``."""
-    x = (x & PRIME) + (x >> np.uint64(31))
-    x = (x & PRIME) + (x >> np.uint64(31))
-    return np.where(x >= PRIME, x - PRIME, x)
-
-
-_prime_powers: dict[int, np.ndarray] = {}
-
-
-def _powers_of(base: int, n: int) -> np.ndarray:
-    """base^0 to base^(n - 1) modulo ``PRIME``; tables for slices of usual size are kept."""
-    have = _prime_powers.get(base)
-    if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + 1)
-        have = np.ones(size, np.uint32)
-        known = 1
-        while known < size:
-            more = min(known, size - known)
-            step = np.uint64(pow(base, known, int(PRIME)))
-            have[known : known + more] = modulo(have[:more].astype(np.uint64) * step)
-            known += more
-        if n <= 8 * SLICE_BYTES:
-            _prime_powers[base] = have
-    return have[:n]
+# A stretch of bytes beyond this many is hashed by a digest of its own.
+LONG_STRETCH = 1024
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def stretch_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One 64-bit hash for each stretch of bytes, which may overlap."""
-    n, out = len(data), np.zeros(len(starts), np.uint64)
-    if not len(starts):
-        return out
-    for base, values in zip(_BASES, _BYTE_VALUES):
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(modulo(values[data] * _powers_of(base, n)), out=total[1:])
-        undo = _powers_of(pow(base, -1, int(PRIME)), n + 1)[starts].astype(np.uint64)
-        out = (out << np.uint64(31)) | modulo(modulo(total[ends] - total[starts]) * undo)
-    return mix(out ^ ((ends - starts).astype(np.uint64) * _FACTOR))
+    """One 64-bit hash for each stretch of bytes.
+
+    Eight bytes after the other go into the hash through ``mix``. A linear sum over
+    the bytes, as a polynomial modulo 2^64, is equal for some long regular texts.
+    """
+    left = ends - starts
+    out = left.astype(np.uint64) * _FACTOR
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    wide = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+    long = np.flatnonzero(left > LONG_STRETCH)
+    rows = np.flatnonzero(left <= LONG_STRETCH) if len(long) else None
+    at, left = (starts, left) if rows is None else (starts[rows], left[rows])
+    h = out if rows is None else out[rows]
+    whole = h
+    now = slice(None)
+    while len(at):
+        h = mix((h ^ (wide[at] & _KEEP[np.minimum(left, 8)])) + _FACTOR)
+        whole[now] = h
+        more = np.flatnonzero(left > 8)
+        at, left, h = at[more] + 8, left[more] - 8, h[more]
+        now = more if isinstance(now, slice) else now[more]
+    if rows is not None:
+        out[rows] = whole
+        view = memoryview(padded)
+        for i in long.tolist():
+            out[i] = int.from_bytes(blake2b(view[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return out
 
 
 class Words:
