@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemart import catalog
 from tidemart.operators.lifecycle import final_actions, lifecycle_actions
+from tidemart.operators.parse import fail_on_bad
 from tidemart.operators.routing import config_columns, dim_route, live_config
 from tidemart.plans import adapters as ad
 from tidemart.plans.registry import query
-from tidemart.schemas import CONFIG_DIM_COLUMNS
+from tidemart.schemas import CONFIG_DIM_COLUMNS, envelope
 from tidemart.session import work_path
-from tidemart.sinks.upsert import read_upsert
 from tidemart.sources.changefeed import payload_of, source_of
-from tidemart.streaming.jobs import dim_batches
+from tidemart.sources.topics import append_segment, topic_stream
+from tidemart.streaming.jobs import sink_all
+from tidemart.streaming.live_tables import LiveTables
+from tidemart.streaming.runs import run_available
 
 
 def namespace(name: str) -> str:
@@ -120,27 +123,34 @@ def dictionary(spark, sf_dir):
     return spark.table(f"`{db}`.`dim_base_dic`").select("rk", "info.dic_name", "info.parent_code")
 
 
+def arrival(step, key):
+    """The place in the feed: the configuration changes of a step, then its data."""
+    return (step * 1000 + key).cast("bigint")
+
+
 @query(
     "T2_live_tables",
-    f"""
-WITH b AS (SELECT n_nationkey, n_name, n_regionkey, n_nationkey % 3 AS batch FROM nation)
-SELECT 'dim_' || n_regionkey || CASE WHEN n_regionkey % 2 = 1 AND batch >= 1 THEN '_v2' ELSE '' END AS tbl,
-  CAST(n_nationkey AS VARCHAR) AS row_key, n_name AS name FROM b WHERE n_regionkey <> 4 OR batch < 2""",
+    """
+WITH b AS (SELECT n_nationkey, n_name, n_regionkey, n_nationkey % 3 AS batch FROM nation), put AS (
+  SELECT *, 'dim_' || n_regionkey || CASE WHEN n_regionkey % 2 = 1 THEN '_v2' ELSE '' END AS tbl FROM b
+  WHERE n_regionkey <> 4 AND (n_regionkey % 2 = 0 OR batch >= 1)
+)
+SELECT tbl, CAST(n_nationkey AS VARCHAR) AS row_key, n_name AS name FROM put""",
 )
 def live_tables(spark, sf_dir):
-    """Three batches, and the configuration grows by insert, update and delete between them.
+    """Configuration and data in one topic: tables appear, move and go while rows arrive, and are read from the catalog.
 
-    The last batch comes twice, as after a restart: nothing is dropped or written twice.
+    Region 4 loses its table in the last step, and odd regions get a new one in the second: what these tables held
+    before is gone, as it is with a dropped table. Each step is a run of its own from the same checkpoint.
     """
-    db, path = namespace("t2"), work_path(spark, "t2-live")
-    known = {"step": 0}
-    all_changes = config_changes(ad.table(spark, sf_dir, "region"))
-    write = dim_batches(path, db, lambda: all_changes.filter(F.col("seq") < 100 * (known["step"] + 1)), create_tables=True)
-    nations = nation_changes(ad.table(spark, sf_dir, "nation"))
-    for step in (0, 1, 2, 2):
-        known["step"] = step
-        write(nations.filter(F.col("seq") % 3 == step), step)
-    rows = read_upsert(spark, path, ["sink_table", "row_key"])
-    return rows.select(
-        F.substring_index("sink_table", ":", -1).alias("tbl"), "row_key", F.col("info")["n_name"].alias("name")
-    )
+    db, topic, checkpoint, path = namespace("t2"), *(work_path(spark, f"t2-{n}") for n in ("topic", "checkpoint", "tables"))
+    step = F.floor(F.col("seq") / 100)
+    changes = config_changes(ad.table(spark, sf_dir, "region")).withColumn("seq", arrival(step, F.col("seq") % 100))
+    nations = nation_changes(ad.table(spark, sf_dir, "nation")).withColumn("seq", arrival(F.col("seq") % 3, F.col("seq") + 500))
+    feed = ad.envelope_lines(changes.unionByName(nations))
+    live = LiveTables(spark, path, db, ad.CONFIG_DB)
+    for number in range(3):
+        append_segment(feed.filter(F.floor(F.col("seq") / 1000) == number), topic, number)
+        found = topic_stream(spark, "changes", format="text", path=f"{topic}/*", ordered=True)
+        run_available(sink_all(fail_on_bad(found, envelope()), checkpoint, live.write))
+    return rows_of_tables(spark, db)

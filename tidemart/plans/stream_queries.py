@@ -12,14 +12,13 @@ from tidemart.plans.table_queries import UPSERTED, flat_table
 from tidemart.schemas import CONFIG_DIM_COLUMNS, CONFIG_DWD_COLUMNS
 from tidemart.session import work_path
 from tidemart.sinks.topics import as_message, json_line_batches, topic_sink
-from tidemart.sinks.upsert import read_upsert
 from tidemart.sources.changefeed import snapshot_to_envelope
-from tidemart.sources.files import new_files_stream
+from tidemart.sources.files import json_lines, new_files_stream
 from tidemart.operators.applog import field
-from tidemart.sources.topics import change_table, topic_stream
+from tidemart.sources.topics import append_segment, change_table, topic_stream
 from tidemart.streaming import watermarks
 from tidemart.streaming.jobs import (
-    KEY_FIELDS, audit_batches, dim_batches, fact_batches, repaired_log, sink_all, split_log,
+    KEY_FIELDS, audit_batches, audit_table, dim_batches, dim_table, fact_batches, repaired_log, sink_all, split_log,
 )
 from tidemart.streaming.runs import file_run, run_available, table_stream
 from tidemart.streaming.visitor import visitor_batches
@@ -61,13 +60,17 @@ def new_files(spark, sf_dir):
     return sent.agg(F.count("*").alias("n"))
 
 
-@query("K1_topic_sink", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
+def orders_of(schema) -> dict[str, str]:
+    """The columns of the orders as they are in the files."""
+    return {f.name: f.dataType.simpleString() for f in schema.fields}
+
+
+@query("K1_topic_sink", "SELECT * FROM orders")
 def json_topic(spark, sf_dir):
-    path = work_path(spark, "k1")
-    rows = as_message(table_stream(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"))
-    run_available(topic_sink(rows, work_path(spark, "k1-checkpoint"), format="text", path=path))
-    status = F.get_json_object("value", "$.o_orderstatus").alias("o_orderstatus")
-    return spark.read.text(path).groupBy(status).agg(F.count("*").alias("n"))
+    """Whole rows as messages, read back from the topic."""
+    path, orders = work_path(spark, "k1"), table_stream(spark, sf_dir, "orders")
+    run_available(topic_sink(as_message(orders), work_path(spark, "k1-checkpoint"), format="text", path=path))
+    return json_lines(spark, path, orders_of(orders.schema))
 
 
 @query("T1_stream_visitor", sql.visitor("seq"))
@@ -106,28 +109,38 @@ _REPAIRED = sql.visitor("seq").replace(
 @query(
     "K3_stream_fanout",
     _REPAIRED + """
-, x AS (SELECT al.*, r.is_new AS flag FROM al JOIN r ON al.seq = r.seq)
-SELECT topic, is_new, count(*) AS n FROM (
-  SELECT 'log_err' AS topic, NULL AS is_new FROM x WHERE event_type = 'error'
-  UNION ALL SELECT 'log_start', flag FROM x WHERE event_type = 'signup'
-  UNION ALL SELECT 'log_page', flag FROM x WHERE event_type <> 'signup'
-  UNION ALL SELECT 'log_display', flag FROM (SELECT flag, unnest(range(nd)) FROM x WHERE nd > 0)
-  UNION ALL SELECT 'log_action', flag FROM (SELECT flag, unnest(range(na)) FROM x WHERE na > 0)
-) GROUP BY ALL""",
+, x AS (SELECT al.*, 'sid_' || al.seq AS sid, r.is_new AS flag FROM al JOIN r ON al.seq = r.seq)
+SELECT 'log_err' AS topic, NULL AS sid, NULL AS is_new, 'msg_' || k AS what FROM x WHERE event_type = 'error'
+UNION ALL SELECT 'log_start', sid, flag, 'icon' FROM x WHERE event_type = 'signup'
+UNION ALL SELECT 'log_page', sid, flag, event_type FROM x WHERE event_type <> 'signup'
+UNION ALL SELECT 'log_display', sid, flag, CAST(k + i AS VARCHAR) FROM (SELECT *, unnest(range(nd)) AS i FROM x WHERE nd > 0)
+UNION ALL SELECT 'log_action', sid, flag, CAST(k + i AS VARCHAR) FROM (SELECT *, unnest(range(na)) AS i FROM x WHERE na > 0)""",
 )
 def stream_fanout(spark, sf_dir):
-    """The log job: parse, repair with keyed state, split, one folder per topic."""
-    path = work_path(spark, "k3s")
-    messages = split_log(streamed_lines(spark, sf_dir))
-    run_available(topic_sink(messages, work_path(spark, "k3s-checkpoint"), format="text", path=path))
-    flag = F.get_json_object("value", "$.common.is_new").alias("is_new")
-    return spark.read.text(path).groupBy("topic", flag).agg(F.count("*").alias("n"))
+    """The log job on a topic folder: order of arrival, parse, repair with keyed state, split, one folder per topic.
+
+    Three segments are added one after the other, each read by a run that starts from the checkpoint of the one before.
+    """
+    topic, path, checkpoint = (work_path(spark, f"k3s-{n}") for n in ("topic", "out", "checkpoint"))
+    sent = lines(spark, sf_dir)
+    cuts = sent.agg(F.percentile_approx("seq", [0.3, 0.6], 1000)).first()[0]
+    part = F.when(F.col("seq") <= cuts[0], 0).when(F.col("seq") <= cuts[1], 1).otherwise(2)
+    for number in range(3):
+        append_segment(sent.filter(part == number), topic, number)
+        found = topic_stream(spark, "log", format="text", path=f"{topic}/*", ordered=True)
+        run_available(topic_sink(split_log(found), checkpoint, format="text", path=path))
+    text = F.col("value")
+    what = [F.get_json_object(text, f"$.{p}") for p in ("display.item", "action.item", "start.entry", "page.page_id", "msg")]
+    return spark.read.text(path).select(
+        "topic", F.get_json_object(text, "$.common.sid").alias("sid"), F.get_json_object(text, "$.common.is_new").alias("is_new"),
+        F.coalesce(*what).alias("what"),
+    )
 
 
 @query("T2_stream_dim_load", UPSERTED)
 def stream_dim_load(spark, sf_dir):
     """The dimension job: each batch meets the live configuration and is upserted."""
-    path, keys = work_path(spark, "t2"), ["sink_table", "row_key"]
+    path = work_path(spark, "t2")
     config = config_feed(ad.dim_config(spark), CONFIG_DIM_COLUMNS, "table_process_dim")
     changes = None
     for name in ad.DIM_KEYS:
@@ -135,7 +148,7 @@ def stream_dim_load(spark, sf_dir):
         changes = feed if changes is None else changes.unionByName(feed)
     write = dim_batches(path, ad.NAMESPACE, config)
     run_available(sink_all(changes, work_path(spark, "t2-checkpoint"), write))
-    return flat_table(read_upsert(spark, path, keys))
+    return flat_table(dim_table(spark, path).read())
 
 
 @query(
@@ -145,12 +158,12 @@ SELECT 'retail_dim:dim_customer' AS sink_table, CAST(k AS VARCHAR) AS row_key, m
 FROM dim WHERE tbl = 'customer' AND op <> 'd' GROUP BY k""",
 )
 def stream_upsert(spark, sf_dir):
-    path, keys = work_path(spark, "k5s"), ["sink_table", "row_key"]
+    path = work_path(spark, "k5s")
     config = config_feed(ad.dim_config(spark), CONFIG_DIM_COLUMNS, "table_process_dim")
     changes = ad.dim_changes(table_stream(spark, sf_dir, "customer"), "customer")
     checkpoint = work_path(spark, "k5s-checkpoint")
     run_available(sink_all(changes, checkpoint, dim_batches(path, ad.NAMESPACE, config)))
-    return flat_table(read_upsert(spark, path, keys))
+    return flat_table(dim_table(spark, path).read())
 
 
 @query(
@@ -173,12 +186,11 @@ def fact_config_feed(spark: SparkSession):
     return config_feed(ad.fact_config(spark), CONFIG_DWD_COLUMNS, "table_process_dwd")
 
 
-@query("K7_json_load", "SELECT o_orderkey, o_orderstatus FROM orders")
+@query("K7_json_load", "SELECT * FROM orders")
 def json_load(spark, sf_dir):
-    path = work_path(spark, "k7")
-    rows = table_stream(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    path, rows = work_path(spark, "k7"), table_stream(spark, sf_dir, "orders")
     run_available(sink_all(rows, work_path(spark, "k7-checkpoint"), json_line_batches(path)))
-    return spark.read.schema(rows.schema).json(path).select("o_orderkey", "o_orderstatus")
+    return spark.read.schema(rows.schema).json(path).select(*rows.columns)
 
 
 @query(
@@ -192,7 +204,7 @@ def stream_audit(spark, sf_dir):
     changes = ad.dim_changes(table_stream(spark, sf_dir, "customer"), "customer")
     write = audit_batches(path, "c_custkey")
     run_available(sink_all(changes, work_path(spark, "k8s-checkpoint"), write))
-    return read_upsert(spark, path, ["id"]).select(
+    return audit_table(spark, path).read().select(
         "id", "op", F.get_json_object("log_before", "$.c_name").alias("before_name")
     )
 

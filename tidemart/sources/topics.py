@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart.functions.dates import event_timestamp
 from tidemart.operators.parse import fail_on_bad
@@ -17,8 +20,17 @@ def topic_stream(
     max_per_trigger: int | None = None,
     format: str = "kafka",
     path: str = "",
+    ordered: bool = False,
 ) -> DataFrame:
-    """An unbounded frame with one text column ``value``.
+    """An unbounded frame with one text column ``value``, and with ``ordered`` the arrival order ``seq``.
+
+    ``seq`` is a text that sorts like the arrival. On the message bus it is the
+    offset, then the partition: records of one partition keep their order, and of
+    two partitions the one with the smaller offset comes first. In files it is the
+    path, the position of the split and the row in it: files have to be named in
+    the order in which they are added, as segments of a log are, and keep it
+    whatever the number of tasks that read them. Micro-batches follow each other
+    in the same order as long as a partition or a later name is not overtaken.
 
     ``max_per_trigger`` bounds a micro-batch (offsets of a topic, files of a
     folder), and what is over waits for the next trigger; by default a trigger
@@ -32,14 +44,52 @@ def topic_stream(
             .option("startingOffsets", offsets)
             .options(**({"maxOffsetsPerTrigger": max_per_trigger} if max_per_trigger else {}))
             .load()
-            .select(F.col("value").cast("string").alias("value"))
+            .select(*([bus_order().alias("seq")] if ordered else []), F.col("value").cast("string").alias("value"))
         )
-    return (
+    rows = (
         spark.readStream.format(format)
         .schema("value string")
         .options(**({"maxFilesPerTrigger": max_per_trigger} if max_per_trigger else {}))
         .load(path or topic)
     )
+    return with_file_order(rows).select("seq", "value") if ordered else rows
+
+
+def _digits(number: Column, width: int) -> Column:
+    return F.lpad(number.cast("string"), width, "0")
+
+
+def bus_order() -> Column:
+    """Offset, then partition, of a message bus record."""
+    return F.concat_ws("/", _digits(F.col("offset"), 19), _digits(F.col("partition"), 10))
+
+
+def with_file_order(rows: DataFrame, name: str = "seq") -> DataFrame:
+    """``value`` lines of text files with their place: path, position of the split, row in the split.
+
+    No column function numbers the rows of a stream, so an Arrow function counts
+    them; a split is read by one task, in order, whichever task that is.
+    """
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, row = None, 0
+        for batch in batches:
+            values, paths, starts = (batch.column(i) for i in range(3))
+            places = []
+            for place in zip(paths.to_pylist(), starts.to_pylist()):
+                here, row = (here, row + 1) if place == here else (place, 0)
+                places.append(f"{place[0]}\x01{place[1]:019d}\x01{row:010d}")
+            yield pa.RecordBatch.from_arrays([pa.array(places, pa.string()), values], names=[name, "value"])
+
+    told = rows.select("value", "_metadata.file_path", "_metadata.file_block_start")
+    return told.mapInArrow(number, f"{name} string, value string")
+
+
+def append_segment(lines: DataFrame, topic: str, number: int, order: str = "seq") -> None:
+    """Add ``value`` lines to a topic folder as the next segment, in order, from as many files as there are tasks."""
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lines.repartitionByRange(parts, order).sortWithinPartitions(order)
+    dealt.select("value").write.text(f"{topic.rstrip('/')}/segment={number:012d}")
 
 
 def change_table(df: DataFrame, delay: str = "5 seconds", value: str = "value") -> DataFrame:

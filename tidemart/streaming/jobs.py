@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidemart.catalog import apply_lifecycle
 from tidemart.operators.applog import fan_out, set_flag
 from tidemart.operators.envelope import audit_rows
-from tidemart.operators.lifecycle import final_actions, lifecycle_actions
 from tidemart.operators.parse import app_log_rows, log_rows
 from tidemart.operators.routing import config_columns, dim_route, fact_route, live_config
 from tidemart.schemas import CONFIG_DIM_COLUMNS, CONFIG_DWD_COLUMNS
 from tidemart.sinks.topics import send_batch
-from tidemart.sinks.upsert import upsert_batch
+from tidemart.sinks.state_table import StateTable
 from tidemart.streaming.visitor import repair_visitor_stream
 
 KEY_FIELDS = {"common": "struct<is_new:string,mid:string>", "ts": "string"}
@@ -41,43 +39,23 @@ def split_log(
     return fan_out(repaired_log(lines, rule, tz), topics)
 
 
-def applied_path(path: str) -> str:
-    return f"{path.rstrip('/')}-applied"
+def dim_table(spark: SparkSession, path: str) -> StateTable:
+    """The dimension rows of all sink tables; cells are put one by one."""
+    return StateTable(spark, path, ["sink_table", "row_key"], cells="info")
 
 
-def applied_before(spark: SparkSession, path: str, batch_id: int) -> int | None:
-    """The last configuration change that batches before this one have applied."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(applied_path(path))
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return None
-    seen = spark.read.schema("seq bigint, batch_id bigint").parquet(applied_path(path))
-    return seen.filter(F.col("batch_id") < batch_id).agg(F.max("seq")).first()[0]
-
-
-def dim_batches(path: str, namespace: str, config_changes, create_tables: bool = False):
-    """A ``foreachBatch`` function that routes changes and upserts dimension rows.
+def dim_batches(path: str, namespace: str, config_changes):
+    """A ``foreachBatch`` function that routes changes and puts dimension rows into ``dim_table(path)``.
 
     ``config_changes()`` returns the configuration envelopes known now, so every
-    batch sees the configuration in force when it starts. With ``create_tables``
-    the lifecycle follows the changes that no earlier batch has applied; the last
-    one applied is kept below ``path`` by batch, so a restart or a replay drops
-    nothing twice.
+    batch sees the configuration in force when it starts. ``LiveTables`` takes the
+    configuration from the stream itself and follows the lifecycle of the tables.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        changes = config_changes()
-        if create_tables:
-            spark = batch.sparkSession
-            done = applied_before(spark, path, batch_id)
-            new = changes if done is None else changes.filter(F.col("seq") > done)
-            apply_lifecycle(spark, final_actions(lifecycle_actions(new, namespace)), namespace)
-            last = changes.agg(F.max("seq").cast("bigint").alias("seq"))
-            last.write.mode("overwrite").parquet(f"{applied_path(path)}/batch_id={batch_id}")
-        config = config_columns(live_config(changes), CONFIG_DIM_COLUMNS)
+        config = config_columns(live_config(config_changes()), CONFIG_DIM_COLUMNS)
         routed = dim_route(batch, config, namespace, keep=("ts_ms", "seq"))
-        upsert_batch(
-            routed, path, batch_id, ["sink_table", "row_key"], ["ts_ms", "seq"], ("sink_table",)
-        )
+        dim_table(batch.sparkSession, path).put(routed, batch_id, ["ts_ms", "seq"])
 
     return write
 
@@ -99,12 +77,16 @@ def fact_batches(path: str, config_changes, format: str = "json", sink: dict[str
     return write
 
 
+def audit_table(spark: SparkSession, path: str) -> StateTable:
+    return StateTable(spark, path, ["id"])
+
+
 def audit_batches(path: str, key: str = "id"):
-    """K8: a ``foreachBatch`` function that upserts audit rows by id."""
+    """K8: a ``foreachBatch`` function that puts audit rows by id into ``audit_table(path)``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = audit_rows(batch, key).withColumn("_ts", F.col("ts").cast("bigint"))
-        upsert_batch(rows, path, batch_id, ["id"], ["_ts", "op"])
+        audit_table(batch.sparkSession, path).put(rows, batch_id, ["_ts", "op"])
 
     return write
 

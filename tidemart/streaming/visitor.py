@@ -17,22 +17,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemart.functions.dates import DAY_MS, ts_to_date
 from tidemart.operators.visitor import repair_visitors, visitor_states
-from tidemart.sinks.upsert import read_upsert
+from tidemart.sinks.state_table import StateTable
 
 KEYED = -1  # lane of records that meet the state
 LANES = 1024
 COLUMNS = ["mid", "seq", "ts", "is_new", "value"]
-OUTPUT = T.StructType(
-    [
-        T.StructField("mid", T.StringType()),
-        T.StructField("seq", T.LongType()),
-        T.StructField("ts", T.LongType()),
-        T.StructField("is_new", T.StringType()),
-        T.StructField("value", T.StringType()),
-    ]
-)
-
-
 def step(
     is_new: np.ndarray, day: np.ndarray, eve: np.ndarray, state: str | None, rule: str
 ) -> tuple[np.ndarray, str | None]:
@@ -96,12 +85,12 @@ def repair_visitor_stream(
 ) -> DataFrame:
     """``df(mid, seq, ts, is_new, value)`` with ``is_new`` rewritten.
 
-    Records of a device are ordered by ``seq`` inside a micro-batch; the source's
+    Records of a device are ordered by ``seq``, a number or a text, inside a micro-batch; the source's
     per-trigger limit bounds how many there can be. Records without a device or a
     time pass through unchanged, over many lanes so that they do not pile up.
     """
     usable = F.col("mid").isNotNull() & F.col("ts").isNotNull()
-    lane = F.when(usable, KEYED).otherwise(F.pmod("seq", F.lit(LANES))).cast("int")
+    lane = F.when(usable, KEYED).otherwise(F.pmod(F.xxhash64("seq"), F.lit(LANES))).cast("int")
     dated = df.select(
         *COLUMNS,
         lane.alias("lane"),
@@ -110,31 +99,31 @@ def repair_visitor_stream(
     )
     return dated.groupBy("mid", "lane").transformWithStateInPandas(
         statefulProcessor=VisitorProcessor(rule, ttl_ms),
-        outputStructType=OUTPUT,
+        outputStructType=T.StructType([df.schema[c] for c in COLUMNS]),
         outputMode="Append",
         timeMode="ProcessingTime" if ttl_ms else "None",
     )
 
 
-def visitor_batches(out_path: str, state_path: str, **options):
+def visitor_batches(out_path: str, state_path: str, buckets: int = 32, **options):
     """A ``foreachBatch`` function for ``(mid, is_new, ts, seq, ...)`` rows.
 
-    A batch reads the states left by the batches before it and writes its rows,
-    then its states, into folders named by its id; a replay does the same again.
+    A batch reads the states of its devices' buckets, writes its rows into a folder
+    named by its id and then its states. A replay of a batch whose states are
+    there does nothing; of any other it writes the same rows again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        initial = None
-        if batch_id > 0:
-            initial = read_upsert(
-                batch.sparkSession, state_path, ["mid"],
-                schema="mid string, d date, batch_id int", before=batch_id,
-            )
+        table = StateTable(batch.sparkSession, state_path, ["mid"], buckets)
+        if table.applied(batch_id):
+            return
         rows = batch.persist()
-        fixed = repair_visitors(rows, initial=initial, **options)
-        fixed.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-        states = visitor_states(rows, initial=initial, **options)
-        states.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
-        rows.unpersist()
+        try:
+            initial = table.read(of=rows.select("mid").filter("mid IS NOT NULL"))
+            fixed = repair_visitors(rows, initial=initial, **options)
+            fixed.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            table.put(visitor_states(rows, initial=initial, **options), batch_id, ["d"])
+        finally:
+            rows.unpersist()
 
     return write
