@@ -3,6 +3,8 @@
 import random
 from decimal import ROUND_HALF_UP, Decimal
 
+import base64
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,7 +117,7 @@ def test_hex(spark):
     ]
     got = values(
         spark, [c for c, _, _ in cases], "string",
-        *[hexa.to_decimal_text(x(), d, w) for w in (False, True) for d in (False, True)],
+        *[hexa.to_decimal_text(x(), d, w, malformed="null") for w in (False, True) for d in (False, True)],
     )
     for (case, plain, units), row in zip(cases, got):
         assert row[0] == row[2] == plain, case
@@ -138,6 +140,58 @@ def test_hex_wide(spark):
     ]
 
 
+def plain_number(text, divide):
+    """The rule in plain Python: exact quotient, no fewer decimals than the number had."""
+    sign = "-" if text.lstrip("0x").startswith("-") or text.startswith("-") else ""
+    if text.startswith("0x"):
+        digits, scale = str(abs(int(text[2:], 16))), 0
+    else:
+        body, _, exp = text.lstrip("+-").lower().partition("e")
+        whole, _, frac = body.partition(".")
+        digits, scale = whole + frac, len(frac) - int(exp or 0)
+    keep = max(scale, 0)
+    scale += 18 if divide else 0
+    digits = digits + "0" * max(0, -scale)
+    scale = max(scale, 0)
+    digits = digits.rjust(scale + 1, "0")
+    left, right = (digits[:-scale], digits[-scale:]) if scale else (digits, "")
+    while len(right) > keep and right.endswith("0"):
+        right = right[:-1]
+    sign = sign if digits.strip("0") else ""
+    return sign + (left.lstrip("0") or "0") + ("." + right if right else "")
+
+
+def test_wide_numbers_equal_plain_python(spark):
+    rng = random.Random(5)
+    cases = ["0x" + "".join(rng.choice("0123456789abcdefABCDEF") for _ in range(rng.randint(1, 130))) for _ in range(60)]
+    cases += ["0x-ff", "0x+0", "0x" + "f" * 64, "0x1" + "0" * 70, "5.", ".5", "-.50e2", "0.00", "0e5", "1e-30", "-1.230E+20", "+7", "00.10"]
+    cases += [f"{rng.choice(['', '-'])}{rng.randint(0, 10**rng.randint(1, 40))}.{rng.randint(0, 999)}e{rng.randint(-25, 25)}" for _ in range(60)]
+    got = values(spark, cases, "string", hexa.to_decimal_text(x()), hexa.to_decimal_text(x(), divide=True))
+    assert got == [(plain_number(c, False), plain_number(c, True)) for c in cases]
+
+
+@pytest.mark.parametrize("text", ["0xf_f", "1_000", " 12 ", "0x", "", "1e", "--1", "0xg", "1.2.3", "NaN"])
+def test_malformed_numbers_raise(spark, text):
+    assert values(spark, [text], "string", hexa.to_decimal_text(x(), malformed="null")) == [(None,)]
+    with pytest.raises(Exception, match="not a number"):
+        values(spark, [text], "string", hexa.to_decimal_text(x()))
+
+
+def test_cdc_decimals(spark):
+    def encoded(v, size):
+        return base64.b64encode(v.to_bytes(size, "big", signed=True)).decode()
+
+    rng = random.Random(3)
+    numbers = [(v, n) for n in (1, 3, 8, 9, 17, 40) for v in (0, 1, -1, 127, -128, rng.randrange(-(1 << 8 * n - 1), 1 << 8 * n - 1))]
+    cases = [encoded(v, n) for v, n in numbers] + ["", None]
+    want = []
+    for v, _ in numbers:
+        digits = str(abs(v)).rjust(3, "0")
+        want.append(("-" if v < 0 else "") + digits[:-2] + "." + digits[-2:])
+    got = values(spark, cases, "string", hexa.decode_cdc_decimal(x(), 2))
+    assert [g for (g,) in got] == [*want, None, None]
+
+
 def test_words(spark):
     word = "0123456789abcdef" * 4
     cases = ["0x" + word * 3, "", None, "0x" + word[:40], "0x" + word + "12"]
