@@ -34,10 +34,12 @@ SURPLUS = 12
 SIZE_STEPS = 8
 HOT_LIST = 50_000
 FLUSH = 2_000_000
+ENTRIES = 1 << 16
 FREQUENT = 1 << 16
 FREQUENT_WORDS = 1 << 16
 BLOCK = 512
 ANCHORS = 8
+SUPPORT_ROUNDS = 2
 
 
 def needed(n: int) -> int:
@@ -419,8 +421,8 @@ def shared_lists(docs: DataFrame, order, text: str, buckets: int) -> DataFrame:
             starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))[: len(token)]
             lead = np.repeat(np.minimum.reduceat(owner, starts), np.diff(np.append(starts, len(token)))) if len(token) else owner
             # one row for each entry: what is folded must not depend on how many buckets there are
-            for at in range(0, len(lead), FLUSH):
-                yield pa.RecordBatch.from_arrays([pa.array(lead[at : at + FLUSH]), pa.array(owner[at : at + FLUSH])], ["lead", "sig"])
+            for at in range(0, len(lead), ENTRIES):
+                yield pa.RecordBatch.from_arrays([pa.array(lead[at : at + ENTRIES]), pa.array(owner[at : at + ENTRIES])], ["lead", "sig"])
 
     packed = docs.select(text).mapInArrow(pack, "bucket int, blob binary")
     found = packed.repartitionById(buckets, F.col("bucket")).mapInArrow(lists, "lead long, sig long")
@@ -482,6 +484,24 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     )
 
 
+def supported(rows: DataFrame, least) -> DataFrame:
+    """The rows (lead, sig, n, k, m) of sets that may still share ``least`` entries with one other set, with ``c``.
+
+    Two sets share no more entries in a family than the one with fewer has there.
+    So ``c`` is a set's m or the largest m of the others, and a set whose sum over
+    its families is below ``least`` links to nothing. Strangers, who meet a set in
+    one list each, do not add up in the family that it leads.
+    """
+    rows = rows.select("lead", "sig", "n", "k", "m")
+    top = rows.groupBy("lead").agg(F.max(F.struct("m", "sig")).alias("top"))
+    rows = rows.join(top, "lead")
+    second = rows.where(F.col("sig") != F.col("top.sig")).groupBy("lead").agg(F.max("m").alias("second"))
+    others = F.when(F.col("sig") == F.col("top.sig"), F.col("second")).otherwise(F.col("top.m"))
+    rows = rows.join(second, "lead").select("lead", "sig", "n", "k", "m", F.least("m", others).alias("c"))
+    enough = rows.groupBy("sig").agg(F.sum("c").alias("all"), F.first("n").alias("n")).where(F.col("all") >= least)
+    return rows.join(enough.select("sig"), "sig", "left_semi")
+
+
 def class_links(docs: DataFrame, classes: DataFrame, order, key: str, text: str) -> DataFrame:
     """Edges (a, b) between class signatures that tie together whatever links tie together."""
     n_tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -494,10 +514,13 @@ def class_links(docs: DataFrame, classes: DataFrame, order, key: str, text: str)
     least = F.greatest(F.floor(F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) / SURPLUS), F.lit(1))
     alive = shared.join(classes, "sig").where(F.col("m") >= least).select("sig", "n", F.col("low").alias("k"))
     alive = stored(alive, "alive")
+    rows = lists.join(alive, "sig")
+    for _ in range(SUPPORT_ROUNDS):
+        rows = stored(supported(rows, least), "supported")
     # Of all the entries that two linked sets share, each of the two may leave out fewer than half, so that one list at
-    # least is left to both: a set leaves the families it has the fewest entries in.
-    upto = F.sum("m").over(W.partitionBy("sig").orderBy("m", "lead").rowsBetween(W.unboundedPreceding, W.currentRow))
-    members = lists.join(alive, "sig").withColumn("upto", upto).where(F.col("upto") > F.floor((least - 1) / 2))
+    # least is left to both: a set leaves the families it can share the fewest entries in.
+    upto = F.sum("c").over(W.partitionBy("sig").orderBy("c", "lead").rowsBetween(W.unboundedPreceding, W.currentRow))
+    members = rows.withColumn("upto", upto).where(F.col("upto") > F.floor((least - 1) / 2))
     members = stored(members.select("lead", "sig", "n"), "families")
     counts = members.groupBy("lead").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = members.join(counts, "lead")
