@@ -13,6 +13,7 @@ from tidemart.operators.cart import cart_add, changelog_text
 from tidemart.operators.envelope import latest_per_key
 from tidemart.operators.joins import join_small
 from tidemart.operators.lifecycle import final_actions, lifecycle_actions
+from tidemart.operators.reports import latest_version_per_key
 from tidemart.operators.routing import dim_route, fact_route, live_config
 from tidemart.sinks.daybucket import day_bucket_stream, write_day_buckets
 from tidemart.sinks.upsert import compact_to, read_upsert, upsert_batch
@@ -178,6 +179,22 @@ def test_median_keeps_the_type(spark):
     assert {r.g: r.median for r in exact_median(exact, ["g"], "x").collect()}["a"] == Decimal(f"{big}.01")
 
 
+def test_median_keeps_the_half(spark):
+    for kind in ("decimal(38,2)", "decimal(38,10)", "decimal(20,2)", "decimal(5,0)"):
+        df = spark.sql(f"SELECT * FROM VALUES ('a', 1.01), ('a', 1.02), ('b', 2), ('b', 3) AS t(g, x)").selectExpr("g", f"cast(x AS {kind}) AS x")
+        got = {r.g: r.median for r in exact_median(df, ["g"], "x").collect()}
+        assert got == {"a": Decimal("1") if kind.endswith(",0)") else Decimal("1.015"), "b": Decimal("2.5")}
+    wide = spark.sql("SELECT 'a' AS g, cast(repeat('9', 36) AS decimal(38,0)) AS x")
+    with pytest.raises(Exception, match="(?i)out_of_range|overflow"):
+        exact_median(wide, ["g"], "x").collect()
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_latest_version_does_not_depend_on_partitions(spark, parts):
+    df = spark.createDataFrame([("k", v) for v in ("1.0", "1", "1.0.0", "0.9")], "k string, v string").repartition(parts, "v")
+    assert latest_version_per_key(df, "k", "v").first().version == "1.0.0"
+
+
 def test_lines_without_buckets(spark, tmp_path):
     df = spark.createDataFrame([(v,) for v in BUCKETS], "value string")
     write_day_buckets(df, str(tmp_path / "flat"), None)

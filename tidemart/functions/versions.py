@@ -22,6 +22,9 @@ def larger_version(a: Column, b: Column) -> Column:
 
 
 def latest_version(v: Column) -> Column:
-    """Aggregate form: zeros at the end say nothing, and without them a longer list is greater."""
+    """Aggregate form: zeros at the end say nothing, and without them a longer list is greater.
+
+    Of several spellings of the greatest version the greatest text counts.
+    """
     bare = F.regexp_replace(v, r"(\.0+)+\z", "")
-    return F.max_by(v, version_parts(bare))
+    return F.max_by(v, F.struct(version_parts(bare), v))

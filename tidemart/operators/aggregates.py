@@ -52,8 +52,11 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
     low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
     middle = upto.groupBy("_k").agg(at(low).alias("_a"), at(high).alias("_b"))
     missed = F.raise_error(F.lit("median outside its band"))
-    kind = _middle_type(df.schema[value].dataType)
-    half = (F.col("_a").cast(kind) + F.col("_b").cast(kind)) / 2
+    exact, kind = _middle_types(df.schema[value].dataType)
+    if kind == "double":
+        half = (F.col("_a").cast(kind) + F.col("_b").cast(kind)) / 2
+    else:
+        half = (F.col("_a").cast(exact) + F.col("_b").cast(exact)) * F.lit(0.5).cast("decimal(1,1)")
     return middle.select(
         *[F.col(f"_k.{k}").alias(k) for k in keys],
         F.when(F.col("_a").isNull() | F.col("_b").isNull(), missed.cast(kind)).otherwise(half.cast(kind))
@@ -61,10 +64,13 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
     )
 
 
-def _middle_type(kind: T.DataType) -> str:
-    """Whole and decimal numbers stay decimal, with a digit more for the half where there is room."""
+def _middle_types(kind: T.DataType) -> tuple[str, str]:
+    """Types for the two middle values and for their mean, which has one more decimal, so that no half is rounded.
+
+    The sum and the half take three digits of the 38: a value with more than 35 raises an overflow.
+    """
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return "double"
+        return "double", "double"
     precision, scale = (kind.precision, kind.scale) if isinstance(kind, T.DecimalType) else (20, 0)
-    room = min(1, 38 - precision)
-    return f"decimal({precision + room},{scale + room})"
+    precision, scale = min(precision, 35), min(scale, 35)
+    return f"decimal({precision},{scale})", f"decimal({precision + 1},{scale + 1})"

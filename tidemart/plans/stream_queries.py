@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.operators.parse import app_log_rows
+from tidemart.operators.parse import app_log_rows, fail_on_bad
 from tidemart.plans import adapters as ad, oracle_parts as sql
 from tidemart.plans.log_queries import lines
 from tidemart.plans.registry import query
 from tidemart.plans.table_queries import UPSERTED, flat_table
-from tidemart.schemas import CONFIG_DIM_COLUMNS, CONFIG_DWD_COLUMNS
+from tidemart.schemas import CONFIG_DIM_COLUMNS, CONFIG_DWD_COLUMNS, envelope
 from tidemart.session import work_path
 from tidemart.sinks.topics import as_message, json_line_batches, topic_sink
-from tidemart.sources.changefeed import snapshot_to_envelope
+from tidemart.sinks.state_table import StateTable
+from tidemart.sources.changefeed import bootstrap_batches, snapshot_to_envelope
 from tidemart.sources.files import json_lines, new_files_stream
 from tidemart.operators.applog import field
 from tidemart.sources.topics import append_segment, change_table, topic_stream
@@ -20,7 +21,7 @@ from tidemart.streaming import watermarks
 from tidemart.streaming.jobs import (
     KEY_FIELDS, audit_batches, audit_table, dim_batches, dim_table, fact_batches, repaired_log, sink_all, split_log,
 )
-from tidemart.streaming.runs import file_run, run_available, table_stream
+from tidemart.streaming.runs import ends_after_write, file_run, run_available, run_with_restarts, table_stream
 from tidemart.streaming.visitor import visitor_batches
 
 
@@ -243,3 +244,66 @@ def list_watermark(spark, sf_dir):
     )
     timed = watermarks.batch_time(rows, 30)
     return stream_to_table(timed.select("event_id", F.unix_millis("event_time").alias("event_ms")), "t5")
+
+
+@query("T8_restart", sql.visitor("seq"))
+def restart(spark, sf_dir):
+    """Each batch is ended once between its write and its commit and taken up again from the checkpoint."""
+    topic, out, states, checkpoint = (work_path(spark, f"t8-{n}") for n in ("topic", "out", "states", "checkpoint"))
+    sent = lines(spark, sf_dir)
+    middle = sent.agg(F.percentile_approx("seq", 0.5, 1000)).first()[0]
+    write = ends_after_write(visitor_batches(out, states))
+
+    def start():
+        rows = topic_stream(spark, "log", format="text", path=f"{topic}/*", ordered=True).withColumnRenamed("seq", "place")
+        rows = app_log_rows(rows, {**KEY_FIELDS, "common": "struct<is_new:string,mid:string,sid:string>"})
+        # the number in the session id is the arrival number
+        seq = F.substring_index("common.sid", "_", -1).cast("bigint")
+        rows = rows.select(seq.alias("seq"), "ts", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"))
+        return sink_all(rows, checkpoint, write)
+
+    for number, part in enumerate((sent.filter(F.col("seq") <= middle), sent.filter(F.col("seq") > middle))):
+        append_segment(part, topic, number)
+        run_with_restarts(start)
+    return spark.read.parquet(out).select("seq", "mid", "is_new")
+
+
+@query(
+    "S4_stream_initial",
+    """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name || CASE WHEN c_custkey % 3 = 0 THEN '_v2' ELSE '' END AS name
+FROM customer WHERE c_custkey % 7 <> 0""",
+)
+def stream_initial(spark, sf_dir):
+    """Snapshot and log of the customers at once: rows change while the table is read in three chunks.
+
+    A chunk is read as the table was before the batch's own changes, so rows of the log have to win.
+    """
+    topic, path, position, checkpoint = (work_path(spark, f"s4-{n}") for n in ("topic", "table", "position", "checkpoint"))
+    customers = ad.table(spark, sf_dir, "customer")
+    changes = ad.dim_changes(customers, "customer")
+    key = F.coalesce("after", "before")["c_custkey"].cast("bigint")
+    # updates come in the first two batches, deletes in the third
+    when = F.when(F.col("op") == "u", key % 2).when(F.col("op") == "d", 2)
+    log = changes.withColumn("batch", when).filter("batch IS NOT NULL")
+    table = StateTable(spark, path, ["id"], 8)
+
+    def read_chunk(i: int) -> DataFrame:
+        """The rows of a chunk as the log of earlier batches left them."""
+        changed = (F.col("c_custkey") % 3 == 0) & (F.col("c_custkey") % 2 < i)
+        name = F.when(changed, F.concat("c_name", F.lit("_v2"))).otherwise(F.col("c_name"))
+        now = customers.filter(F.floor(F.col("c_custkey") / 2) % 3 == i).withColumn("c_name", name)
+        return snapshot_to_envelope(now, ad.SHOP_DB, "customer")
+
+    def send(rows: DataFrame, batch_id: int) -> None:
+        found = rows.select(
+            F.coalesce("after", "before")["c_custkey"].alias("id"), F.col("after")["c_name"].alias("name"), "op", "ts_ms"
+        )
+        table.put(found, batch_id, ["ts_ms"])
+
+    write = bootstrap_batches(read_chunk, 3, "c_custkey", position, send)
+    for number in range(3):
+        append_segment(ad.envelope_lines(log.filter(F.col("batch") == number)), topic, number)
+        found = topic_stream(spark, "changes", format="text", path=f"{topic}/*")
+        run_available(sink_all(fail_on_bad(found, envelope()).drop("value"), checkpoint, write))
+    return table.read(deleted="op = 'd'").select("id", "name")

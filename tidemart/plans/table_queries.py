@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemart.functions.hexa import decode_cdc_decimal
 from tidemart.operators import routing
 from tidemart.operators.applog import fan_out
 from tidemart.operators.envelope import audit_rows
+from tidemart.operators.parse import fail_on_bad
 from tidemart.plans import adapters as ad, oracle_parts as sql
 from tidemart.plans.change_queries import cart_lines, cart_rows, customer_rows
 from tidemart.plans.log_queries import MESSAGES, flat_messages, lines, parsed, records
@@ -14,9 +16,11 @@ from tidemart.plans.registry import query
 from tidemart.schemas import envelope
 from tidemart.session import work_path
 from tidemart.sinks.daybucket import write_day_buckets
+from tidemart.sinks.state_table import StateTable
 from tidemart.sinks.topics import as_message, send_batch
 from tidemart.sinks.upsert import compact_to, read_upsert, upsert_batch
 from tidemart.sources import files, tables
+from tidemart.sources.changefeed import snapshot_to_envelope
 
 
 @query(
@@ -40,41 +44,75 @@ def json_lines(spark, sf_dir):
     return rows.groupBy("op", F.col("source")["table"].alias("tbl"), "ts_ms").agg(F.count("*").alias("n"))
 
 
-@query("S8_modified_after", sql.EVENTS_K + "SELECT count(*) AS n, 0 AS newer FROM ev")
+@query("S8_modified_after", sql.EVENTS_K + "SELECT CAST(seq % 2 AS INT) AS pickup, count(*) AS n FROM ev GROUP BY 1")
 def modified_after(spark, sf_dir):
-    """All lines are newer than 1970; none is newer than the position read back."""
-    path = work_path(spark, "s8")
-    lines(spark, sf_dir).select("value").write.text(path)
-    new = files.files_modified_after(spark, path, "1970-01-02T00:00:00")
-    none = files.files_modified_after(spark, path, "2999-01-01T00:00:00")
-    seen = new.select(F.lit("n").alias("k")).unionAll(none.select(F.lit("newer").alias("k")))
-    return seen.agg(F.count_if(F.col("k") == "n").alias("n"), F.count_if(F.col("k") == "newer").alias("newer"))
-
-
-def customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customer dimension as a key-value table."""
-    config = ad.dim_config(spark)
-    return routing.dim_route(customer_rows(spark, sf_dir).filter("op = 'r'"), config, ad.NAMESPACE)
-
-
-@query(
-    "S9_scan_limit",
-    "SELECT CAST(c_custkey AS VARCHAR) AS row_key, c_name FROM customer ORDER BY CAST(c_custkey AS VARCHAR) LIMIT 100",
-)
+    """Three pick-ups from one saved position; the files of the second have the time stamps of the first."""
+    folder, out, position = (work_path(spark, f"s8-{n}") for n in ("in", "out", "position"))
+    both, path = lines(spark, sf_dir), spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for number in range(3):
+        if number < 2:
+            both.filter(F.col("seq") % 2 == number).select("value").write.mode("append").text(folder)
+            for f in fs.listStatus(path):
+                fs.setTimes(f.getPath(), ad.BASE_MS, -1)
+        files.pick_up(spark, folder, position, lambda rows: rows.write.text(f"{out}/pickup={number}"))  # noqa: B023
+    return spark.read.schema("value string, pickup int").text(out).groupBy("pickup").agg(F.count("*").alias("n"))
+
+
+def customer_table(spark: SparkSession, sf_dir: str) -> StateTable:
+    """The customer dimension as a key-value table: all changes in arrival order, cells put one by one."""
+    routed = routing.dim_route(customer_rows(spark, sf_dir), ad.dim_config(spark), ad.NAMESPACE, keep=("ts_ms", "seq"))
+    table = StateTable(spark, work_path(spark, "kv"), ["row_key"], 8, cells="info")
+    for batch_id, part in enumerate(("seq % 10 = 0", "seq % 10 > 0")):
+        table.put(routed.filter(part), batch_id, ["ts_ms", "seq"])
+    return table
+
+
+_CUSTOMERS = """
+WITH kv AS (SELECT CAST(c_custkey AS VARCHAR) AS row_key, c_custkey, c_acctbal, c_mktsegment,
+  c_name || CASE WHEN c_custkey % 3 = 0 THEN '_v2' ELSE '' END AS c_name FROM customer)
+"""
+
+
+@query("S9_scan_limit", _CUSTOMERS + "SELECT row_key, c_name FROM kv ORDER BY row_key LIMIT 100")
 def scan_limit(spark, sf_dir):
-    return tables.wide_row(tables.scan(customer_table(spark, sf_dir), 100), ["c_name"])
+    return tables.wide_row(tables.scan(customer_table(spark, sf_dir).read(), 100), ["c_name"])
 
 
-@query("S10_point_get", "SELECT CAST(c_custkey AS VARCHAR) AS row_key, c_name, c_mktsegment FROM customer WHERE c_custkey = 42")
+@query("S10_point_get", _CUSTOMERS + "SELECT row_key, c_name, c_mktsegment FROM kv WHERE c_custkey = 42")
 def point_get(spark, sf_dir):
-    return tables.wide_row(tables.get(customer_table(spark, sf_dir), "42"), ["c_name", "c_mktsegment"])
+    return tables.wide_row(customer_table(spark, sf_dir).get("42"), ["c_name", "c_mktsegment"])
 
 
-@query("C5_delete_keys", "SELECT CAST(c_custkey AS VARCHAR) AS row_key, c_name FROM customer WHERE c_acctbal >= 0")
+@query("C5_delete_keys", _CUSTOMERS + "SELECT row_key, c_name FROM kv WHERE c_acctbal >= 0")
 def delete_keys(spark, sf_dir):
     gone = ad.table(spark, sf_dir, "customer").filter("c_acctbal < 0")
     keys = gone.select(F.col("c_custkey").cast("string").alias("row_key"))
-    return tables.wide_row(tables.without_keys(customer_table(spark, sf_dir), keys), ["c_name"])
+    return tables.wide_row(tables.without_keys(customer_table(spark, sf_dir).read(), keys), ["c_name"])
+
+
+@query(
+    "S4_cdc_decimal",
+    """
+WITH v AS (
+  SELECT o_orderkey, CAST(round(o_totalprice * 100) AS HUGEINT) * CASE WHEN o_orderkey % 3 = 1 THEN -1 ELSE 1 END AS cents,
+    o_custkey FROM orders
+), w AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 1 THEN cents * 18446744073709551616 + o_custkey ELSE cents END AS n FROM v
+), t AS (SELECT o_orderkey, n < 0 AS minus, lpad(CAST(abs(n) AS VARCHAR), CAST(greatest(3, length(CAST(abs(n) AS VARCHAR))) AS INT), '0') AS d FROM w)
+SELECT o_orderkey, CASE WHEN minus THEN '-' ELSE '' END || left(d, length(d) - 2) || '.' || right(d, 2) AS amount FROM t""",
+)
+def cdc_decimal(spark, sf_dir):
+    """Encoded amounts of a change feed: negative ones, and some wider than eight bytes."""
+    encoded = """base64(unhex(concat(lpad(hex(cents), 16, '0'), if(o_orderkey % 2 = 1, lpad(hex(bigint(o_custkey)), 16, '0'), ''))))"""
+    rows = ad.table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", "bigint(round(o_totalprice * 100)) * if(o_orderkey % 3 = 1, -1, 1) AS cents"
+    ).selectExpr("bigint(o_orderkey) AS o_orderkey", f"{encoded} AS total_amount")
+    feed = ad.envelope_lines(snapshot_to_envelope(rows, ad.SHOP_DB, "order_info").withColumn("seq", F.lit(0)))
+    after = F.col("after")
+    return fail_on_bad(feed, envelope("after")).select(
+        after["o_orderkey"].cast("bigint").alias("o_orderkey"), decode_cdc_decimal(after["total_amount"], 2).alias("amount")
+    )
 
 
 @query(

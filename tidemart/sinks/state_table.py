@@ -104,12 +104,13 @@ class StateTable:
     def _runs(self, state: dict, runs: list[dict]) -> DataFrame | None:
         from pyspark.sql.types import StructType
 
-        rows = None
+        if state["schema"] is None:
+            return None
+        kind, rows = StructType.fromJson(state["schema"]), None
         for i, run in enumerate(runs):
-            kind = StructType.fromJson(state["schema"])
             part = self.spark.read.schema(kind).parquet(f"{self.path}/{run['name']}").withColumn("_run", F.lit(i))
             rows = part if rows is None else rows.unionByName(part)
-        return rows
+        return self.spark.createDataFrame([], kind).withColumn("_run", F.lit(0)) if rows is None else rows
 
     def _folded(self, rows: DataFrame) -> DataFrame:
         """Rows of several runs (``_run``, ascending) to one row per key; a key has one row in a run at most."""
@@ -137,7 +138,8 @@ class StateTable:
             return False
         self.buckets = state["buckets"]
         last = self._last(rows, order)
-        runs = [*state["runs"], self._write(last)]
+        run = self._write(last)
+        runs = [*state["runs"], run] if run["rows"] else list(state["runs"])
         state["schema"] = state["schema"] or last.withColumn("_b", F.lit(0)).schema.jsonValue()
         while len(runs) > self.max_runs:
             at = min(range(len(runs) - 1), key=lambda i: runs[i]["rows"] + runs[i + 1]["rows"])
@@ -161,6 +163,20 @@ class StateTable:
         rows = self._folded(rows).drop("_b")
         return rows.filter(~F.coalesce(F.expr(deleted), F.lit(False))) if deleted else rows
 
+    def get(self, *key: object) -> DataFrame | None:
+        """The row of one key: one bucket is read, and the test of the key reaches its scan."""
+        state = self.current()
+        rows = self._runs(state, state["runs"])
+        if rows is None:
+            return None
+        kinds = [rows.schema[k].dataType for k in self.keys]
+        values = [F.lit(v).cast(t) for v, t in zip(key, kinds)]
+        bucket = self.spark.range(1).select(F.pmod(F.xxhash64(*values), F.lit(state["buckets"])).cast("int")).first()[0]
+        rows = rows.filter(F.col("_b") == bucket)
+        for k, v in zip(self.keys, values):
+            rows = rows.filter(F.col(k) == v)
+        return self._folded(rows).drop("_b")
+
     def vacuum(self, versions: int = 2) -> int:
         """Delete runs that none of the last pointer versions names: those of folded batches and of failed ones."""
         kept = {r["name"] for v in self.pointer.versions()[-versions:] for r in self.pointer.read(v)["runs"]}

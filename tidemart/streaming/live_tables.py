@@ -115,7 +115,7 @@ class LiveTables:
             parts = " UNION ALL ".join(
                 f"SELECT row_key, info, {i} AS run FROM parquet.`{r}` WHERE sink_table = '{db}:{name}' AND since = {since}"
                 for i, r in enumerate(runs)
-            )
+            ) or "SELECT '' AS row_key, cast(map() AS map<string, string>) AS info, 0 AS run WHERE false"
             spark.sql(
                 f"""CREATE OR REPLACE VIEW `{db}`.`{name}` AS
                 SELECT row_key, aggregate(array_sort(collect_list(struct(run, info)), (a, b) -> a.run - b.run), cast(map() AS map<string, string>),

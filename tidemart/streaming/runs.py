@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -35,3 +36,32 @@ def table_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     files = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     # a pattern may name a file as well as a folder, a plain path only a folder
     return spark.readStream.schema(files.schema).parquet(f"{sf_dir}/{table}.parque[t]")
+
+
+class EndedRun(RuntimeError):
+    """A run that was ended on purpose."""
+
+
+def ends_after_write(write):
+    """``write`` for a recovery drill: the first attempt of each batch ends between the sink's write and the commit."""
+    tried: set[int] = set()
+
+    def drill(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if batch_id not in tried:
+            tried.add(batch_id)
+            raise EndedRun(f"batch {batch_id} ended before its commit")
+
+    return drill
+
+
+def run_with_restarts(start, most: int = 100) -> int:
+    """Run ``start()`` (a fresh writer on the same checkpoint) to the end, over runs that were ended; their number."""
+    for ended in range(most):
+        try:
+            run_available(start())
+            return ended
+        except StreamingQueryException as fault:
+            if EndedRun.__name__ not in str(fault):
+                raise
+    raise RuntimeError(f"not through after {most} runs")
