@@ -33,8 +33,8 @@ RANK_BITS = 4
 SURPLUS = 12
 SIZE_STEPS = 8
 HOT_LIST = 50_000
-FLUSH = 2_000_000
-ENTRIES = 1 << 16
+FLUSH = 500_000
+ENTRIES = 1 << 15
 FREQUENT = 1 << 16
 FREQUENT_WORDS = 1 << 16
 BLOCK = 512
@@ -81,7 +81,7 @@ def rarity_order(docs: DataFrame, text: str) -> tuple:
                 shingle_runs += [np.unique(h[a:b]) for a, b in itertools.pairwise(bounds.tolist()) if b > a]
                 word_runs.append(hashes)
                 held += len(h)
-                if held > 3_000_000:
+                if held > 1_000_000:
                     yield from reports(shingle_runs, word_runs)
                     shingle_runs, word_runs, held = [], [], 0
         if held:
@@ -535,26 +535,67 @@ def class_links(docs: DataFrame, classes: DataFrame, order, key: str, text: str)
     first = W.partitionBy("lead", "zone").orderBy("sig")
     anchors = large.withColumn("at", F.row_number().over(first)).where(F.col("at") <= ANCHORS)
     anchors = anchors.select("lead", "zone", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("block"), "sig")
-    dealt = own.select("lead", "zone", "block", "sig").unionByName(anchors).distinct()
+    dealt = own.where("zone >= 0").select("lead", "zone", "block", "sig").unionByName(anchors).distinct()
 
     wanted = stored(alive.join(own.select("sig").distinct(), "sig", "left_semi").select("sig", "k"), "wanted")
     nodes = stored(sets_of(docs, wanted, order, key, text), "nodes")
 
+    edges = stored(family_links(own.where("zone < 0"), own, nodes, n_tasks), "links")
+    if not own.where("zone >= 0").limit(1).count():
+        return edges
+
     def inside(batches):
         for _, rows in _groups(batches, 3):
             if len(rows) > 1:
-                names = [r[0] for r in rows]
-                roots = block_links([np.frombuffer(r[1], np.uint64) for r in rows])
-                yield _edges([(names[i], names[r]) for i, r in enumerate(roots) if i != r])
+                yield _rooted([r[0] for r in rows], [np.frombuffer(r[1], np.uint64) for r in rows])
 
     blocks = dealt.join(nodes, "sig").select("lead", "zone", "block", "sig", "keys")
     blocks = blocks.repartition(n_tasks, "lead", "zone", "block").sortWithinPartitions("lead", "zone", "block")
-    edges = stored(blocks.mapInArrow(inside, "a long, b long"), "links")
-    if not own.where("zone >= 0").limit(1).count():
-        return edges
+    edges = edges.unionByName(stored(blocks.mapInArrow(inside, "a long, b long"), "links"))
     return edges.unionByName(far_links(own, nodes, smallest_reachable(edges), n_tasks))
 
 
+def _rooted(names: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+    """Edges from the sets of a block to the first ones they are tied to."""
+    return _edges([(names[i], names[r]) for i, r in enumerate(block_links(sets)) if i != r])
+
+
+def family_links(small: DataFrame, members: DataFrame, nodes: DataFrame, n_tasks: int) -> DataFrame:
+    """Links inside the families of one block, with each set sent once for all of its families in a home.
+
+    The home of a family is the smallest lead among the families that its lead is a
+    member of: sets that are alike are in each other's families, which so come
+    together. A home is cut by lead into parts of a bounded number of rows. A family
+    that lies within another one of its part has no link of its own.
+    """
+    homes = members.groupBy(F.col("sig").alias("lead")).agg(F.min("lead").alias("home"))
+    rows = small.select("lead", "sig").join(homes, "lead", "left").withColumn("home", F.coalesce("home", "lead"))
+    parts = rows.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / (2 * BLOCK)).alias("parts"))
+    rows = rows.join(parts, "home").withColumn("part", F.pmod(F.xxhash64("lead"), "parts").cast("int"))
+    # the families of one set in one part are no more than the rows of the part
+    sent = rows.groupBy("home", "part", "sig").agg(F.collect_list("lead").alias("leads")).join(nodes, "sig")
+
+    def inside(batches):
+        for _, own in _groups(batches, 2):
+            sets = {name: np.frombuffer(keys, np.uint64) for name, _, keys in own}
+            families: dict[int, set[int]] = {}
+            for name, leads, _ in own:
+                for lead in leads:
+                    families.setdefault(lead, set()).add(name)
+            done: dict[int, list[set[int]]] = {}
+            for family in sorted(families.values(), key=len, reverse=True):
+                some = min(family, key=lambda name: len(done.get(name, ())))
+                if len(family) < 2 or any(family <= other for other in done.get(some, ())):
+                    continue
+                for name in family:
+                    done.setdefault(name, []).append(family)
+                names = sorted(family)
+                yield _rooted(names, [sets[name] for name in names])
+
+    sent = sent.select("home", "part", "sig", "leads", "keys").repartition(n_tasks, "home", "part")
+    return sent.sortWithinPartitions("home", "part").mapInArrow(inside, "a long, b long")
+
+
 def far_links(own: DataFrame, nodes: DataFrame, roots: DataFrame, n_tasks: int) -> DataFrame:
     """Links between the blocks of large families, where their members are not tied together yet.
 
