@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.applog import record_text
 from tidemart.operators.parse import log_rows
-from tidemart.operators.visitor import repair_log, repair_visitors, visitor_states
-from tidemart.sinks.upsert import read_upsert
+from tidemart.operators.visitor import CHUNK_MS, _prepared, event_cuts, repair_log, repair_visitors, visitor_states
+from tidemart.sinks.state_table import StateTable
 from tidemart.streaming.runs import run_available
 from tidemart.streaming.visitor import repair_visitor_stream, visitor_batches
 
@@ -146,5 +146,23 @@ def test_state_table_over_batches(spark, tmp_path, rule):
         part = rows[batch_id * 300 : (batch_id + 1) * 300]
         write(spark.createDataFrame(part, SCHEMA), batch_id)
     assert {r.seq: r.is_new for r in spark.read.parquet(out).collect()} == want
-    left = read_upsert(spark, state, ["mid"])
+    left = StateTable(spark, state, ["mid"]).read()
     assert {r.mid: r.d.isoformat() for r in left.collect()} == states
+
+
+@pytest.mark.parametrize("rule", ["as_coded", "as_documented"])
+def test_event_time_chunks_are_bounded(spark, rule):
+    """Nine tenths of the rows are one device's, in ten minutes, a third of those in one millisecond."""
+    rng, rows, bound = random.Random(11), [], 40
+    for seq in range(1500):
+        hot = rng.random() < 0.9
+        ts = BASE + DAY - 300_000 + (rng.randrange(600_000) if rng.random() < 0.67 else 299_999)
+        rows.append((seq, "hot" if hot else f"m{seq % 7}", rng.choice(["0", "1", None]), ts if hot else BASE + rng.randrange(5 * DAY)))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    want, states = expected(rows, rule, key=lambda r: (r[3], r[0]))
+    got = repair_visitors(df, rule=rule, order="event_time", bound=bound)
+    assert {r.seq: r.is_new for r in got.collect()} == want
+    known = visitor_states(df, rule=rule, order="event_time", bound=bound)
+    assert {r.mid: str(r.d) for r in known.collect()} == states
+    chunks = _prepared(df, "event_time", "UTC", None, event_cuts(df, CHUNK_MS, bound), bound).groupBy("mid", "_chunk").count()
+    assert chunks.agg(F.max("count")).first()[0] <= 2 * bound

@@ -17,16 +17,38 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidemart.functions.dates import DAY_MS, local_date
 from tidemart.operators.applog import field, set_flag
+from tidemart.operators.joins import join_small
 
 CHUNK_ROWS = 1_000_000
 CHUNK_MS = 600_000
 
 
-def _prepared(df: DataFrame, order: str, tz: str, chunk_size: int | None) -> DataFrame:
+def event_cuts(df: DataFrame, chunk_ms: int, bound: int) -> DataFrame:
+    """(mid, ts, cut, own) for the windows of ``chunk_ms`` in which a device has more than ``bound`` rows.
+
+    Rows are counted per window, and only in windows over the bound per time. The
+    times of a window are cut where their running count passes the bound; a time
+    that is over the bound alone (``own``) is a cut of its own, to be cut by arrival.
+    """
+    rows = df.select("mid", "ts").filter(_usable()).withColumn("_w", F.expr(f"ts div {chunk_ms}"))
+    full = rows.groupBy("mid", "_w").count().filter(F.col("count") > bound).select("mid", "_w")
+    times = join_small(rows, full, ["mid", "_w"]).groupBy("mid", "_w", "ts").count()
+    # a window has at most chunk_ms times
+    before = Window.partitionBy("mid", "_w").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
+    upto = F.coalesce(F.sum("count").over(before), F.lit(0))
+    return times.select("mid", "ts", F.floor(upto / bound).alias("cut"), (F.col("count") > bound).alias("own"))
+
+
+def _prepared(
+    df: DataFrame, order: str, tz: str, chunk_size: int | None, cuts: DataFrame | None = None, bound: int = CHUNK_ROWS
+) -> DataFrame:
     if order == "seq":
         rank, chunk = "seq", f"seq div {chunk_size or CHUNK_ROWS}"
     elif order == "event_time":
-        rank, chunk = "struct(ts, seq)", f"ts div {chunk_size or CHUNK_MS}"
+        rank, window = "struct(ts, seq)", f"ts div {chunk_size or CHUNK_MS}"
+        chunk = f"struct({window} AS w, coalesce(cut, 0L) AS cut, coalesce(own, false) AS own, if(own, seq div {bound}, 0L) AS at)"
+        none = {"cut": F.lit(0).cast("bigint"), "own": F.lit(False)}
+        df = df.withColumns(none) if cuts is None else join_small(df, cuts, ["mid", "ts"], "left")
     else:
         raise ValueError(f"unknown order {order!r}")
     return df.select(
@@ -110,12 +132,13 @@ def _usable() -> Column:
 
 
 def _chained(
-    df: DataFrame, rule: str, order: str, tz: str, chunk_size: int | None, initial: DataFrame | None
+    df: DataFrame, rule: str, order: str, tz: str, chunk_size: int | None, initial: DataFrame | None,
+    cuts: DataFrame | None = None, bound: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Per (device, chunk): the state it starts with and the one it leaves behind."""
     summarise, chain, _ = RULES[rule]
     rows = df.select("mid", "is_new", "ts", "seq").filter(_usable())
-    summary = summarise(_prepared(rows, order, tz, chunk_size))
+    summary = summarise(_prepared(rows, order, tz, chunk_size, cuts, bound))
     if initial is None:
         known = summary.withColumn("_init", F.lit(None).cast("date"))
     else:
@@ -131,19 +154,25 @@ def repair_visitors(
     chunk_size: int | None = None,
     narrow: DataFrame | None = None,
     initial: DataFrame | None = None,
+    bound: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Rewrite ``is_new`` of ``df(mid, is_new, ts, seq, ...)``.
 
+    A chunk is ``chunk_size`` arrival numbers, or milliseconds with
+    ``order="event_time"``; there, a window in which a device has more than ``bound``
+    rows is cut further, so that no chunk holds more than twice the bound.
+
     ``seq`` is a unique number in arrival order. ``narrow`` may be a cheaper frame
     with the same four columns of the same rows; the summaries are taken from it.
     ``initial(mid, d)`` gives states to start from. Rows without a device or a time
     pass through unchanged.
     """
     source = df if narrow is None else narrow
-    carry = _chained(source, rule, order, tz, chunk_size, initial)
+    cuts = event_cuts(source, chunk_size or CHUNK_MS, bound) if order == "event_time" else None
+    carry = _chained(source, rule, order, tz, chunk_size, initial, cuts, bound)
     carry = carry.filter(F.col("_carry").isNotNull()).select("mid", "_chunk", "_carry")
 
-    rows = _prepared(df, order, tz, chunk_size).join(carry, ["mid", "_chunk"], "left")
+    rows = _prepared(df, order, tz, chunk_size, cuts, bound).join(carry, ["mid", "_chunk"], "left")
     rows = RULES[rule][2](rows)
     stale = _usable() & F.col("_one") & (F.col("_state") != F.col("_day"))
     return rows.withColumn(
@@ -158,9 +187,11 @@ def visitor_states(
     tz: str = "UTC",
     chunk_size: int | None = None,
     initial: DataFrame | None = None,
+    bound: int = CHUNK_ROWS,
 ) -> DataFrame:
     """(mid, d): the state of every device in ``df`` after its last record."""
-    chained = _chained(df, rule, order, tz, chunk_size, initial)
+    cuts = event_cuts(df, chunk_size or CHUNK_MS, bound) if order == "event_time" else None
+    chained = _chained(df, rule, order, tz, chunk_size, initial, cuts, bound)
     last = chained.groupBy("mid").agg(F.max_by("_after", "_chunk").alias("d"))
     return last.filter(F.col("d").isNotNull())
 

@@ -214,6 +214,13 @@ def new_visitor_event_time(spark, sf_dir):
     return repair_visitors(keyed(spark, sf_dir), order="event_time").select("seq", "mid", "is_new")
 
 
+@query("N1_new_visitor_event_cuts", sql.visitor("ts, seq"))
+def new_visitor_event_cuts(spark, sf_dir):
+    """The same with windows of half a year that are cut where a device has more than three rows."""
+    rows = keyed(spark, sf_dir)
+    return repair_visitors(rows, order="event_time", chunk_size=180 * 86_400_000, bound=3).select("seq", "mid", "is_new")
+
+
 @query(
     "N1_log_split",
     sql.visitor("seq").replace(
