@@ -7,6 +7,8 @@ text column as its bytes and row offsets without making Python strings.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -65,6 +67,16 @@ def pieces_of(batch: pa.RecordBatch, text: int | str = "text", limit: int = SLIC
         start = stop
 
 
+def kept_in_worker(name: str) -> dict:
+    """A dictionary that stays in a worker process from task to task.
+
+    Functions come to a worker by value, with new module variables for each task;
+    a module of the process's own outlives them.
+    """
+    held = sys.modules.setdefault("_tidemart_kept", types.ModuleType("_tidemart_kept"))
+    return held.__dict__.setdefault(name, {})
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser over 64 bits: every input bit reaches every output bit."""
     h = h ^ (h >> np.uint64(33))

@@ -21,11 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm.ranges import bucket_of, cut_points, default_ranges, order_key, whole_key
-from tidemart.llm.texts import pieces_of
+from tidemart.llm.texts import kept_in_worker, pieces_of
 
 CACHE_ENTRIES = 400_000
 CACHE_LONGEST = 48
@@ -144,20 +144,24 @@ class Remembered:
         return b"".join([self.known[c] if c in self.known else self.long[c] for c in chunks])
 
 
-_encoders: dict[tuple, ChunkEncoder] = {}
-
-
 def chunk_encoder(*how) -> ChunkEncoder:
-    """One encoder for each worker process."""
-    if how not in _encoders:
-        _encoders[how] = ChunkEncoder(*how)
-    return _encoders[how]
+    """One encoder for each worker process, with what it remembers."""
+    encoders = kept_in_worker("encoders")
+    if how not in encoders:
+        encoders[how] = ChunkEncoder(*how)
+    return encoders[how]
 
 
 def token_dtype(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the file system that Spark itself writes it to."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found).toString()
+
+
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     """The store of a path: an URI names it, a plain path is the shared folder's."""
     if "://" in path or path.startswith("file:"):
@@ -209,6 +213,7 @@ def write_token_files(
     dtype = token_dtype(max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), (end_id or 0) + 1))
     width = np.dtype(dtype).itemsize
     end = b"" if end_id is None else np.array([end_id], dtype).tobytes()
+    path = qualified(docs.sparkSession, path)
     store, root = filesystem(path)
     store.create_dir(root, recursive=True)
     parts = parts or default_ranges(docs)
