@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
 from tidemart.llm.pieces import PieceModel, encode_pieces
+from tidemart.llm.ranges import bucket_of, cut_points
 from tidemart.llm.token_counts import UnigramCounter, count_tokens, vocabulary
-from tidemart.llm.token_files import ChunkEncoder, TokenPart, read_token_files, write_token_files
+from tidemart.llm.token_files import ChunkEncoder, TokenPart, qualified, read_token_files, write_token_files
 from tests.llm.tables import odd_documents, texts_of
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -114,3 +115,26 @@ def test_empty_tables(spark, tmp_path):
     assert encode_pieces(none, PIECES).count() == 0
     assert count_tokens(none, PIECES).count() == 0
     assert read_token_files(write_token_files(none, str(tmp_path / "e"), WORDS, end_id=1)).count() == 0
+
+
+def test_ranges_follow_their_number(spark):
+    rows = spark.range(60_000).selectExpr("cast(id * 7 % 60000 AS long) AS k")
+    for n in (2, 7, 600):
+        cuts = cut_points(rows, "k", n)
+        placed = rows.select(bucket_of(F.col("k"), cuts).alias("b")).groupBy("b").count().collect()
+        assert len(placed) == n == len(cuts) + 1
+        assert max(r["count"] for r in placed) <= 1.3 * 60_000 / n
+    values = [-5, 0, 3, 4, 9, 10, 11, None]
+    some = spark.createDataFrame([(v,) for v in values], "k long")
+    for cuts in ([], [3], [0, 3, 9, 10], list(range(-4, 12))):
+        got = [r.b for r in some.select(bucket_of(F.coalesce("k", F.lit(-(1 << 63))), cuts).alias("b")).collect()]
+        assert got == [sum(c < (-(1 << 63) if v is None else v) for c in cuts) for v in values]
+
+
+def test_plain_paths_get_the_default_file_system(spark, tmp_path):
+    assert qualified(spark, str(tmp_path)).startswith("file:/")
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(5)], "doc_id long, text string")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    parts = write_token_files(docs, str(tmp_path / "t"), path, parts=2)
+    assert {r.path for r in parts.collect()} == {qualified(spark, str(tmp_path / "t"))}
+    assert read_token_files(parts).count() == 5
