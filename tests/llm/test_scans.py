@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -205,3 +206,13 @@ def test_word_hashes_equal_a_plain_chain():
         words = ["".join(rng.choice("abcé9") for _ in range(n)) for n in lengths]
         got = Words(*utf8(pa.array([" ".join(words), None, "", words[0].upper().replace("É", "é")]))).hashes().tolist()
         assert got == [chained(w) for w in [*words, words[0]]]
+
+
+def test_hosts_of_many_labels(spark):
+    host = "a." * 20_000 + "example.net"
+    urls = spark.createDataFrame([(1, f"http://{host}/en/x"), (2, "http://x..net/"), (3, f"http://{host}x/")], "page_id int, url string")
+    rules = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "a.example.net", "/en/x")]
+    start = time.perf_counter()
+    got = {r.page_id: (r.rule, r.verdict) for r in judge_urls(urls, rules).collect()}
+    assert got == {1: ("a.example.net/en/x", "block"), 2: ("net/", "block"), 3: (None, "allow")}
+    assert time.perf_counter() - start < 30

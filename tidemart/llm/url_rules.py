@@ -62,8 +62,8 @@ def judge_urls(
 ) -> DataFrame:
     """One row per row of ``urls``: key, host, path, rule and verdict.
 
-    Each URL is expanded into the suffixes of its host, label by label, times the
-    prefixes of its path at the lengths that rule paths have. The expressions
+    Each URL is expanded into the suffixes of its host, at the numbers of labels that
+    rule hosts have, times the prefixes of its path at the lengths that rule paths have. The expressions
     meet the rules by an equality join on four digest bytes; the full digest then
     confirms, and the longest rule wins (among equal ones the longer host, then
     ``block``). Without a rule the verdict is ``default``. The join side of the
@@ -81,11 +81,9 @@ def judge_urls(
     # repeated rows are folded first and unfolded at the end
     rows = urls.select(F.col(key).alias("k"), F.col(url).alias("u")).groupBy("k", "u").agg(F.count(F.lit(1)).alias("times"))
     rows = rows.select("k", "u", "times", url_host(F.col("u")).alias("host"), url_path(F.col("u")).alias("path"))
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
-    )
+    # only suffixes with as many labels as some rule's host: the work does not grow with the number of labels of a url
+    labels = sorted({len(r.host.split(".")) for r in rules})
+    suffixes = F.array(*[F.substring_index("host", ".", -n) for n in labels]).cast("array<string>")
     whole = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
     prefixes = F.transform(
         F.filter(whole, lambda n: n <= F.length("path")),
