@@ -143,6 +143,9 @@ def left_out(v: np.ndarray, c: np.ndarray, cosines: np.ndarray) -> np.ndarray:
     return np.maximum(out.max(1), 0)
 
 
+RANKED_PARTS = 64
+
+
 def fit_centroids(
     docs: DataFrame,
     learns: Column,
@@ -165,10 +168,12 @@ def fit_centroids(
     rows = docs.where(learns & F.col(lang).isNotNull() & F.col(text).isNotNull())
     n, df = document_frequencies(rows, text)
     idf = np.log((1 + n) / (1 + df)) + 0.1
-    # only keys and hashes are ranked, and at most per_language rows a language and task leave it
-    first = W.partitionBy("lang").orderBy("h", "k")
-    ranked = rows.select(F.col(lang).alias("lang"), F.col(key).alias("k"), F.xxhash64(key, text).alias("h"))
-    picked = ranked.withColumn("at", F.row_number().over(first)).where(F.col("at") <= per_language)
+    # only keys and hashes are ranked: first in each part of a language, so that the last step has a bounded number of rows
+    picked = rows.select(F.col(lang).alias("lang"), F.col(key).alias("k"), F.xxhash64(key, text).alias("h"))
+    picked = picked.withColumn("part", F.pmod("h", F.lit(RANKED_PARTS)))
+    for by in (("lang", "part"), ("lang",)):
+        first = W.partitionBy(*by).orderBy("h", "k")
+        picked = picked.withColumn("at", F.row_number().over(first)).where(F.col("at") <= per_language)
     picked = picked.select("lang", "h").distinct()
     sample = rows.select(F.col(lang).alias("lang"), F.xxhash64(key, text).alias("h"), F.col(text).alias("text"))
     sample = sample.join(picked, ["lang", "h"], "left_semi")
