@@ -21,6 +21,8 @@ from tidemart.operators.joins import join_small
 
 CHUNK_ROWS = 1_000_000
 CHUNK_MS = 600_000
+# Of an order of arrival in text: path and split of a file, or the offset without its last six digits.
+ARRIVAL_CHUNK = "if(contains(seq, '\u0001'), substring_index(seq, '\u0001', 2), substring(seq, 1, 13))"
 
 
 def event_cuts(df: DataFrame, chunk_ms: int, bound: int) -> DataFrame:
@@ -44,6 +46,8 @@ def _prepared(
 ) -> DataFrame:
     if order == "seq":
         rank, chunk = "seq", f"seq div {chunk_size or CHUNK_ROWS}"
+    elif order == "arrival":
+        rank, chunk = "seq", ARRIVAL_CHUNK
     elif order == "event_time":
         rank, window = "struct(ts, seq)", f"ts div {chunk_size or CHUNK_MS}"
         chunk = f"struct({window} AS w, coalesce(cut, 0L) AS cut, coalesce(own, false) AS own, if(own, seq div {bound}, 0L) AS at)"
@@ -158,7 +162,8 @@ def repair_visitors(
 ) -> DataFrame:
     """Rewrite ``is_new`` of ``df(mid, is_new, ts, seq, ...)``.
 
-    A chunk is ``chunk_size`` arrival numbers, or milliseconds with
+    ``order`` is ``seq`` (numbers), ``arrival`` (texts of ``topic_stream``) or
+    ``event_time``. A chunk is ``chunk_size`` arrival numbers, or milliseconds with
     ``order="event_time"``; there, a window in which a device has more than ``bound``
     rows is cut further, so that no chunk holds more than twice the bound.
 

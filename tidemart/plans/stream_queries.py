@@ -19,7 +19,7 @@ from tidemart.operators.applog import field
 from tidemart.sources.topics import append_segment, change_table, topic_stream
 from tidemart.streaming import watermarks
 from tidemart.streaming.jobs import (
-    KEY_FIELDS, audit_batches, audit_table, dim_batches, dim_table, fact_batches, repaired_log, sink_all, split_log,
+    KEY_FIELDS, audit_batches, audit_table, dim_batches, dim_table, fact_batches, log_batches, repaired_log, sink_all, split_log,
 )
 from tidemart.streaming.runs import ends_after_write, file_run, run_available, run_with_restarts, table_stream
 from tidemart.streaming.visitor import visitor_batches
@@ -107,29 +107,26 @@ _REPAIRED = sql.visitor("seq").replace(
 ) + ")"
 
 
-@query(
-    "K3_stream_fanout",
-    _REPAIRED + """
+_SENT = _REPAIRED + """
 , x AS (SELECT al.*, 'sid_' || al.seq AS sid, r.is_new AS flag FROM al JOIN r ON al.seq = r.seq)
 SELECT 'log_err' AS topic, NULL AS sid, NULL AS is_new, 'msg_' || k AS what FROM x WHERE event_type = 'error'
 UNION ALL SELECT 'log_start', sid, flag, 'icon' FROM x WHERE event_type = 'signup'
 UNION ALL SELECT 'log_page', sid, flag, event_type FROM x WHERE event_type <> 'signup'
 UNION ALL SELECT 'log_display', sid, flag, CAST(k + i AS VARCHAR) FROM (SELECT *, unnest(range(nd)) AS i FROM x WHERE nd > 0)
-UNION ALL SELECT 'log_action', sid, flag, CAST(k + i AS VARCHAR) FROM (SELECT *, unnest(range(na)) AS i FROM x WHERE na > 0)""",
-)
-def stream_fanout(spark, sf_dir):
-    """The log job on a topic folder: order of arrival, parse, repair with keyed state, split, one folder per topic.
+UNION ALL SELECT 'log_action', sid, flag, CAST(k + i AS VARCHAR) FROM (SELECT *, unnest(range(na)) AS i FROM x WHERE na > 0)"""
 
-    Three segments are added one after the other, each read by a run that starts from the checkpoint of the one before.
-    """
-    topic, path, checkpoint = (work_path(spark, f"k3s-{n}") for n in ("topic", "out", "checkpoint"))
-    sent = lines(spark, sf_dir)
+
+def in_three_segments(spark: SparkSession, sf_dir: str, name: str, start) -> None:
+    """Log lines added to a topic folder in three segments, each read by a run ``start(ordered lines)`` of its own."""
+    topic, sent = work_path(spark, name), lines(spark, sf_dir)
     cuts = sent.agg(F.percentile_approx("seq", [0.3, 0.6], 1000)).first()[0]
     part = F.when(F.col("seq") <= cuts[0], 0).when(F.col("seq") <= cuts[1], 1).otherwise(2)
     for number in range(3):
         append_segment(sent.filter(part == number), topic, number)
-        found = topic_stream(spark, "log", format="text", path=f"{topic}/*", ordered=True)
-        run_available(topic_sink(split_log(found), checkpoint, format="text", path=path))
+        run_available(start(topic_stream(spark, "log", format="text", path=f"{topic}/*", ordered=True)))
+
+
+def sent_messages(spark: SparkSession, path: str) -> DataFrame:
     text = F.col("value")
     what = [F.get_json_object(text, f"$.{p}") for p in ("display.item", "action.item", "start.entry", "page.page_id", "msg")]
     return spark.read.text(path).select(
@@ -138,6 +135,26 @@ def stream_fanout(spark, sf_dir):
     )
 
 
+@query("K3_stream_fanout", _SENT)
+def stream_fanout(spark, sf_dir):
+    """The log job on a topic folder: order of arrival, parse, repair with keyed state, split, one folder per topic.
+
+    Three micro-batches, each from the checkpoint of the one before.
+    """
+    path, checkpoint = work_path(spark, "k3s"), work_path(spark, "k3s-checkpoint")
+    in_three_segments(spark, sf_dir, "k3s-topic", lambda found: topic_sink(split_log(found), checkpoint, format="text", path=path))
+    return sent_messages(spark, path)
+
+
+@query("K3_stream_fanout_table", _SENT)
+def stream_fanout_table(spark, sf_dir):
+    """The same with the dates in a state table and the chunked repair in each batch, all on the JVM side."""
+    path, states, checkpoint = (work_path(spark, f"k3t-{n}") for n in ("out", "states", "checkpoint"))
+    write = log_batches(path, states)
+    in_three_segments(spark, sf_dir, "k3t-topic", lambda found: sink_all(found, checkpoint, write))
+    return sent_messages(spark, path)
+
+
 @query("T2_stream_dim_load", UPSERTED)
 def stream_dim_load(spark, sf_dir):
     """The dimension job: each batch meets the live configuration and is upserted."""

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tidemart.operators.applog import fan_out, set_flag
 from tidemart.operators.envelope import audit_rows
 from tidemart.operators.parse import app_log_rows, log_rows
+from tidemart.operators.visitor import repair_log, visitor_states
 from tidemart.operators.routing import config_columns, dim_route, fact_route, live_config
 from tidemart.schemas import CONFIG_DIM_COLUMNS, CONFIG_DWD_COLUMNS
 from tidemart.sinks.topics import send_batch
@@ -39,6 +40,36 @@ def split_log(
     return fan_out(repaired_log(lines, rule, tz), topics)
 
 
+def log_batches(path: str, state_path: str, topics: dict[str, str] | None = None, buckets: int = 32, **options):
+    """A ``foreachBatch`` function for log lines ``(seq, value)``: the whole log job on the JVM side.
+
+    The flag repair runs in its chunked form, with the dates of the devices in a
+    state table of which a batch reads its own buckets, so a device that fills a
+    batch is spread over many tasks. A batch has its own folder of messages, one
+    folder per topic; it writes them, then the states, and a replay after that
+    does nothing. ``options`` go to ``repair_visitors``.
+    """
+    options = {"order": "arrival", **options}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table = StateTable(batch.sparkSession, state_path, ["mid"], buckets)
+        if table.applied(batch_id):
+            return
+        lines = batch.select("seq", "value").persist()
+        try:
+            keyed = app_log_rows(lines, KEY_FIELDS).select(
+                "seq", "ts", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new")
+            )
+            initial = table.read(of=keyed.select("mid").filter("mid IS NOT NULL"))
+            fixed = repair_log(log_rows(lines).drop("value"), narrow=keyed, initial=initial, **options)
+            send_batch(fan_out(fixed, topics), format="text", path=f"{path}/batch_id={batch_id}", mode="overwrite")
+            table.put(visitor_states(keyed, initial=initial, **options), batch_id, ["d"])
+        finally:
+            lines.unpersist()
+
+    return write
+
+
 def dim_table(spark: SparkSession, path: str) -> StateTable:
     """The dimension rows of all sink tables; cells are put one by one."""
     return StateTable(spark, path, ["sink_table", "row_key"], cells="info")
