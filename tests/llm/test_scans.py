@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm import fingerprints as fp, texts
 from tidemart.llm.decontaminate import drop_leaks, find_leaks
-from tidemart.llm.licenses import BASE, Template, scan_licenses
+from tidemart.llm.licenses import BASE, KNOWN, Template, scan_licenses
 from tidemart.llm.queries import ORACLES, QUERIES
 from tidemart.llm.texts import Words, mix, utf8
 from tidemart.llm.url_rules import Rule, judge_urls
@@ -54,6 +54,43 @@ def test_license_spans_survive_edits(spark):
     assert [(r.doc_id, r.first_word, r.labels) for r in own] == [(2, 2, "x")]
 
 
+def plain_scan(words, template, least=0.6, shift=3):
+    """Largest share of one chain of diagonals, and the exact places, of one template."""
+    own, diagonals = template.words.split(), {}
+    for at in range(len(own) - 2):
+        for i in range(len(words) - 2):
+            if words[i : i + 3] == own[at : at + 3]:
+                diagonals.setdefault(i - at, set()).add(at)
+    runs, chains, last = len(own) - 2, [], None
+    for d in sorted(diagonals):
+        if last is None or template.exact or d - last > shift:
+            chains.append(set())
+        chains[-1] |= diagonals[d]
+        last = d
+    shares = [len(c) / runs for c in chains]
+    return [s for s in shares if s == 1 or (s >= least and not template.exact)]
+
+
+def test_license_bodies_of_any_length(spark):
+    rng, rows = random.Random(4), [(0, None), (1, "")]
+    long = [t for t in KNOWN if len(t.words.split()) > 64]
+    assert len(long) >= 2
+    for i, t in enumerate([*KNOWN, *long, Template("x", " ".join(f"w{n % 90}" for n in range(300)))]):
+        for changes in (0, 2, 9):
+            words = t.words.split()
+            for _ in range(changes):
+                at = rng.randrange(len(words))
+                words[at : at + rng.randint(0, 1)] = ["changed"] * rng.randint(0, 2)
+            rows.append((len(rows), " ".join(["Some", "text."] * rng.randint(0, 3) + words).title()))
+    templates = (*BASE, *KNOWN, Template("x", " ".join(f"w{n % 90}" for n in range(300))))
+    got = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id int, text string"), templates).collect()}
+    for key, text in rows:
+        words = WORD.findall((text or "").lower())
+        shares = {t: plain_scan(words, t) for t in templates}
+        assert got[key].labels == ",".join(sorted({t.label for t, s in shares.items() if s}))
+        assert got[key].score == pytest.approx(max((x for s in shares.values() for x in s), default=0.0))
+
+
 def test_license_plan_is_native(spark):
     plan = QUERIES["op5_license_scan"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan) and "BroadcastHashJoin" in plan

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 GRAM = 3
-MAX_TEMPLATE_WORDS = 64
 MAX_BROADCAST_GRAMS = 100_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -32,7 +31,7 @@ BASE = (
     Template("cc-by-nc", "cc by nc", True),
 )
 
-# Openings of public license texts and the ways they are named.
+# Openings and bodies of public license texts and the ways they are named.
 KNOWN = (
     Template(
         "mit",
@@ -62,6 +61,42 @@ KNOWN = (
         "mpl-2",
         "this source code form is subject to the terms of the mozilla public license v 2 0",
     ),
+    Template(
+        "mit",
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the "
+        "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or "
+        "copyright holders be liable for any claim damages or other liability whether in an action of contract tort or "
+        "otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    ),
+    Template(
+        "apache-2",
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an "
+        "as is basis without warranties or conditions of any kind either express or implied see the license for the specific "
+        "language governing permissions and limitations under the license",
+    ),
+    Template(
+        "bsd",
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties "
+        "including but not limited to the implied warranties of merchantability and fitness for a particular purpose are "
+        "disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special "
+        "exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of "
+        "use data or profits or business interruption however caused and on any theory of liability whether in contract strict "
+        "liability or tort including negligence or otherwise arising in any way out of the use of this software even if "
+        "advised of the possibility of such damage",
+    ),
+    Template(
+        "gpl",
+        "this program is distributed in the hope that it will be useful but without any warranty without even the implied "
+        "warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details",
+    ),
+    Template(
+        "isc",
+        "the software is provided as is and the author disclaims all warranties with regard to this software including all "
+        "implied warranties of merchantability and fitness in no event shall the author be liable for any special direct "
+        "indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an "
+        "action of contract negligence or other tortious action arising out of or in connection with the use or performance "
+        "of this software",
+    ),
     Template("gpl", "under the gnu general public license"),
     Template("cc-by-nc", "creative commons attribution noncommercial"),
     Template("cc-by", "creative commons attribution 4 0 international license"),
@@ -99,8 +134,8 @@ def template_grams(spark, templates: Sequence[Template]) -> DataFrame:
     rows = [(MARK, "", False, [])]
     for i, t in enumerate(templates):
         words = t.words.split()
-        if not GRAM <= len(words) <= MAX_TEMPLATE_WORDS:
-            raise ValueError(f"a template has {GRAM} to {MAX_TEMPLATE_WORDS} words: {t.label}")
+        if len(words) < GRAM:
+            raise ValueError(f"a template has {GRAM} words at least: {t.label}")
         rows.append((i, t.label, t.exact, words))
     table = spark.createDataFrame(rows, "template int, label string, exact boolean, template_words array<string>")
     table = table.withColumn("runs", F.greatest(F.size("template_words") - GRAM + 1, F.lit(1)))
@@ -150,23 +185,28 @@ def scan_licenses(
         "k", "t", "template", "label", "exact", "runs",
         F.size("words").alias("n_words"),
         (place - F.col("at")).alias("diagonal"),
-        F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at")).alias("met"),
+        # positions met, 64 to a row
+        F.floor(F.col("at") / 64).alias("slot"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at") % 64).alias("met"),
     )
     # few rows are left: one exchange by document serves all that follows
     hits = hits.repartition("k", "t")
-    diagonals = hits.groupBy("k", "t", "template", "label", "exact", "runs", "diagonal").agg(
+    diagonals = hits.groupBy("k", "t", "template", "label", "exact", "runs", "diagonal", "slot").agg(
         F.bit_or("met").alias("met"), F.count(F.lit(1)).alias("rows"), F.max("n_words").alias("n_words")
     )
     order = W.partitionBy("k", "t", "template").orderBy("diagonal")
-    apart = F.col("diagonal") - F.lag("diagonal").over(order) > shift
-    diagonals = diagonals.withColumn(
-        "chain", F.sum(F.when(F.col("exact") | apart, 1).otherwise(0)).over(order)
-    )
-    spans = diagonals.groupBy("k", "t", "template", "label", "exact", "runs", "chain").agg(
+    step = F.col("diagonal") - F.lag("diagonal").over(order)
+    apart = step > F.when(F.col("exact"), 0).otherwise(shift)
+    diagonals = diagonals.withColumn("chain", F.sum(F.when(apart, 1).otherwise(0)).over(order))
+    slots = diagonals.groupBy("k", "t", "template", "label", "exact", "runs", "chain", "slot").agg(
         F.bit_or("met").alias("met"), F.min("diagonal").alias("start"), F.max("rows").alias("rows"),
         F.max("n_words").alias("n_words"),
     )
-    share = F.bit_count("met") / F.col("runs")
+    spans = slots.groupBy("k", "t", "template", "label", "exact", "runs", "chain").agg(
+        F.sum(F.bit_count("met")).alias("met"), F.min("start").alias("start"), F.max("rows").alias("rows"),
+        F.max("n_words").alias("n_words"),
+    )
+    share = F.col("met") / F.col("runs")
     mark = F.col("template") == MARK
     spans = spans.withColumn("share", F.when(mark, 0.0).otherwise(share))
     exact = F.col("exact") & (F.col("share") == 1) & ~mark
