@@ -253,3 +253,26 @@ def test_hosts_of_many_labels(spark):
     got = {r.page_id: (r.rule, r.verdict) for r in judge_urls(urls, rules).collect()}
     assert got == {1: ("a.example.net/en/x", "block"), 2: ("net/", "block"), 3: (None, "allow")}
     assert time.perf_counter() - start < 30
+
+
+@pytest.mark.parametrize("consistent", [True, False])
+def test_items_without_a_window(spark, consistent):
+    items = ["Paris forever", "Photosynthesis", "12 kg 15 m", "", None, "1 2 3 4 5 6 7", "three plain words here"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts_ = [
+        "paris, FOREVER!", "Photosynthesis.", "12 kg; 15 m", "13 kg 15 m", "Paris", "forever paris", "Photosynthesis is more", "", None,
+        "(1) 2 3 4 5 6 7", "1 2 3 4 5 6", "three plain words here", "... Paris ... forever ...", " ",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.share) for r in find_leaks(docs, bench, consistent=consistent).collect()}
+    assert got == {(0, 0, 1.0), (1, 1, 1.0), (2, 2, 1.0), (9, 5, 1.0), (11, 6, 1.0), (12, 0, 1.0)}
+
+
+def test_very_long_texts_hold_items(spark):
+    rng = random.Random(12)
+    item = " ".join(f"word{rng.randint(0, 10**6)}" for _ in range(30))
+    filler = " ".join(f"x{rng.randint(0, 10**6)}" for _ in range(150_000))
+    docs = spark.createDataFrame([(1, f"{filler} {item} {filler}"), (2, filler)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in find_leaks(docs, bench).collect()] == [(1, 7)]
+    assert [r.doc_id for r in drop_leaks(docs, bench).collect()] == [2]

@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemart.llm.ranges import MASK, low_bits_mask, stored
-from tidemart.llm.texts import Words, pieces_of, separators, utf8, windows
+from tidemart.llm.texts import Words, mix, pieces_of, separators, utf8, windows
 
 WINDOW = 3
 SHARE = 0.75
 STRETCH = 12  # words in a row
 SEEN = 5  # words in a row that stand for themselves, wherever they are in the document
+WHOLE = 2  # the variant of items without a window
 NEAR = 8  # words put in or left out between two parts of a copy
 BETWEEN = separators((0, 47), (58, 64), (91, 96), (123, 127))
 # Names and signs of units that may follow a number.
@@ -105,18 +106,36 @@ def canonical(data: np.ndarray, offsets: np.ndarray, names: bool) -> tuple[Words
 
 
 def template_windows(data: np.ndarray, offsets: np.ndarray):
-    """Per variant (names kept, names typed): row, position, hash and slots of each window with a plain word in it."""
+    """Per variant (names kept, names typed): row, position, start, hash, values and tokens of each window.
+
+    The last variant has one hash of all words of a row, as they stand there, and no start.
+    """
     for variant, names in enumerate((False, True)):
         words, values, tokens = canonical(data, offsets, names)
+        if not names:
+            whole = np.flatnonzero(words.counts)
+            last = WHOLE, whole, np.zeros(len(whole), np.int64), None, whole_hashes(words, values)[whole], values, tokens
         h, bounds = windows(tokens, words.bounds, WINDOW, short=False)
         h = h ^ np.uint64(variant)
         row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         at = np.arange(len(h)) - bounds[:-1][row]
         start = words.bounds[:-1][row] + at
         yield variant, row, at, start, h, values, tokens
+    yield last
+
+
+def whole_hashes(words: Words, values: np.ndarray) -> np.ndarray:
+    """One hash for each row's sequence of words."""
+    place = np.arange(len(values)) - np.repeat(words.bounds[:-1], words.counts)
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(mix(values ^ mix(place.astype(np.uint64) + np.uint64(1))), out=total[1:])
+    sums = total[words.bounds[1:]] - total[words.bounds[:-1]]
+    return mix(sums + words.counts.astype(np.uint64)) ^ np.uint64(WHOLE)
 
 
-def _slots(start: np.ndarray, values: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _slots(start: np.ndarray | None, n: int, values: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if start is None:
+        return np.zeros((n, WINDOW), np.int64), np.zeros((n, WINDOW), bool)
     where = start[:, None] + np.arange(WINDOW)
     typed = tokens[where] != values[where]
     return np.where(typed, values[where], np.uint64(0)).view(np.int64), typed
@@ -132,13 +151,19 @@ def item_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for piece in pieces_of(batch, 1):
+                found = np.zeros(piece.num_rows, bool)
                 for variant, row, at, start, h, values, tokens in template_windows(*utf8(piece.column(1))):
-                    slots, typed = _slots(start, values, tokens)
+                    slots, typed = _slots(start, len(row), values, tokens)
                     some = ~typed.all(1)
-                    used = np.unique((start[some][:, None] + np.arange(WINDOW)).ravel())
-                    owner = np.zeros(len(values), np.int64)
-                    owner[(start[:, None] + np.arange(WINDOW)).ravel()] = np.repeat(row, WINDOW)
-                    n = np.bincount(owner[used], minlength=piece.num_rows)
+                    if start is None:
+                        # only items without a window stand as a whole
+                        some, n = ~found[row], np.full(piece.num_rows, WINDOW)
+                    else:
+                        found[row[some]] = True
+                        used = np.unique((start[some][:, None] + np.arange(WINDOW)).ravel())
+                        owner = np.zeros(len(values), np.int64)
+                        owner[(start[:, None] + np.arange(WINDOW)).ravel()] = np.repeat(row, WINDOW)
+                        n = np.bincount(owner[used], minlength=piece.num_rows)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(h[some].view(np.int64)),
@@ -176,8 +201,9 @@ def find_leaks(
     alignment, and an alignment counts if its slots are consistent. Without
     ``consistent`` only the words go whose value became several. Alignments
     within ``NEAR`` words of each other add up, and so do, anywhere in the
-    document, those with ``SEEN`` words in a row. Items with fewer than three
-    words have no window and are not looked for. Null and empty texts, and an
+    document, those with ``SEEN`` words in a row. Items without a window, of fewer
+    than three words or of placeholders only, are held by documents that have the
+    same words and no others. Null and empty texts, and an
     empty benchmark, find nothing. Items may repeat: each pair comes once. Rows
     with equal key and text come once. Other columns are not read.
     """
@@ -189,7 +215,7 @@ def find_leaks(
             for piece in pieces_of(batch, 1):
                 for variant, row, at, start, h, values, tokens in template_windows(*utf8(piece.column(1))):
                     hit = np.flatnonzero(mask.value[(h & np.uint64(MASK)).astype(np.int64)])
-                    slots, _ = _slots(start[hit], values, tokens)
+                    slots, _ = _slots(None if start is None else start[hit], len(hit), values, tokens)
                     yield pa.RecordBatch.from_arrays(
                         [
                             piece.column(0).take(pa.array(row[hit])),
