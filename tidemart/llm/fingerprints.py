@@ -116,7 +116,8 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
     Null texts count as empty. Rows with the same key stand in the order of
     their texts; rows with a null key come last, and keep a null key. A single
     row is its own next document. Other columns are not read. An empty text has
-    one empty paragraph and no runs: it is like nothing but an empty text.
+    one empty paragraph and no runs: it is like nothing but an empty text. Very long
+    texts are taken whole; an empty table gives an empty result.
     """
     n = ranges or default_ranges(docs)
     cuts = cut_points(docs, key, n)

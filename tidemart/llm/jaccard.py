@@ -642,7 +642,8 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     and texts without words have an empty set and only reach themselves. Rows
     with equal sets link, whatever their keys. A row with a null key takes part,
     and shows the smallest key of its component, null if there is none. Repeated
-    rows come out as often as they came in. Other columns are not read.
+    rows come out as often as they came in. Very long texts are taken whole. An
+    empty table gives an empty result. Other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(rarity_order(docs, text))
     sets = stored(document_sets(docs, key, text), "sets")

@@ -209,8 +209,10 @@ def predict_language(docs: DataFrame, model: Centroids, text: str = "text", pref
 
     Only the text is looked at, all of it. A null text, or one without a letter,
     is ``und`` with score 0 and not accepted; so is every text if nothing was
-    learned. Of equal cosines the first language by name wins. No exchange; the
-    model's size is fixed by the numbers of languages, clusters and cells.
+    learned. Of equal cosines the first language by name wins. Repeated rows come
+    out as often as they came in; an empty table gives an empty result; ``prefix``
+    keeps the new names apart from those of ``docs``. No exchange; the model's size
+    is fixed by the numbers of languages, clusters and cells.
     """
     from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 

@@ -277,6 +277,8 @@ def encode_pieces(
     of text, and by fixed numbers of remembered segments and pairs. Null and
     empty texts have no ids and decode to an empty text. Repeated rows come out
     as often as they came in; a null key stays null; other columns are not read.
+    A very long text is encoded whole, in segments. An empty table gives an empty
+    result.
     """
     kind = docs.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -101,6 +101,7 @@ def count_tokens(docs: DataFrame, model_path: str, key: str = "doc_id", text: st
 
     No exchange; memory per worker is bounded. Null and empty texts count 0.
     Repeated rows come out as often as they came in; other columns are not read.
+    Very long texts are counted whole. An empty table gives an empty result.
     """
     kind = docs.schema[key].dataType.simpleString()
 

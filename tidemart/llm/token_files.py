@@ -270,7 +270,12 @@ class TokenPart:
 
 
 def read_token_files(parts: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Per document of the written files: key, start, n_tokens and the crc32 of its ids as 32-bit integers."""
+    """Per document of the written files: key, start, n_tokens and the crc32 of its ids as 32-bit integers.
+
+    One task for each part, mapped into memory and read in slices of documents. Null
+    keys come back as null, repeated rows as often as they were written, texts without
+    ids with the end id alone or with none. A table of no parts gives an empty result.
+    """
     n = max(1, parts.count())
 
     def read(batches):
