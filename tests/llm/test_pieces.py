@@ -119,8 +119,9 @@ def test_empty_tables(spark, tmp_path):
 
 def test_ranges_follow_their_number(spark):
     rows = spark.range(60_000).selectExpr("cast(id * 7 % 60000 AS long) AS k")
-    for n in (2, 7, 600):
+    for n in (2, 7, 100, 600):
         cuts = cut_points(rows, "k", n)
+        assert len(cuts) == n - 1
         placed = rows.select(bucket_of(F.col("k"), cuts).alias("b")).groupBy("b").count().collect()
         assert len(placed) == n == len(cuts) + 1
         assert max(r["count"] for r in placed) <= 1.3 * 60_000 / n
