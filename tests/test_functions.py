@@ -192,6 +192,13 @@ def test_cdc_decimals(spark):
     assert [g for (g,) in got] == [*want, None, None]
 
 
+def test_cdc_decimals_are_not_folded_again_for_each_use(spark):
+    """The plan held 528 folds where the steps were not bound."""
+    texts = spark.createDataFrame([("AQ==",)], "x string").select(hexa.decode_cdc_decimal(x(), 2))
+    plan = texts._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("aggregate(") <= 8
+
+
 def test_words(spark):
     word = "0123456789abcdef" * 4
     cases = ["0x" + word * 3, "", None, "0x" + word[:40], "0x" + word + "12"]

@@ -15,14 +15,15 @@ LIMB_BASE = 10**LIMB_DIGITS
 CHUNK = 7  # hex digits: a limb times 2**28 fits 64 bits
 
 
-def _hex_to_decimal(digits: Column) -> Column:
-    """Up to 31 hex digits as decimal text, put together from two 64-bit halves."""
+def _hex_to_decimal(digits: Column, plus: int = 0) -> Column:
+    """Up to 31 hex digits as decimal text, put together from two 64-bit halves; ``plus`` is added to the number."""
     padded = F.lpad(digits, 2 * LIMB, "0")
     high, low = (
         F.conv(F.substring(padded, start, LIMB), 16, 10).cast("decimal(20,0)")
         for start in (1, LIMB + 1)
     )
-    return (high * F.lit(str(2**64)).cast("decimal(20,0)") + low).cast("decimal(38,0)").cast("string")
+    number = high * F.lit(str(2**64)).cast("decimal(20,0)") + low
+    return (number + plus if plus else number).cast("decimal(38,0)").cast("string")
 
 
 def _hex_fold(digits: Column, plus: int = 0) -> Column:
@@ -30,6 +31,10 @@ def _hex_fold(digits: Column, plus: int = 0) -> Column:
 
     ``plus`` is added to the number.
     """
+    return let(digits, lambda d: _fold_limbs(d, plus))
+
+
+def _fold_limbs(digits: Column, plus: int) -> Column:
     count = F.ceil(F.length(digits) / CHUNK).cast("int")
     padded = F.lpad(digits, count * CHUNK, F.lit("0"))
 
@@ -53,7 +58,7 @@ def _hex_fold(digits: Column, plus: int = 0) -> Column:
 
     limbs = F.aggregate(chunks, none, push)
     text = F.array_join(F.transform(F.reverse(limbs), lambda v: F.lpad(v.cast("string"), LIMB_DIGITS, "0")), "")
-    return _no_zeros(text)
+    return let(text, _no_zeros)
 
 
 def _no_zeros(digits: Column) -> Column:
@@ -119,17 +124,30 @@ def to_decimal_text(x: Column, divide: bool = False, wide: bool = True, malforme
 def decode_cdc_decimal(x: Column, scale: int) -> Column:
     """The plain text, with ``scale`` decimals, of a change feed's decimal: base 64 of a big-endian two's complement number.
 
-    Numbers of any width, negative ones too. Null and empty texts give null.
+    Numbers of any width, negative ones too; those of up to 124 bits are put together natively, wider ones folded
+    limb by limb. Null and empty texts give null.
     """
     raw = F.hex(F.unbase64(x))
 
-    def number(digits: Column) -> Column:
+    def sized(digits: Column) -> Column:
         minus = F.substr(digits, F.lit(1), F.lit(1)) >= "8"
         flipped = F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210")
-        size = F.when(minus, _hex_fold(flipped, 1)).otherwise(_hex_fold(digits))
-        return _plain(F.struct(size.alias("digits"), F.lit(scale).alias("scale"), minus.alias("minus"), F.lit(scale).alias("keep")))
+        size = F.ltrim(F.when(minus, flipped).otherwise(digits), F.lit("0"))
+        return F.when(digits != "", F.struct(size.alias("hex"), minus.alias("minus")))
+
+    def number(found: Column) -> Column:
+        digits, minus = found["hex"], found["minus"]
+        short = F.length(digits) <= NATIVE_HEX_DIGITS
+        native = F.when(minus, _hex_to_decimal(digits, 1)).otherwise(_hex_to_decimal(digits))
+        folded = F.when(minus, _hex_fold(digits, 1)).otherwise(_hex_fold(digits))
+        return F.struct(
+            F.when(short, native).otherwise(folded).alias("digits"), F.lit(scale).alias("scale"), minus.alias("minus"),
+            F.lit(scale).alias("keep"),
+        )
 
-    return let(raw, lambda d: F.when(d != "", number(d)))
+    # each step is bound, so that none is evaluated again for the uses of the next
+    told = let(let(raw, sized), lambda f: F.when(f.isNotNull(), number(f)))
+    return let(told, lambda n: F.when(n.isNotNull(), _plain(n)))
 
 
 def payload_words(x: Column) -> Column:
