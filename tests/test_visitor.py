@@ -166,3 +166,14 @@ def test_event_time_chunks_are_bounded(spark, rule):
     assert {r.mid: str(r.d) for r in known.collect()} == states
     chunks = _prepared(df, "event_time", "UTC", None, event_cuts(df, CHUNK_MS, bound), bound).groupBy("mid", "_chunk").count()
     assert chunks.agg(F.max("count")).first()[0] <= 2 * bound
+
+
+def test_event_time_reads_its_source_once(spark, tmp_path):
+    """The plan of the repair reads what was kept, and no table that follows the rows is broadcast."""
+    rows = random_rows(400, seed=5)
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "source"))
+    got = repair_visitors(spark.read.parquet(str(tmp_path / "source")), order="event_time", chunk_size=180 * DAY, bound=3)
+    assert got.inputFiles() and not any(f"{tmp_path}/source" in f for f in got.inputFiles())
+    assert "ResolvedHint" not in got._jdf.queryExecution().analyzed().toString()
+    want, _ = expected(rows, "as_coded", key=lambda r: (r[3], r[0]))
+    assert {r.seq: r.is_new for r in got.collect()} == want

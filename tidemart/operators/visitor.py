@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from tidemart.functions.dates import DAY_MS, local_date
 from tidemart.operators.applog import field, set_flag
 from tidemart.operators.joins import join_small
+from tidemart.session import work_path
 
 CHUNK_ROWS = 1_000_000
 CHUNK_MS = 600_000
@@ -28,17 +29,51 @@ ARRIVAL_CHUNK = "if(contains(seq, '\u0001'), substring_index(seq, '\u0001', 2),
 def event_cuts(df: DataFrame, chunk_ms: int, bound: int) -> DataFrame:
     """(mid, ts, cut, own) for the windows of ``chunk_ms`` in which a device has more than ``bound`` rows.
 
-    Rows are counted per window, and only in windows over the bound per time. The
-    times of a window are cut where their running count passes the bound; a time
-    that is over the bound alone (``own``) is a cut of its own, to be cut by arrival.
+    Rows are counted per time, and times gathered per window. The times of a window
+    are cut where their running count passes the bound; a time that is over the
+    bound alone (``own``) is a cut of its own, to be cut by arrival.
     """
-    rows = df.select("mid", "ts").filter(_usable()).withColumn("_w", F.expr(f"ts div {chunk_ms}"))
-    full = rows.groupBy("mid", "_w").count().filter(F.col("count") > bound).select("mid", "_w")
-    times = join_small(rows, full, ["mid", "_w"]).groupBy("mid", "_w", "ts").count()
+    window = F.expr(f"ts div {chunk_ms}").alias("_w")
+    times = df.select("mid", "ts").filter(_usable()).groupBy("mid", window, "ts").count()
     # a window has at most chunk_ms times
-    before = Window.partitionBy("mid", "_w").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = Window.partitionBy("mid", "_w").orderBy("ts")
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     upto = F.coalesce(F.sum("count").over(before), F.lit(0))
-    return times.select("mid", "ts", F.floor(upto / bound).alias("cut"), (F.col("count") > bound).alias("own"))
+    whole = F.sum("count").over(Window.partitionBy("mid", "_w"))
+    full = times.select("mid", "ts", "count", upto.alias("_upto"), whole.alias("_all")).filter(F.col("_all") > bound)
+    return full.select("mid", "ts", F.floor(F.col("_upto") / bound).alias("cut"), (F.col("count") > bound).alias("own"))
+
+
+def _kept(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written to the shared work folder and read again, so that what made them runs once."""
+    path = work_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _kept_with_cuts(source: DataFrame, order: str, chunk_size: int | None, bound: int) -> tuple[DataFrame, DataFrame | None]:
+    """The four columns of the repair and their cuts. An order of event time reads them several times, so they are kept."""
+    keys = source.select("mid", "is_new", "ts", "seq")
+    if order != "event_time":
+        return keys, None
+    keys, size = _kept(keys, "visitor-keys"), chunk_size or CHUNK_MS
+    windows = keys.filter(_usable()).groupBy("mid", F.expr(f"ts div {size}").alias("_w")).count()
+    if windows.filter(F.col("count") > bound).isEmpty():
+        return keys, None
+    return keys, _kept(event_cuts(keys, size, bound), "visitor-cuts")
+
+
+def _with_cuts(df: DataFrame, cuts: DataFrame | None) -> DataFrame:
+    """``df`` with the cut of each row.
+
+    The cuts follow the number of rows, so they are not broadcast. A key has at most ``bound`` rows unless its cut is
+    its own (a time that is over the bound alone); only where there are such cuts the keys get a salt.
+    """
+    if cuts is None:
+        return df.withColumns({"cut": F.lit(0).cast("bigint"), "own": F.lit(False)})
+    if cuts.filter("own").isEmpty():
+        return df.join(cuts, ["mid", "ts"], "left")
+    return join_small(df, cuts, ["mid", "ts"], "left", max_rows=0)
 
 
 def _prepared(
@@ -51,8 +86,7 @@ def _prepared(
     elif order == "event_time":
         rank, window = "struct(ts, seq)", f"ts div {chunk_size or CHUNK_MS}"
         chunk = f"struct({window} AS w, coalesce(cut, 0L) AS cut, coalesce(own, false) AS own, if(own, seq div {bound}, 0L) AS at)"
-        none = {"cut": F.lit(0).cast("bigint"), "own": F.lit(False)}
-        df = df.withColumns(none) if cuts is None else join_small(df, cuts, ["mid", "ts"], "left")
+        df = _with_cuts(df, cuts)
     else:
         raise ValueError(f"unknown order {order!r}")
     return df.select(
@@ -172,8 +206,9 @@ def repair_visitors(
     ``initial(mid, d)`` gives states to start from. Rows without a device or a time
     pass through unchanged.
     """
-    source = df if narrow is None else narrow
-    cuts = event_cuts(source, chunk_size or CHUNK_MS, bound) if order == "event_time" else None
+    source, cuts = _kept_with_cuts(df if narrow is None else narrow, order, chunk_size, bound)
+    if narrow is None and set(df.columns) == set(source.columns):
+        df = source.select(*df.columns)
     carry = _chained(source, rule, order, tz, chunk_size, initial, cuts, bound)
     carry = carry.filter(F.col("_carry").isNotNull()).select("mid", "_chunk", "_carry")
 
@@ -195,8 +230,8 @@ def visitor_states(
     bound: int = CHUNK_ROWS,
 ) -> DataFrame:
     """(mid, d): the state of every device in ``df`` after its last record."""
-    cuts = event_cuts(df, chunk_size or CHUNK_MS, bound) if order == "event_time" else None
-    chained = _chained(df, rule, order, tz, chunk_size, initial, cuts, bound)
+    source, cuts = _kept_with_cuts(df, order, chunk_size, bound)
+    chained = _chained(source, rule, order, tz, chunk_size, initial, cuts, bound)
     last = chained.groupBy("mid").agg(F.max_by("_after", "_chunk").alias("d"))
     return last.filter(F.col("d").isNotNull())
 
