@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tidemart.sinks import state_table
 from tidemart.sinks.state_table import StateTable
 from tidemart.sources.files import pick_up
 from tidemart.streaming.live_tables import LiveTables, epochs, route_intervals
@@ -55,6 +56,21 @@ def test_cells_are_merged(spark, tmp_path):
     assert {(r.t, r.k): r.info for r in got} == want and {(r.t, r.k): r.batch for r in got} == want_batch
 
 
+@pytest.mark.parametrize("cells", [None, "info"])
+def test_tasks_of_a_batch_are_bounded(spark, tmp_path, monkeypatch, cells):
+    """One split with all rows, half of them of one key: what a task sorts does not follow the split."""
+    monkeypatch.setattr(state_table.dealt, "__defaults__", (50,))
+    rows = [("hot" if i % 2 else f"k{i % 30}", {f"c{i % 3}": str(i)}, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k string, info map<string,string>, seq int").coalesce(1)
+    sizes = state_table.dealt(df, ["k", "seq"]).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 15 and max(r["count"] for r in sizes) < 100
+    table, want = StateTable(spark, str(tmp_path / "d"), ["k"], 2, cells=cells), {}
+    table.put(df, 0, ["seq"])
+    for k, info, _ in rows:
+        want[k] = {**(want.get(k, {}) if cells else {}), **info}
+    assert {r.k: r.info for r in table.read().collect()} == want
+
+
 def test_point_get_reads_one_bucket(spark, tmp_path):
     table = StateTable(spark, str(tmp_path / "g"), ["k"], buckets=8)
     for batch in range(2):

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from tidemart.functions.dates import DAY_MS, local_date
 from tidemart.operators.applog import field, set_flag
 from tidemart.operators.joins import join_small
-from tidemart.session import work_path
+from tidemart.operators.tasks import kept
 
 CHUNK_ROWS = 1_000_000
 CHUNK_MS = 600_000
@@ -44,23 +44,16 @@ def event_cuts(df: DataFrame, chunk_ms: int, bound: int) -> DataFrame:
     return full.select("mid", "ts", F.floor(F.col("_upto") / bound).alias("cut"), (F.col("count") > bound).alias("own"))
 
 
-def _kept(rows: DataFrame, name: str) -> DataFrame:
-    """Rows written to the shared work folder and read again, so that what made them runs once."""
-    path = work_path(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def _kept_with_cuts(source: DataFrame, order: str, chunk_size: int | None, bound: int) -> tuple[DataFrame, DataFrame | None]:
     """The four columns of the repair and their cuts. An order of event time reads them several times, so they are kept."""
     keys = source.select("mid", "is_new", "ts", "seq")
     if order != "event_time":
         return keys, None
-    keys, size = _kept(keys, "visitor-keys"), chunk_size or CHUNK_MS
+    keys, size = kept(keys, "visitor-keys"), chunk_size or CHUNK_MS
     windows = keys.filter(_usable()).groupBy("mid", F.expr(f"ts div {size}").alias("_w")).count()
     if windows.filter(F.col("count") > bound).isEmpty():
         return keys, None
-    return keys, _kept(event_cuts(keys, size, bound), "visitor-cuts")
+    return keys, kept(event_cuts(keys, size, bound), "visitor-cuts")
 
 
 def _with_cuts(df: DataFrame, cuts: DataFrame | None) -> DataFrame:

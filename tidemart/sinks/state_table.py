@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart.operators.envelope import latest_per_key
+from tidemart.operators.tasks import dealt
 
 
 class Pointer:
@@ -76,7 +77,11 @@ class StateTable:
         return F.pmod(F.xxhash64(*self.keys), F.lit(buckets)).cast("int")
 
     def _last(self, rows: DataFrame, order: list[str]) -> DataFrame:
-        """The last row of each key, its cells merged in order; a hot key is reduced before the exchange."""
+        """The last row of each key, its cells merged in order; a hot key is reduced before the exchange.
+
+        Rows are dealt by key and order first, which spreads a hot key.
+        """
+        rows = dealt(rows, [*self.keys, *(c for c in order if c not in self.keys)])
         last = latest_per_key(rows, self.keys, order)
         if not self.cells:
             return last
