@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemart.operators import applog
 from tidemart.operators.applog import field
 from tidemart.operators.parse import app_log_rows, log_rows, route_bad
+from tidemart.operators.tasks import dealt
 from tidemart.operators.visitor import repair_log, repair_visitors
 from tidemart.plans import oracle_parts as sql
 from tidemart.plans.adapters import app_log_lines, exact_lines, table
@@ -28,7 +29,11 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = app_log_rows(lines(spark, sf_dir), KEY_FIELDS)
+    return keys_of(lines(spark, sf_dir))
+
+
+def keys_of(text: DataFrame) -> DataFrame:
+    rows = app_log_rows(text, KEY_FIELDS)
     return rows.select("seq", "ts", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"))
 
 
@@ -232,9 +237,12 @@ SELECT r.is_new, count(*) AS n, CAST(sum(al.nd) AS BIGINT) AS n_displays
 FROM r JOIN al ON r.seq = al.seq WHERE al.event_type <> 'signup' GROUP BY r.is_new""",
 )
 def log_split(spark, sf_dir):
-    """Repaired records through the page split, profiled by flag."""
-    record = F.col("record")
-    fixed = repair_log(records(spark, sf_dir), narrow=keyed(spark, sf_dir)).filter(~applog.has(record, "start"))
+    """Repaired records through the page split, profiled by flag.
+
+    Events are dealt before they become records, which are many times as large and wait in their task for the exchange.
+    """
+    record, text = F.col("record"), app_log_lines(dealt(table(spark, sf_dir, "events"), ["event_id"]))
+    fixed = repair_log(log_rows(text).drop("value"), narrow=keys_of(text)).filter(~applog.has(record, "start"))
     return fixed.groupBy(field(record["common"], "$.is_new").alias("is_new")).agg(
         F.count("*").alias("n"),
         F.sum(F.coalesce(F.size(applog.items(record, "displays")), F.lit(0))).alias("n_displays"),

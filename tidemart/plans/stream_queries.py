@@ -15,6 +15,7 @@ from tidemart.sinks.topics import as_message, json_line_batches, topic_sink
 from tidemart.sinks.state_table import StateTable
 from tidemart.sources.changefeed import bootstrap_batches, snapshot_to_envelope
 from tidemart.sources.files import json_lines, new_files_stream
+from tidemart.operators.tasks import dealt, kept
 from tidemart.operators.applog import field
 from tidemart.sources.topics import append_segment, change_table, topic_stream
 from tidemart.streaming import watermarks
@@ -117,8 +118,11 @@ UNION ALL SELECT 'log_action', sid, flag, CAST(k + i AS VARCHAR) FROM (SELECT *,
 
 
 def in_three_segments(spark: SparkSession, sf_dir: str, name: str, start) -> None:
-    """Log lines added to a topic folder in three segments, each read by a run ``start(ordered lines)`` of its own."""
-    topic, sent = work_path(spark, name), lines(spark, sf_dir)
+    """Log lines added to a topic folder in three segments, each read by a run ``start(ordered lines)`` of its own.
+
+    The lines are made once: each segment would make all of them twice, for its ranges and for its files.
+    """
+    topic, sent = work_path(spark, name), kept(ad.app_log_lines(dealt(ad.table(spark, sf_dir, "events"), ["event_id"])), "lines")
     cuts = sent.agg(F.percentile_approx("seq", [0.3, 0.6], 1000)).first()[0]
     part = F.when(F.col("seq") <= cuts[0], 0).when(F.col("seq") <= cuts[1], 1).otherwise(2)
     for number in range(3):
