@@ -128,6 +128,70 @@ def test_kneser_ney_sums_to_one(spark):
     assert math.isclose(bits.bits, float(table[codes].sum(dtype=np.float64)), abs_tol=1e-3) and bits.bits_n == len(codes)
 
 
+def plain_chances(texts):
+    """Chance of the last of four characters after the others, by interpolated modified Kneser-Ney over ``texts``."""
+    levels = []
+    counts = collections.Counter(t[i : i + 4] for t in texts for i in range(len(t) - 3))
+    for _ in range(4):
+        taken = quality.discounts(*[sum(c == i for c in counts.values()) for i in (1, 2, 3, 4)])
+        total, left = collections.Counter(), collections.Counter()
+        for g, c in counts.items():
+            total[g[:-1]] += c
+            left[g[:-1]] += taken[min(c, 3) - 1]
+        levels.append((counts, taken, total, left))
+        counts = collections.Counter(g[1:] for g in counts)
+
+    def chance(run):
+        if not run:
+            return 1 / 0x110000
+        counts, taken, total, left = levels[4 - len(run)]
+        h, c = run[:-1], counts[run]
+        if not total[h]:
+            return chance(run[1:])
+        return (c - taken[min(c, 3) - 1] if c else 0) / total[h] + left[h] / total[h] * chance(run[1:])
+
+    return chance
+
+
+def test_quality_equals_plain_character_model(spark, monkeypatch):
+    """Runs of real characters, joined with the terms: letters of one class differ, in blocks of any size."""
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 300)
+    rng = random.Random(3)
+    some = ["привет мир", "ПРИВЕТ МИР", "the house", "THE HOUSE", "中文字符 😀", "a\x00b,c.d"]
+    texts = [" ".join(rng.choice(some) for _ in range(rng.randint(1, 9))) for _ in range(40)] + ["abc", "", None, "τὰ πάντα ῥεῖ"]
+    rows = [(i if i != 7 else None, "xy"[i % 2] if i % 5 else None, t) for i, t in enumerate(texts)] + [(3, "y", texts[3])] * 2
+    docs = spark.createDataFrame(rows, "k long, l string, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 30, 2)] + [(30, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    fold = {r.text: r.f for r in docs.select("text", (F.pmod(F.xxhash64("text"), F.lit(quality.FOLDS)) + 1).alias("f")).collect()}
+    trusted = [t for k, _, t in rows if k is not None and k < 30 and k % 2 == 0]
+    models = [plain_chances([t for t in trusted if fold[t] != m]) for m in range(quality.FOLDS + 1)]
+
+    def bits(t, m):
+        return -sum(math.log2(models[m](t[i : i + 4])) for i in range(len(t) - 3))
+
+    want = sorted((str(k), str(lang), t, len(t) - 3) for k, lang, t in rows if t and len(t) > 3)
+    text = {r.t: r.text for r in docs.select("text", F.xxhash64("text").alias("t")).collect()}
+    got = quality.run_scores(docs, labels).collect()
+    assert sorted((str(r.k), str(r.l), text[r.t], int(r.bits_n)) for r in got) == want
+    for r in got:
+        t = text[r.t]
+        assert math.isclose(r.bits, bits(t, 0), abs_tol=1e-3) and math.isclose(r.bits_out, bits(t, fold[t]), abs_tol=1e-3)
+    # Cyrillic letters fell into two classes of bytes and could not be told apart
+    assert bits("привет мир", 0) < 0.5 * bits("рпивте мри", 0)
+
+
+def test_keys_of_wide_rows():
+    """Numbers stay exact where the columns have too many values for one product."""
+    rng = np.random.default_rng(4)
+    columns = [rng.integers(0, 0x110000, 30_000) for _ in range(5)]
+    columns = [np.concatenate([c, c[:100]]) for c in columns]
+    found, n = quality.distinct_rows(columns)
+    plain = collections.Counter(zip(*[c.tolist() for c in columns]))
+    assert dict(zip(zip(*[c.tolist() for c in found]), n.tolist())) == plain
+    keys = quality.Keys(columns)
+    assert any(r is not None for r in keys.ranks) and (keys.of([c[50:70] for c in columns]) == keys.met[50:70]).all()
+
+
 def test_quality(spark):
     judged = {r.doc_id: r for r in QUERIES["op7_quality"](spark, "/root/testdata/sf0.01").collect()}
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()

@@ -77,13 +77,13 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def low_bits_mask(values: DataFrame, column: str):
-    """A mask over the low bits of a long column, of fixed size: it misses no value, and lets some others pass."""
+def low_bits_mask(values: DataFrame, column: str, bits: int = MASK.bit_length()):
+    """A mask over the low ``bits`` bits of a long column: it misses no value, and lets some others pass."""
     import numpy as np
 
-    low = F.coalesce(F.col(column), F.lit(0)).bitwiseAND(MASK) + 1
+    low = F.coalesce(F.col(column), F.lit(0)).bitwiseAND((1 << bits) - 1) + 1
     cells = values.select(F.bitmap_bucket_number(low).alias("b"), F.bitmap_bit_position(low).alias("p"))
-    mask = np.zeros(MASK + 1, bool)
+    mask = np.zeros(1 << bits, bool)
     for r in cells.groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect():
         start = (r["b"] - 1) << 15
         mask[start : start + (1 << 15)] = np.unpackbits(np.frombuffer(bytes(r["m"]), np.uint8), bitorder="little")
