@@ -110,6 +110,29 @@ def test_smallest_reachable(spark):
     assert got == {i: find(i) for a, b in edges for i in (a, b) if a != b}
 
 
+def test_sets_are_sent_again_for_large_families_only(spark, monkeypatch):
+    """Sets go to their family rows at once; of the others no set is sent when one family is large."""
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    rng = random.Random(6)
+    base = [f"w{rng.randint(0, 10**9)}" for _ in range(60)]
+    texts = [" ".join(base[:i] + [f"c{i}"] + base[i + 1 :]) for i in range(30)]  # one large family of near copies
+    for _ in range(20):  # and many of two
+        own = [f"v{rng.randint(0, 10**9)}" for _ in range(60)]
+        texts += [" ".join(own), " ".join(own[:30] + ["x"] + own[31:])]
+    asked, plain = [], jaccard.sets_of
+
+    def seen(docs, wanted, *more):
+        asked.append((set(wanted.columns), {r.k for r in wanted.select("k").collect()}))
+        return plain(docs, wanted, *more)
+
+    monkeypatch.setattr(jaccard, "sets_of", seen)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in link_components(docs).collect()}
+    assert got == {i: 0 if i < 30 else i - i % 2 for i in range(len(texts))}
+    assert len(asked) == 2 and "leads" in asked[0][0] and asked[0][1] >= set(range(30, 70))
+    assert asked[1][1] <= set(range(30)) and asked[1][1]
+
+
 def test_kneser_ney_sums_to_one(spark):
     texts = ["The old house stood at the end.", "A new house, and the old one!", "zzz 123"] * 3
     docs = spark.createDataFrame([(t,) for t in texts], "text string")

@@ -445,7 +445,10 @@ def hot_lists(docs: DataFrame, order, text: str) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, order, key: str, text: str) -> DataFrame:
-    """(sig, keys) of the classes in ``wanted`` (sig, k): their sets, made again from the text of row ``k``."""
+    """``wanted`` (sig, k and others) with ``keys`` for ``k``: each class's set, made again from the text of row ``k``.
+
+    The sets are sent once, to the rows that want them.
+    """
     spark = docs.sparkSession
     mask = spark.sparkContext.broadcast(low_bits_mask(wanted, "k"))
 
@@ -464,7 +467,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, order, key: str, text: str) -> D
 
     found = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("text")).mapInArrow(run, "k long, sig long, keys binary")
     same = (found["sig"] == wanted["sig"]) & found["k"].eqNullSafe(wanted["k"])
-    return found.join(wanted, same, "left_semi").select("sig", "keys")
+    return found.join(wanted, same).select(*[wanted[c] for c in wanted.columns if c != "k"], found["keys"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[tuple, list[tuple]]]:
@@ -538,11 +541,13 @@ def class_links(docs: DataFrame, classes: DataFrame, order, key: str, text: str)
     dealt = own.where("zone >= 0").select("lead", "zone", "block", "sig").unionByName(anchors).distinct()
 
     wanted = stored(alive.join(own.select("sig").distinct(), "sig", "left_semi").select("sig", "k"), "wanted")
-    nodes = stored(sets_of(docs, wanted, order, key, text), "nodes")
-
-    edges = stored(family_links(own.where("zone < 0"), own, nodes, n_tasks), "links")
-    if not own.where("zone >= 0").limit(1).count():
+    sent = stored(family_parts(own.where("zone < 0"), own).join(wanted, "sig"), "sent")
+    edges = stored(family_links(sets_of(docs, sent, order, key, text), n_tasks), "links")
+    members = own.where("zone >= 0").select("sig").distinct()
+    if not members.limit(1).count():
         return edges
+    # only the sets of large families are sent again, whatever the number of the others
+    nodes = stored(sets_of(docs, stored(wanted.join(members, "sig", "left_semi"), "large"), order, key, text), "nodes")
 
     def inside(batches):
         for _, rows in _groups(batches, 3):
@@ -560,20 +565,26 @@ def _rooted(names: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
     return _edges([(names[i], names[r]) for i, r in enumerate(block_links(sets)) if i != r])
 
 
-def family_links(small: DataFrame, members: DataFrame, nodes: DataFrame, n_tasks: int) -> DataFrame:
-    """Links inside the families of one block, with each set sent once for all of its families in a home.
+def family_parts(small: DataFrame, members: DataFrame) -> DataFrame:
+    """(home, part, sig, leads): the families of one block, with one row for each set and home.
 
     The home of a family is the smallest lead among the families that its lead is a
     member of: sets that are alike are in each other's families, which so come
-    together. A home is cut by lead into parts of a bounded number of rows. A family
-    that lies within another one of its part has no link of its own.
+    together. A home is cut by lead into parts of a bounded number of rows.
     """
     homes = members.groupBy(F.col("sig").alias("lead")).agg(F.min("lead").alias("home"))
     rows = small.select("lead", "sig").join(homes, "lead", "left").withColumn("home", F.coalesce("home", "lead"))
     parts = rows.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / (2 * BLOCK)).alias("parts"))
     rows = rows.join(parts, "home").withColumn("part", F.pmod(F.xxhash64("lead"), "parts").cast("int"))
     # the families of one set in one part are no more than the rows of the part
-    sent = rows.groupBy("home", "part", "sig").agg(F.collect_list("lead").alias("leads")).join(nodes, "sig")
+    return rows.groupBy("home", "part", "sig").agg(F.collect_list("lead").alias("leads"))
+
+
+def family_links(sent: DataFrame, n_tasks: int) -> DataFrame:
+    """Links inside the families of ``sent`` (home, part, sig, leads, keys).
+
+    A family that lies within another one of its part has no link of its own.
+    """
 
     def inside(batches):
         for _, own in _groups(batches, 2):
