@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -215,6 +216,30 @@ def test_keys_of_wide_rows():
     assert any(r is not None for r in keys.ranks) and (keys.of([c[50:70] for c in columns]) == keys.met[50:70]).all()
 
 
+def test_memory_of_gathered_runs(monkeypatch):
+    """What a task holds for each run does not follow the length of its texts, and no run is lost between slices."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(300)]
+    texts = [" ".join(rng.choices(words, k=350_000)) for _ in range(2)]
+    slices = [(pa.array([t]), np.array([i])) for i, t in enumerate(texts)]
+    tracemalloc.start()
+    parts = list(quality._gathered(iter(slices)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6  # bytes; 178 MB before
+    few = [(pa.array([t[:5_000], None, "abc", t[:9]]), np.array([i, i, 7, 8])) for i, t in enumerate(texts)]
+    want = collections.Counter((g, t[i : i + 4]) for a, group in few for t, g in zip(a.to_pylist(), group.tolist()) for i in range(len(t or "") - 3))
+    for at_once, held in ((1 << 18, 1_000_000), (7, 100)):
+        monkeypatch.setattr(quality, "RUNS_AT_ONCE", at_once)
+        monkeypatch.setattr(quality, "HELD_RUNS", held)
+        got = collections.Counter()
+        for rows, n in quality._gathered(iter(few)):
+            for g, run, c in zip(rows[0].tolist(), quality.run_texts(rows[1:]).to_pylist(), n.tolist()):
+                got[g, run] += c
+        assert got == want
+    assert sum(int(n.sum()) for _, n in parts) == sum(len(t) - 3 for t in texts)
+
+
 def test_quality(spark):
     judged = {r.doc_id: r for r in QUERIES["op7_quality"](spark, "/root/testdata/sf0.01").collect()}
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()

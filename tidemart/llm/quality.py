@@ -36,7 +36,9 @@ CODE_POINTS = 0x110000
 FOLDS = 2
 BLOCK_BYTES = 64 << 20
 PACK_BYTES = 32 << 20
-HELD_RUNS = 2_000_000
+PIECE_BYTES = 1 << 20
+RUNS_AT_ONCE = 1 << 18
+HELD_RUNS = 1_000_000
 MODELS = tuple(str(m) for m in range(FOLDS + 1))  # of all folds, and without each of them
 
 
@@ -200,16 +202,25 @@ def add_bits(docs: DataFrame, table: np.ndarray, text: str = "text", name: str =
 def characters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Code points and row offsets of a text column; a null row is empty."""
     data, offsets = utf8(column)
-    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.int64)
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.int32)
     before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     return points, before[offsets]
 
 
-def run_starts(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the runs of RUN characters inside a row begin, and the row bounds in them."""
+def run_slices(texts: pa.Array) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """(row, code points by place) of the runs of RUN characters inside each text, at most RUNS_AT_ONCE at a time.
+
+    A text's runs may go over several slices, so that what is made for each run does not follow the text's length.
+    """
+    points, bounds = characters(texts)
     runs = np.maximum(np.diff(bounds) - RUN + 1, 0)
     upto = np.concatenate([[0], np.cumsum(runs)])
-    return np.repeat(bounds[:-1] - upto[:-1], runs) + np.arange(upto[-1]), upto
+    shift = bounds[:-1] - upto[:-1]
+    for low in range(0, int(upto[-1]), RUNS_AT_ONCE):
+        high = min(low + RUNS_AT_ONCE, int(upto[-1]))
+        row = np.repeat(np.arange(len(runs)), np.diff(np.clip(upto, low, high)))
+        at = np.arange(low, high) + shift[row]
+        yield row, [points[at + k] for k in range(RUN)]
 
 
 class Keys:
@@ -223,7 +234,7 @@ class Keys:
         seen = np.zeros(max([CODE_POINTS, *(int(c.max(initial=0)) + 1 for c in columns)]), bool)
         for c in columns:
             seen[c] = True
-        self.values = np.flatnonzero(seen)
+        self.values = np.flatnonzero(seen).astype(np.int32)
         self.ids = np.cumsum(seen) - 1
         self.ranks: list[np.ndarray | None] = []
         self.met = self._number(columns, True)
@@ -260,8 +271,10 @@ def distinct_rows(columns: list[np.ndarray], counts: np.ndarray | None = None) -
     if counts is None:
         found, n = np.unique(keys.met, return_counts=True)
     else:
-        found, at = np.unique(keys.met, return_inverse=True)
-        n = np.bincount(at, counts, len(found)).astype(np.int64)
+        by = np.argsort(keys.met)
+        found = keys.met[by]
+        first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])[: len(found)])
+        found, n = found[first], np.add.reduceat(counts[by], first) if len(first) else counts
     return keys.columns(found), n
 
 
@@ -280,29 +293,42 @@ def _gathered(slices: Iterator[tuple[pa.Array, np.ndarray]]) -> Iterator[tuple[l
     size = merged = 0
 
     def all_held():
-        return distinct_rows([np.concatenate(c) for c in zip(*[h[0] for h in held])], np.concatenate([h[1] for h in held]))
+        columns = [np.concatenate(c) for c in zip(*[h[0] for h in held])]
+        counts = np.concatenate([h[1] for h in held])
+        held.clear()
+        return distinct_rows(columns, counts)
 
     for texts, group in slices:
-        points, bounds = characters(texts)
-        at, upto = run_starts(bounds)
-        if not len(at):
-            continue
-        own = distinct_rows([np.repeat(group, np.diff(upto)), *[points[at + k] for k in range(RUN)]])
-        held.append(own)
-        size += len(own[1])
-        if size > merged + HELD_RUNS:
-            held = [all_held()]
-            size = merged = len(held[0][1])
-            if merged > HELD_RUNS:
-                yield held[0]
-                held, size, merged = [], 0, 0
+        for row, columns in run_slices(texts):
+            held.append(distinct_rows([group[row], *columns]))
+            size += len(held[-1][1])
+            if size > merged + HELD_RUNS // 2:
+                held.append(all_held())
+                size = merged = len(held[0][1])
+                if merged > HELD_RUNS:
+                    yield held.pop()
+                    size = merged = 0
     if held:
         yield all_held()
 
 
-def _batches(arrays: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
-    table = pa.Table.from_arrays(arrays, names)
-    yield from table.to_batches(max_chunksize=50_000)
+def _batches(columns: list[np.ndarray], *others: tuple[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Batches of some named columns, each followed by the runs given by their code points (g)."""
+    for low in range(0, len(columns[0]), 50_000):
+        part = slice(low, low + 50_000)
+        arrays = [pa.array(values[part]) for _, values in others]
+        yield pa.RecordBatch.from_arrays([*arrays, run_texts([c[part] for c in columns])], [*[name for name, _ in others], "g"])
+
+
+def _text_pieces(rows: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
+    """(text, fold) of some rows (fold, z: a packed text), unpacked until they have ``limit`` bytes."""
+    held, start, size = [], 0, 0
+    for i, z in enumerate(rows.column(1), 1):
+        held.append(unpacked(z.as_py()).column(0))
+        size += held[-1].nbytes
+        if size >= limit or i == rows.num_rows:
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays(held), rows.column(0).slice(start, i - start)], ["text", "fold"])
+            held, start, size = [], i, 0
 
 
 def run_counts(trusted: DataFrame) -> DataFrame:
@@ -311,19 +337,13 @@ def run_counts(trusted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def slices():
             for batch in batches:
-                for low in range(0, batch.num_rows, 1_000):
-                    part = batch.slice(low, 1_000)
-                    texts = pa.concat_arrays([unpacked(z.as_py()).column(0) for z in part.column(1)])
-                    fold = part.column(0).to_numpy()
-                    rows = pa.RecordBatch.from_arrays([texts, pa.array(fold)], ["text", "fold"])
-                    for piece in pieces_of(rows):
-                        yield piece.column(0), piece.column(1).to_numpy()
+                for piece in _text_pieces(batch, PIECE_BYTES):
+                    yield piece.column(0), piece.column(1).to_numpy()
 
         for rows, n in _gathered(slices()):
-            fold = pa.array(rows[0].astype(np.int32))
-            yield from _batches([fold, run_texts(rows[1:]), pa.array(n)], ["fold", "g", "c"])
+            yield from _batches(rows[1:], ("fold", rows[0]), ("c", n))
 
-    return trusted.select("fold", "z").mapInArrow(run, "fold int, g string, c long")
+    return trusted.select("fold", "z").mapInArrow(run, "fold int, c long, g string")
 
 
 def fold_models(counts: DataFrame) -> DataFrame:
@@ -381,13 +401,13 @@ def asked_runs(docs: DataFrame) -> DataFrame:
 
         def slices():
             for batch in batches:
-                for piece in pieces_of(batch, 1):
+                for piece in pieces_of(batch, 1, PIECE_BYTES):
                     blocks, at = np.unique(piece.column(0).to_numpy(), return_inverse=True)
                     own = [places.setdefault(b, len(places)) for b in blocks.tolist()]
                     yield piece.column(1), np.array(own, np.int64)[at]
 
         for rows, _ in _gathered(slices()):
-            yield from _batches([pa.array(np.array(list(places))[rows[0]]), run_texts(rows[1:])], ["block", "g"])
+            yield from _batches(rows[1:], ("block", np.array(list(places))[rows[0]]))
 
     return docs.select("block", "text").mapInArrow(run, "block long, g string").distinct()
 
@@ -410,6 +430,15 @@ def _packs(packs: list[tuple[int, bytes]], kind: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["block", "kind", "z"])
 
 
+def _sorted_terms(table: pa.Table) -> tuple[Keys, np.ndarray, list[np.ndarray]]:
+    """The numbering of a block's runs, their numbers in order, and the bits of each model in that order."""
+    points = np.concatenate([characters(chunk)[0] for chunk in table.column(0).chunks])
+    keys = Keys(list(points.reshape(-1, RUN).T))
+    by = np.argsort(keys.met)
+    sorted_keys, keys.met = keys.met[by], None
+    return keys, sorted_keys, [table.column(i).to_numpy()[by] for i in range(1, FOLDS + 2)]
+
+
 def block_scores(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(k, t, l, bits, bits_out, bits_n) of each row of ``docs`` (block, k, t, l, fold, text): sums over all runs of its text."""
 
@@ -430,21 +459,21 @@ def block_scores(docs: DataFrame, terms: DataFrame) -> DataFrame:
                     held.append(rows)
                     continue
                 if keys is None:  # all terms of a block come before its texts
-                    table = pa.Table.from_batches(held).combine_chunks()
-                    points, _ = characters(table.column(0).combine_chunks())
-                    keys = Keys(list(points.reshape(-1, RUN).T))
-                    by = np.argsort(keys.met)
-                    sorted_keys = keys.met[by]
-                    terms = [table.column(i).to_numpy()[by] for i in range(1, FOLDS + 2)]
+                    table = pa.Table.from_batches(held)
                     held = []
-                for piece in pieces_of(rows, 4):
-                    points, bounds = characters(piece.column(4))
-                    at, upto = run_starts(bounds)
-                    found = np.searchsorted(sorted_keys, keys.of([points[at + k] for k in range(RUN)]))
-                    totals = [np.concatenate([[0.0], np.cumsum(bits[found])]) for bits in terms]
-                    sums = [np.round(total[upto[1:]] - total[upto[:-1]], 4) for total in totals]
+                    keys, sorted_keys, terms = _sorted_terms(table)
+                    del table
+                for piece in pieces_of(rows, 4, PIECE_BYTES):
+                    m = piece.num_rows
+                    totals = [np.zeros(m) for _ in terms]
+                    n = np.zeros(m)
+                    for row, columns in run_slices(piece.column(4)):
+                        found = np.searchsorted(sorted_keys, keys.of(columns))
+                        for total, bits in zip(totals, terms):
+                            total += np.bincount(row, bits[found], m)
+                        n += np.bincount(row, minlength=m)
+                    sums = [np.round(total, 4) for total in totals]
                     out = np.choose(piece.column(3).to_numpy(), sums)
-                    n = np.diff(upto).astype(np.float64)
                     arrays = [*piece.columns[:3], pa.array(sums[0]), pa.array(out), pa.array(n)]
                     yield pa.RecordBatch.from_arrays(arrays, names=["k", "t", "l", "bits", "bits_out", "bits_n"])
 
