@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemart.llm import jaccard, language, quality
+from tidemart.llm import jaccard, language, quality, ranges
 from tidemart.llm.components import smallest_reachable
 from tidemart.llm.jaccard import Lists, _overlaps, cross_links, link_components
 from tidemart.llm.queries import QUERIES
@@ -216,6 +216,22 @@ def test_keys_of_wide_rows():
     assert any(r is not None for r in keys.ranks) and (keys.of([c[50:70] for c in columns]) == keys.met[50:70]).all()
 
 
+def test_files_of_the_model(spark, monkeypatch):
+    """The terms of all orders are written by as many tasks as those of one."""
+    files = {}
+
+    def counted(rows, name):
+        out = ranges.stored(rows, name)
+        files[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(quality, "stored", counted)
+    docs = spark.createDataFrame([(i, "x", f"some text {i} of ours") for i in range(40)], "k long, l string, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    assert quality.run_scores(docs, labels).count() == 40
+    assert files["model"] <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_memory_of_gathered_runs(monkeypatch):
     """What a task holds for each run does not follow the length of its texts, and no run is lost between slices."""
     rng = random.Random(5)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
-from tidemart.llm.ranges import low_bits_mask, stored
+from tidemart.llm.ranges import default_ranges, low_bits_mask, stored
 from tidemart.llm.texts import pieces_of, utf8
 
 ORDER = 4
@@ -524,7 +524,9 @@ def run_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     part = F.pmod(F.xxhash64("k", "text", F.lit(1)), F.col("parts"))
     rows = rows.select("*", F.xxhash64("l", F.col("l").isNull(), part).alias("block"))
     counts = run_counts(packed_trusted(rows.select("k", "fold", "text"), labels))
-    model = stored(smoothed(stored(fold_models(counts), "models"), RUN, run_head, run_tail, MODELS), "model")
+    model = smoothed(stored(fold_models(counts), "models"), RUN, run_head, run_tail, MODELS)
+    # its levels would be written by as many tasks each: small files, and a process for each to set its mode
+    model = stored(model.coalesce(default_ranges(model)), "model")
     asked = stored(asked_runs(rows), "asked")
     return block_scores(rows, block_terms(asked, model))
 
